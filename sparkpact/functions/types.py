@@ -76,11 +76,12 @@ IGNORES_CASE = {"provisioned", "from_table"}
 
 
 def map_types(name: Column, target: str) -> Column:
-    """Look a type name up in one of ``TYPE_MAPS``; a constant map, so no join."""
+    """Look a type name up in one of ``TYPE_MAPS``; a constant map, so no join. NULL stays NULL."""
     pairs = TYPE_MAPS[target]
     table = F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
     key = F.lower(name) if target in IGNORES_CASE else name
-    return F.coalesce(F.try_element_at(table, key), F.lit(FALLBACK[target]).cast("string"))
+    found = F.coalesce(F.try_element_at(table, key), F.lit(FALLBACK[target]).cast("string"))
+    return F.when(name.isNotNull(), found)
 
 
 # Avro resolution: what each writer type may be read as (Avro specification).

@@ -145,7 +145,7 @@ def from_avro(schemas: DataFrame, schema_col: str = "avro_schema", id_col: str |
         kind = F.try_variant_get(f, "$.type", "variant")
         branches = F.coalesce(F.try_variant_get(kind, "$", "array<variant>"), F.array(kind))
         # "null" the type name is a JSON string, so its JSON text has quotes.
-        texts = F.transform(branches, F.to_json)
+        texts = F.transform(branches, lambda branch: F.to_json(branch))
         is_union = F.try_variant_get(kind, "$", "array<variant>").isNotNull()
         chosen = F.try_element_at(F.filter(texts, lambda t: t != '"null"'), F.lit(1))
         is_string_array = F.try_variant_get(F.try_parse_json(chosen), "$.type", "string") == "array"

@@ -15,8 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkpact.functions.steps import bind
 from sparkpact.functions.types import CONTRACT_TYPES
-from sparkpact.functions.variants import as_boolean, as_double, as_long, is_falsy, kind_of, object_fields, scalar, text_of
+from sparkpact.functions.variants import (
+    as_boolean,
+    as_double,
+    as_long,
+    is_falsy,
+    is_missing,
+    is_object,
+    is_string,
+    object_fields,
+    scalar,
+    shape_of,
+    text_of,
+)
 from sparkpact.model import DEFAULT_VERSION, Metadata
 
 # The keys a document must have.
@@ -42,46 +55,37 @@ def parse_contracts(docs: DataFrame, raw: str = "raw") -> DataFrame:
     # Read while parsing: without it a repeated key makes the document unreadable.
     docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     # For valid JSON text the first character tells an object from anything else.
-    is_object = F.col(raw).rlike(r"^\s*\{")
+    holds_object = F.col(raw).rlike(r"^\s*\{")
     status = (
         F.when(F.col("doc").isNull(), F.lit("invalid_json"))
-        .when(~is_object, F.lit("not_object"))
+        .when(~holds_object, F.lit("not_object"))
         .otherwise(F.lit("ok"))
     )
     doc = F.col("doc")
     items = F.try_variant_get(doc, "$.columns", "array<variant>")
-    # As conditions, not bare structs: the optimizer would copy a struct's fields
-    # into every later use, and parse again for each.
-    return (
-        docs.withColumn("doc", F.try_parse_json(F.col(raw)))
-        .withColumn("parse_status", status)
-        .withColumn(
-            "found",
-            F.when(
-                doc.isNotNull(),
-                F.struct(
-                    object_fields(doc, TOP_TEXT).alias("top"),
-                    F.try_variant_get(doc, "$.columns", "variant").alias("columns_value"),
-                    F.transform(items, lambda item: object_fields(item, COLUMN_KEYS)).alias("columns"),
-                    F.try_variant_get(doc, "$.metadata", "variant").alias("metadata_value"),
-                    object_fields(F.try_variant_get(doc, "$.metadata", "variant"), METADATA_KEYS).alias("metadata"),
-                ),
-            ),
-        )
-        .withColumn("facts", F.when(F.col("found").isNotNull(), _facts(F.col("found"))))
-        .drop("found")
+    parsed = docs.withColumn("doc", F.try_parse_json(F.col(raw))).withColumn("parse_status", status)
+    found = F.struct(
+        object_fields(doc, TOP_TEXT).alias("top"),
+        F.try_variant_get(doc, "$.columns", "variant").alias("columns_value"),
+        F.transform(items, lambda item: object_fields(item, COLUMN_KEYS)).alias("columns"),
+        F.try_variant_get(doc, "$.metadata", "variant").alias("metadata_value"),
+        object_fields(F.try_variant_get(doc, "$.metadata", "variant"), METADATA_KEYS).alias("metadata"),
     )
+    parsed = bind(parsed, {"found": found})
+    return bind(parsed, {"facts": _facts(F.col("found"))}).drop("found")
 
 
 def _facts(found: Column) -> Column:
-    """``STRUCT<kind, text>`` for each scalar, the columns, and what kind of value they came in."""
+    """The scalars of the document, of each column and of the metadata, and what the two came in."""
     columns, value = found["columns"], found["columns_value"]
     metadata = found["metadata_value"]
+    # What an array holds is not worth spelling out: its elements are looked at below.
+    is_list = columns.isNotNull()
     return F.struct(
         *[scalar(found["top"], key).alias(key) for key in TOP_TEXT],
         F.struct(
-            F.when(columns.isNotNull(), F.lit("array")).otherwise(kind_of(value)).alias("kind"),
-            F.when(columns.isNotNull(), F.when(F.size(columns) == 0, F.lit("[]"))).otherwise(text_of(value)).alias("text"),
+            F.when(is_list, F.lit("ARRAY")).otherwise(shape_of(value)).alias("shape"),
+            F.when(is_list, F.when(F.size(columns) == 0, F.lit("[]")).otherwise(F.lit("[...]"))).otherwise(text_of(value)).alias("text"),
         ).alias("columns_value"),
         F.transform(
             columns,
@@ -90,7 +94,7 @@ def _facts(found: Column) -> Column:
                 *[scalar(c, key).alias(key) for key in COLUMN_KEYS],
             ),
         ).alias("columns"),
-        F.struct(kind_of(metadata).alias("kind"), text_of(metadata).alias("text")).alias("metadata_value"),
+        F.struct(shape_of(metadata).alias("shape"), text_of(metadata).alias("text")).alias("metadata_value"),
         F.struct(*[scalar(found["metadata"], key).alias(key) for key in METADATA_KEYS]).alias("metadata"),
     )
 
@@ -123,38 +127,33 @@ def check_structure(docs: DataFrame) -> DataFrame:
     facts = F.col("facts")
     listed = facts["columns"]
     columns_value = facts["columns_value"]
-    columns_falsy = is_falsy(columns_value["kind"], columns_value["text"])
     version = facts["version"]
 
     def presence(key: str) -> Column:
-        kind = columns_value["kind"] if key == "columns" else facts[key]["kind"]
-        return F.when(kind == "missing", _error("missing_field", detail=F.lit(key)))
+        value = columns_value if key == "columns" else facts[key]
+        return F.when(is_missing(value), _error("missing_field", detail=F.lit(key)))
 
     def of_column(item: Column, idx: Column) -> Column:
-        kind, text = item["data_type"]["kind"], item["data_type"]["text"]
-        known = (kind == "string") & text.isin(*CONTRACT_TYPES)
-        name = item["name"]["text"]
+        data_type, name = item["data_type"], item["name"]["text"]
+        known = is_string(data_type) & data_type["text"].isin(*CONTRACT_TYPES)
         return F.when(~item["is_object"], F.array(_error("column_not_object", idx))).otherwise(
             F.array(
-                F.when(item["name"]["kind"] == "missing", _error("column_missing_name", idx)),
-                F.when(kind == "missing", _error("column_missing_data_type", idx, name)),
-                F.when(~_not_null(known), _error("invalid_data_type", idx, name, text)),
+                F.when(is_missing(item["name"]), _error("column_missing_name", idx)),
+                F.when(is_missing(data_type), _error("column_missing_data_type", idx, name)),
+                F.when(~known, _error("invalid_data_type", idx, name, data_type["text"])),
             )
         )
 
     document_errors = _errors(
         *[presence(key) for key in REQUIRED_FIELDS],
-        F.when(columns_falsy, _error("no_columns")).when(columns_value["kind"] != "array", _error("columns_not_list")),
-        F.when(
-            ~is_falsy(version["kind"], version["text"]) & (version["kind"] != "string"),
-            _error("version_not_string", detail=version["text"]),
-        ),
+        F.when(is_falsy(columns_value), _error("no_columns")).when(listed.isNull(), _error("columns_not_list")),
+        F.when(~is_falsy(version) & ~is_string(version), _error("version_not_string", detail=version["text"])),
     )
     column_errors = F.array_compact(F.flatten(F.transform(listed, of_column))).cast(ERROR_TYPE)
     errors = F.when(F.col("parse_status") != "ok", F.array(_error_of(F.col("parse_status"))).cast(ERROR_TYPE)).otherwise(
         F.concat(document_errors, F.coalesce(column_errors, F.array().cast(ERROR_TYPE)))
     )
-    return docs.withColumn("errors", errors)
+    return bind(docs, {"errors": errors})
 
 
 def _error_of(code: Column) -> Column:
@@ -176,11 +175,11 @@ def build_contracts(docs: DataFrame) -> DataFrame:
     defaults = Metadata()
 
     def text(value: Column, default: str | None = None) -> Column:
-        read = F.when(value["kind"] == "string", value["text"])
-        return read if default is None else read.when(value["kind"] == "missing", F.lit(default))
+        read = F.when(is_string(value), value["text"])
+        return read if default is None else read.when(is_missing(value), F.lit(default))
 
     def boolean(value: Column, default: bool) -> Column:
-        return F.when(value["kind"] == "missing", F.lit(default)).otherwise(as_boolean(value["kind"], value["text"]))
+        return F.when(is_missing(value), F.lit(default)).otherwise(as_boolean(value))
 
     def one_column(item: Column) -> Column:
         return F.struct(
@@ -192,15 +191,12 @@ def build_contracts(docs: DataFrame) -> DataFrame:
 
     meta = facts["metadata"]
     meta_value = facts["metadata_value"]
-    meta_falsy = is_falsy(meta_value["kind"], meta_value["text"])
     uptime, latency = meta["sla_uptime_percentage"], meta["sla_max_latency_ms"]
     metadata = F.struct(
         *[text(meta[key], getattr(defaults, key)).alias(key) for key in TEXT_METADATA],
-        F.when(uptime["kind"] == "missing", F.lit(defaults.sla_uptime_percentage))
-        .otherwise(as_double(uptime["kind"], uptime["text"]))
-        .alias("sla_uptime_percentage"),
-        F.when(latency["kind"] == "missing", F.lit(defaults.sla_max_latency_ms).cast("bigint"))
-        .otherwise(as_long(latency["kind"], latency["text"]))
+        F.when(is_missing(uptime), F.lit(defaults.sla_uptime_percentage)).otherwise(as_double(uptime)).alias("sla_uptime_percentage"),
+        F.when(is_missing(latency), F.lit(defaults.sla_max_latency_ms).cast("bigint"))
+        .otherwise(as_long(latency))
         .alias("sla_max_latency_ms"),
     )
     draft = F.struct(
@@ -221,15 +217,12 @@ def build_contracts(docs: DataFrame) -> DataFrame:
             F.when(draft["metadata"][key].isNull(), F.lit(f"metadata.{key}"))
             for key in METADATA_KEYS
         ]
-        not_object = F.when(~meta_falsy & (meta_value["kind"] != "object"), F.lit("metadata"))
+        not_object = F.when(~is_falsy(meta_value) & ~is_object(meta_value), F.lit("metadata"))
         return F.array_compact(F.array(*top, *within, not_object, *meta_fields))
 
-    return (
-        docs.withColumn("draft", F.when(F.size("errors") == 0, draft))
-        .withColumn("build_errors", F.when(F.col("draft").isNotNull(), unread(F.col("draft"))))
-        .withColumn("contract", F.when(F.size("build_errors") == 0, F.col("draft")))
-        .drop("draft")
-    )
+    drafted = bind(docs, {"draft": F.when(F.size("errors") == 0, draft)})
+    checked = bind(drafted, {"build_errors": F.when(F.col("draft").isNotNull(), unread(F.col("draft")))})
+    return checked.withColumn("contract", F.when(F.size("build_errors") == 0, F.col("draft"))).drop("draft")
 
 
 def _blank(value: Column) -> Column:
@@ -265,7 +258,7 @@ def check_model(docs: DataFrame) -> DataFrame:
         ),
         F.array_compact(F.flatten(F.transform(columns, of_column))).cast(ERROR_TYPE),
     )
-    return docs.withColumn("model_errors", F.when(contract.isNotNull(), found))
+    return bind(docs, {"model_errors": F.when(contract.isNotNull(), found)})
 
 
 def _as_text(errors: Column) -> Column:
@@ -275,7 +268,7 @@ def _as_text(errors: Column) -> Column:
         lambda e: F.concat(
             e["code"],
             F.coalesce(F.concat(F.lit(" at column "), e["idx"].cast("string")), F.lit("")),
-            F.coalesce(F.concat(F.lit(": "), F.concat_ws(" ", e["column"], e["detail"])), F.lit("")),
+            F.coalesce(F.concat(F.lit(": "), F.nullif(F.concat_ws(" ", e["column"], e["detail"]), F.lit(""))), F.lit("")),
         ),
     )
 
@@ -285,7 +278,8 @@ def contract_status(docs: DataFrame) -> DataFrame:
 
     Validation and building are two gates: a repeated column name, a blank name
     or a null passes the first and fails the second. ``contract`` stays only on
-    rows that pass both.
+    rows that pass both; ``document_id`` and ``document_name`` are what any
+    document calls itself.
     """
     valid = F.size("errors") == 0
     built = valid & (F.size("build_errors") == 0) & (F.size("model_errors") == 0)
@@ -294,12 +288,15 @@ def contract_status(docs: DataFrame) -> DataFrame:
         F.coalesce(F.transform("build_errors", lambda field: F.concat(F.lit("unreadable: "), field)), F.array().cast("array<string>")),
         F.coalesce(_as_text(F.col("model_errors")), F.array().cast("array<string>")),
     )
-    return (
-        docs.withColumn("validate_status", F.when(valid, "valid").otherwise("invalid"))
-        .withColumn("build_status", F.when(_not_null(built), "built").when(valid, "failed"))
-        .withColumn("reason", F.nullif(F.array_join(reasons, "; "), F.lit("")))
-        .withColumn("contract", F.when(F.col("build_status") == "built", F.col("contract")))
-    )
+    status = {
+        "validate_status": F.when(valid, "valid").otherwise("invalid"),
+        "build_status": F.when(_not_null(built), "built").when(valid, "failed"),
+        "reason": F.nullif(F.array_join(reasons, "; "), F.lit("")),
+        "contract": F.when(_not_null(built), F.col("contract")),
+        "document_id": F.col("facts.contract_id.text"),
+        "document_name": F.col("facts.name.text"),
+    }
+    return bind(docs, status)
 
 
 def load_contracts(docs: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from sparkpact.operators.versions import (
     definition_hash,
     forward_all_offences,
     pair_offences,
+    side_by_side,
 )
 from sparkpact.session import materialize
 
@@ -32,7 +33,8 @@ DEFAULT_MODE = "FORWARD_ALL"
 AVAILABLE = "AVAILABLE"
 
 REGISTRY_SCHEMA = (
-    "contract_id string, registry_version bigint, seq bigint, version string, description string, definition_hash string, "
+    "contract_id string, registry_version bigint, seq bigint, file_path string, version string, description string, "
+    "definition_hash string, "
     f"avro_schema string, columns {COLUMN_TYPE}, tags map<string,string>, data_format string, compatibility string"
 )
 
@@ -80,11 +82,12 @@ def get_schema(registry: DataFrame, contract_id: str) -> DataFrame:
 
 
 def candidates(docs: DataFrame, order: str = "seq", mode: str = DEFAULT_MODE) -> DataFrame:
-    """Built documents as registry rows that have no number yet."""
+    """Built documents as registry rows that have no number yet; ``file_path`` tells equal ``seq`` apart."""
     entries = to_avro(built_contracts(docs))
     return entries.select(
         F.col("contract.contract_id").alias("contract_id"),
         F.col(order).cast("bigint").alias("seq"),
+        "file_path",
         F.col("contract.version").alias("version"),
         F.col("contract.description").alias("description"),
         definition_hash(F.col("avro_schema")).alias("definition_hash"),
@@ -100,7 +103,7 @@ def newest_candidates(docs: DataFrame, order: str = "seq", mode: str = DEFAULT_M
     """One candidate per contract, the last in order."""
     rows = candidates(docs, order, mode)
     payload = F.struct(*[c for c in rows.columns if c != "contract_id"])
-    last = rows.groupBy("contract_id").agg(F.max_by(payload, F.struct("seq", "definition_hash")).alias("e"))
+    last = rows.groupBy("contract_id").agg(F.max_by(payload, F.struct("seq", "file_path")).alias("e"))
     return last.select("contract_id", "e.*")
 
 
@@ -129,7 +132,7 @@ def plan_registration(registry: DataFrame, one_each: DataFrame, mode: str = DEFA
         found = forward_all_offences(earlier, cols, tried.select("contract_id", "seq")).drop("seq")
         known = known.join(found, "contract_id", "left")
     else:
-        known = known.withColumn("offending", pair_offences(_pairs(F.col("current.columns"), F.col("columns")), mode))
+        known = known.withColumn("offending", pair_offences(side_by_side(F.col("current.columns"), F.col("columns")), mode))
     action = (
         F.when(F.col("current").isNull(), "create")
         .when(F.col("current.definition_hash") == F.col("definition_hash"), "unchanged")
@@ -147,16 +150,6 @@ def plan_registration(registry: DataFrame, one_each: DataFrame, mode: str = DEFA
     )
 
 
-def _pairs(old: Column, new: Column) -> Column:
-    """Two column lists side by side; NULL where there is no old list."""
-    kept = F.transform(new, lambda n: F.struct(F.try_element_at(F.filter(old, lambda o: o["name"] == n["name"]), F.lit(1)).alias("old"), n.alias("new")))
-    gone = F.transform(
-        F.filter(old, lambda o: ~F.array_contains(new["name"], o["name"])),
-        lambda o: F.struct(o.alias("old"), F.filter(new, lambda n: F.lit(False))[0].alias("new")),
-    )
-    return F.when(old.isNotNull(), F.concat(kept, gone))
-
-
 # -- whole histories -----------------------------------------------------------
 #
 # Whether a version is accepted depends on which ones before it were. So versions
@@ -166,7 +159,7 @@ def _pairs(old: Column, new: Column) -> Column:
 
 CHUNK = 500
 _STATE = "struct<hash:string,registry_version:bigint,codes:array<string>,names:array<string>,required:array<string>>"
-_DECISIONS = "array<struct<seq:bigint,definition_hash:string,action:string,registry_version:bigint>>"
+_DECISIONS = "array<struct<seq:bigint,file_path:string,action:string,registry_version:bigint>>"
 _MARK = "\u0001"
 
 
@@ -245,7 +238,7 @@ def _fold(versions: Column, start: Column, mode: str) -> Column:
                 ).cast(_STATE).alias("state"),
                 F.concat(
                     acc["decisions"],
-                    F.array(F.struct(v["seq"], v["definition_hash"], action, number)).cast(_DECISIONS),
+                    F.array(F.struct(v["seq"], v["file_path"], action, number)).cast(_DECISIONS),
                 ).alias("decisions"),
             )
 
@@ -288,7 +281,7 @@ def plan_history(
     chunk: int = CHUNK,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """What to do with any number of candidates per contract, taken in order of ``seq``.
+    """What to do with any number of candidates per contract, in order of ``seq`` and path.
 
     Rejected versions are folded out: each is held against what was accepted
     before it. Adds ``action`` and ``registry_version`` to the rows of ``candidates``.
@@ -297,7 +290,7 @@ def plan_history(
         raise ValueError(f"unknown compatibility mode {mode!r}")
     spark = rows.sparkSession
     numbered = (
-        Ordered(rows, ["contract_id"], "seq", tie="definition_hash", hot_rows=hot_rows)
+        Ordered(rows, ["contract_id"], "seq", tie="file_path", hot_rows=hot_rows)
         .running_sum(F.lit(1), "_place")
         .rows()
         .withColumn("_chunk", F.expr(f"(_place - 1) div {chunk}"))
@@ -312,7 +305,7 @@ def plan_history(
         turn = _with_tokens(numbered.where(F.col("_chunk") == number), mode)
         folded = (
             turn.groupBy("contract_id")
-            .agg(F.array_sort(F.collect_list(F.struct("seq", "definition_hash", *tokens))).alias("versions"))
+            .agg(F.array_sort(F.collect_list(F.struct("seq", "file_path", "definition_hash", *tokens))).alias("versions"))
             .join(state, "contract_id", "left")
             .select("contract_id", _fold(F.col("versions"), F.col("state"), mode).alias("f"))
             .select("contract_id", "f.state", "f.decisions")
@@ -322,7 +315,7 @@ def plan_history(
         state = folded.select("contract_id", "state")
         one = folded.select("contract_id", F.inline("decisions"))
         decided = one if decided is None else decided.unionByName(one)
-    return numbered.drop("_chunk").join(decided, ["contract_id", "seq", "definition_hash"])
+    return numbered.drop("_chunk").join(decided, ["contract_id", "seq", "file_path"])
 
 
 def apply_registration(plan: DataFrame, path: str, load_id: str) -> None:

@@ -30,13 +30,14 @@ def definition_hash(avro_schema: Column) -> Column:
 
 
 def history(docs: DataFrame, order: str = "seq") -> DataFrame:
-    """Built documents as ``contract_id, seq, version, definition_hash, contract``."""
+    """Built documents as ``contract_id, seq, version, definition_hash, contract`` and, if known, ``file_path``."""
     return to_avro(built_contracts(docs)).select(
         F.col("contract.contract_id").alias("contract_id"),
         F.col(order).cast("bigint").alias("seq"),
         F.col("contract.version").alias("version"),
         definition_hash(F.col("avro_schema")).alias("definition_hash"),
         "contract",
+        *[name for name in ("file_path",) if name in docs.columns],
     )
 
 
@@ -102,26 +103,32 @@ def diff_versions(old_cols: DataFrame, new_cols: DataFrame, keys: list[str] | No
     return both.select(*keys, *_classify(F.col("old"), F.col("new"), kind(F.col("old")), kind(F.col("new"))))
 
 
-def _paired(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each version after the first with ``pairs``: its columns next to its predecessor's.
+_COLUMN = "struct<name:string,data_type:string,nullable:boolean,description:string>"
+
+
+def side_by_side(old: Column, new: Column) -> Column:
+    """Two column lists of one row as pairs (old, new) by name; NULL where there is no old list.
 
     Both lists are on the row already, so pairing them needs no join.
     """
-    with_previous = (
-        Ordered(versions, ["contract_id"], "seq", tie="definition_hash", hot_rows=hot_rows)
-        .previous({"prev_seq": F.col("seq"), "prev_columns": F.col("contract.columns")})
-        .rows()
+    kept = F.transform(
+        new, lambda n: F.struct(F.try_element_at(F.filter(old, lambda o: o["name"] == n["name"]), F.lit(1)).alias("old"), n.alias("new"))
     )
-    new, old = F.col("contract.columns"), F.col("prev_columns")
-    kept = F.transform(new, lambda n: F.struct(F.try_element_at(F.filter(old, lambda o: o["name"] == n["name"]), F.lit(1)).alias("old"), n.alias("new")))
     gone = F.transform(
         F.filter(old, lambda o: ~F.array_contains(new["name"], o["name"])),
         lambda o: F.struct(o.alias("old"), F.lit(None).cast(_COLUMN).alias("new")),
     )
-    return with_previous.withColumn("pairs", F.when(F.col("prev_seq").isNotNull(), F.concat(kept, gone)))
+    return F.when(old.isNotNull(), F.concat(kept, gone))
 
 
-_COLUMN = "struct<name:string,data_type:string,nullable:boolean,description:string>"
+def _paired(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Each version with ``pairs``: its columns next to its predecessor's, NULL for a first version."""
+    with_previous = (
+        Ordered(versions, ["contract_id"], "seq", tie="definition_hash", hot_rows=hot_rows)
+        .previous({"prev_seq": F.col("seq"), "prev_columns": F.col("contract.columns")})
+        .rows()
+    )
+    return with_previous.withColumn("pairs", side_by_side(F.col("prev_columns"), F.col("contract.columns")))
 
 
 def history_diff(versions: DataFrame, level: str = "contract", hot_rows: int = HOT_ROWS) -> DataFrame:

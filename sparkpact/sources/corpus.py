@@ -167,3 +167,36 @@ def events_arrived(events: DataFrame) -> DataFrame:
     """Events with the time they arrived, up to 12 seconds late."""
     delay = F.expr("make_dt_interval(0, 0, 0, (event_id % 12000) / 1000.0)")
     return events.withColumn("arrival_ts", F.col("ts") + delay)
+
+
+def events_dirty(events: DataFrame) -> DataFrame:
+    """Events with missing users and values that are no numbers."""
+    key = F.col("event_id")
+    return events.select(
+        "event_id",
+        "ts",
+        F.when(key % 13 != 0, F.col("user_id")).alias("user_id"),
+        "event_type",
+        F.when(key % 17 == 0, F.lit("broken")).otherwise(F.col("value").cast("string")).alias("value"),
+        "props",
+    )
+
+
+PROPS_CONTRACT = Contract(
+    contract_id="event-props-v1",
+    name="Event properties",
+    description="What an event carries",
+    columns=(Column("k", "integer", nullable=False), Column("note", "string")),
+)
+
+
+def event_props(events: DataFrame) -> DataFrame:
+    """``event_id, props``: JSON texts, some cut short, some with a value of the wrong type."""
+    key = F.col("event_id")
+    return events.select(
+        "event_id",
+        F.when(key % 9 == 0, F.expr("left(props, length(props) - 1)"))
+        .when(key % 10 == 1, F.lit('{"k": "many"}'))
+        .otherwise(F.col("props"))
+        .alias("props"),
+    )
