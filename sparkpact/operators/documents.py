@@ -3,7 +3,7 @@
 The operators add columns to a table that has a ``raw`` JSON text column; they
 are projections, so any number of them costs one pass and no shuffle.
 
-    parse_contracts   + doc VARIANT, parse_status, facts
+    parse_contracts   + doc VARIANT, parse_status, quick, facts
     check_structure   + errors
     build_contracts   + contract, build_errors
     check_model       + model_errors
@@ -49,8 +49,9 @@ METADATA_KEYS = (*TEXT_METADATA, "sla_uptime_percentage", "sla_max_latency_ms")
 def parse_contracts(docs: DataFrame, raw: str = "raw") -> DataFrame:
     """Parse the JSON and look at each value of interest once.
 
-    ``facts`` keeps what a typed parse would lose: whether a key is absent, null
-    or of another type. Later operators read only ``facts``.
+    ``quick`` is the contract of a document with nothing wrong in it. For any other
+    ``facts`` keeps what a typed parse would lose: whether a key is absent, null or
+    of another type. Later operators read only these two.
     """
     # Read while parsing: without it a repeated key makes the document unreadable.
     docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
@@ -64,6 +65,15 @@ def parse_contracts(docs: DataFrame, raw: str = "raw") -> DataFrame:
     doc = F.col("doc")
     items = F.try_variant_get(doc, "$.columns", "array<variant>")
     parsed = docs.withColumn("doc", F.try_parse_json(F.col(raw))).withColumn("parse_status", status)
+    plain = F.schema_of_variant(doc)
+    parsed = bind(
+        parsed,
+        {
+            "shape": plain,
+            "typed": F.when(plain.rlike(PLAIN_SHAPE), F.try_variant_get(doc, "$", PLAIN_TYPE)),
+        },
+    )
+    parsed = bind(parsed, {"quick": _quick(F.col("shape"), F.col("typed"))}).drop("shape", "typed")
     found = F.struct(
         object_fields(doc, TOP_TEXT).alias("top"),
         F.try_variant_get(doc, "$.columns", "variant").alias("columns_value"),
@@ -71,8 +81,63 @@ def parse_contracts(docs: DataFrame, raw: str = "raw") -> DataFrame:
         F.try_variant_get(doc, "$.metadata", "variant").alias("metadata_value"),
         object_fields(F.try_variant_get(doc, "$.metadata", "variant"), METADATA_KEYS).alias("metadata"),
     )
-    parsed = bind(parsed, {"found": found})
-    return bind(parsed, {"facts": _facts(F.col("found"))}).drop("found")
+    parsed = bind(parsed, {"found": F.when(doc.isNotNull() & F.col("quick").isNull(), found)})
+    return bind(parsed, {"facts": F.when(F.col("found").isNotNull(), _facts(F.col("found")))}).drop("found")
+
+
+# The shape of a document in which every value has the type it should have. Most
+# documents are like that and, if nothing else is wrong with them, need no closer
+# look: they are read as typed in one go. A key the pattern does not know, a null
+# or another type leads to the closer look, not to a verdict.
+PLAIN_SHAPE = (
+    r"^OBJECT<columns: ARRAY<OBJECT<data_type: STRING(, description: STRING)?, name: STRING(, nullable: BOOLEAN)?>>, "
+    r"contract_id: STRING, description: STRING"
+    r"(, metadata: OBJECT<((data_(owner|steward)(_email)?: STRING|sla_max_latency_ms: BIGINT"
+    r"|sla_uptime_percentage: (BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)))(, )?)*>)?, name: STRING(, version: STRING)?>$"
+)
+METADATA_TYPE = "struct<" + ",".join(f"{key}:string" for key in TEXT_METADATA) + ",sla_uptime_percentage:double,sla_max_latency_ms:bigint>"
+PLAIN_TYPE = f"struct<contract_id:string,name:string,description:string,version:string,columns:{COLUMN_TYPE},metadata:{METADATA_TYPE}>"
+
+
+def _quick(shape: Column, typed: Column) -> Column:
+    """The contract of a document that is plain and breaks no rule; NULL for all others.
+
+    A shape is that of all columns taken together, so a key that some column has
+    and another lacks shows as a NULL, as does a null among columns.
+    """
+    defaults = Metadata()
+    columns, metadata = typed["columns"], typed["metadata"]
+    names, types = columns["name"], columns["data_type"]
+    no_nulls = (
+        ~F.exists(names, lambda n: n.isNull() | _blank(n))
+        & (~shape.contains("nullable: ") | ~F.exists(columns["nullable"], F.isnull))
+        & (~shape.contains("data_type: STRING, description: STRING") | ~F.exists(columns["description"], F.isnull))
+    )
+    sound = (
+        (F.size(F.array_except(types, F.array(*[F.lit(t) for t in CONTRACT_TYPES]))) == 0)
+        & (F.size(F.array_distinct(names)) == F.size(names))
+        & no_nulls
+        & ~_blank(typed["contract_id"])
+        & ~_blank(typed["name"])
+        & ~_blank(typed["description"])
+    )
+    contract = F.struct(
+        *[typed[key].alias(key) for key in ("contract_id", "name", "description")],
+        F.coalesce(typed["version"], F.lit(DEFAULT_VERSION)).alias("version"),
+        F.transform(
+            columns,
+            lambda c: F.struct(
+                c["name"].alias("name"),
+                c["data_type"].alias("data_type"),
+                F.coalesce(c["nullable"], F.lit(True)).alias("nullable"),
+                F.coalesce(c["description"], F.lit("")).alias("description"),
+            ),
+        ).cast(COLUMN_TYPE).alias("columns"),
+        F.struct(*[F.coalesce(metadata[key], F.lit(getattr(defaults, key))).alias(key) for key in METADATA_KEYS])
+        .cast(METADATA_TYPE)
+        .alias("metadata"),
+    )
+    return F.when(typed.isNotNull() & sound, contract)
 
 
 def _facts(found: Column) -> Column:
@@ -150,7 +215,8 @@ def check_structure(docs: DataFrame) -> DataFrame:
         F.when(~is_falsy(version) & ~is_string(version), _error("version_not_string", detail=version["text"])),
     )
     column_errors = F.array_compact(F.flatten(F.transform(listed, of_column))).cast(ERROR_TYPE)
-    errors = F.when(F.col("parse_status") != "ok", F.array(_error_of(F.col("parse_status"))).cast(ERROR_TYPE)).otherwise(
+    # What the quick reading let pass has no errors.
+    errors = F.when(F.col("quick").isNotNull(), F.array().cast(ERROR_TYPE)).when(F.col("parse_status") != "ok", F.array(_error_of(F.col("parse_status"))).cast(ERROR_TYPE)).otherwise(
         F.concat(document_errors, F.coalesce(column_errors, F.array().cast(ERROR_TYPE)))
     )
     return bind(docs, {"errors": errors})
@@ -203,7 +269,7 @@ def build_contracts(docs: DataFrame) -> DataFrame:
         *[text(facts[key]).alias(key) for key in ("contract_id", "name", "description")],
         text(facts["version"], DEFAULT_VERSION).alias("version"),
         F.transform(facts["columns"], one_column).cast(COLUMN_TYPE).alias("columns"),
-        metadata.alias("metadata"),
+        metadata.cast(METADATA_TYPE).alias("metadata"),
     )
 
     def unread(draft: Column) -> Column:
@@ -220,8 +286,10 @@ def build_contracts(docs: DataFrame) -> DataFrame:
         not_object = F.when(~is_falsy(meta_value) & ~is_object(meta_value), F.lit("metadata"))
         return F.array_compact(F.array(*top, *within, not_object, *meta_fields))
 
-    drafted = bind(docs, {"draft": F.when(F.size("errors") == 0, draft)})
-    checked = bind(drafted, {"build_errors": F.when(F.col("draft").isNotNull(), unread(F.col("draft")))})
+    quick = F.col("quick")
+    drafted = bind(docs, {"draft": F.when(quick.isNotNull(), quick).when(F.size("errors") == 0, draft)})
+    nothing = F.when(quick.isNotNull(), F.array().cast("array<string>"))
+    checked = bind(drafted, {"build_errors": nothing.when(F.col("draft").isNotNull(), unread(F.col("draft")))})
     return checked.withColumn("contract", F.when(F.size("build_errors") == 0, F.col("draft"))).drop("draft")
 
 
@@ -258,7 +326,7 @@ def check_model(docs: DataFrame) -> DataFrame:
         ),
         F.array_compact(F.flatten(F.transform(columns, of_column))).cast(ERROR_TYPE),
     )
-    return bind(docs, {"model_errors": F.when(contract.isNotNull(), found)})
+    return bind(docs, {"model_errors": F.when(F.col("quick").isNotNull(), F.array().cast(ERROR_TYPE)).when(contract.isNotNull(), found)})
 
 
 def _as_text(errors: Column) -> Column:
@@ -291,17 +359,17 @@ def contract_status(docs: DataFrame) -> DataFrame:
     status = {
         "validate_status": F.when(valid, "valid").otherwise("invalid"),
         "build_status": F.when(_not_null(built), "built").when(valid, "failed"),
-        "reason": F.nullif(F.array_join(reasons, "; "), F.lit("")),
+        "reason": F.when(F.col("quick").isNull(), F.nullif(F.array_join(reasons, "; "), F.lit(""))),
         "contract": F.when(_not_null(built), F.col("contract")),
-        "document_id": F.col("facts.contract_id.text"),
-        "document_name": F.col("facts.name.text"),
+        "document_id": F.coalesce("quick.contract_id", "facts.contract_id.text"),
+        "document_name": F.coalesce("quick.name", "facts.name.text"),
     }
     return bind(docs, status)
 
 
 def load_contracts(docs: DataFrame) -> DataFrame:
     """All of the above, without the intermediate columns."""
-    return contract_status(check_model(build_contracts(check_structure(parse_contracts(docs))))).drop("doc", "facts")
+    return contract_status(check_model(build_contracts(check_structure(parse_contracts(docs))))).drop("doc", "facts", "quick")
 
 
 def built_contracts(docs: DataFrame) -> DataFrame:

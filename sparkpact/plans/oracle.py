@@ -287,9 +287,9 @@ ranked AS (
 ORACLE: dict[str, str] = {
     "contract_files": f"""
         WITH {CORPUS}
-        SELECT cust AS customer, CASE WHEN is_valid THEN 'valid' ELSE 'invalid' END AS validate_status,
-               CASE WHEN is_built THEN 'built' WHEN is_valid THEN 'failed' END AS build_status
-        FROM judged WHERE (cust, k) IN (SELECT (o_custkey, max(o_orderkey)) FROM orders GROUP BY o_custkey)""",
+        SELECT 'domain=' || (cust % 16) AS domain, CASE WHEN is_valid THEN 'valid' ELSE 'invalid' END AS validate_status,
+               CASE WHEN is_built THEN 'built' WHEN is_valid THEN 'failed' END AS build_status, count(*) AS files
+        FROM judged WHERE k IN (SELECT max(o_orderkey) FROM orders GROUP BY o_custkey) GROUP BY ALL""",
     "contract_parse_status": f"""
         WITH {CORPUS} SELECT file_path, CASE WHEN defect = 'cut_short' THEN 'invalid_json' ELSE 'ok' END AS parse_status FROM corpus""",
     "contract_structure_errors": f"""

@@ -78,20 +78,15 @@ def _joined(items: str, one: Callable, sep: str) -> F.Column:
 @query
 def contract_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest document of each contract written as a file of its own, then read back from the folder."""
-    newest = (
-        corpus.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("seq"))
-    )
-    docs = _docs(spark, sf_dir).join(newest, "seq", "left_semi")
+    orders = corpus.spread(corpus.table(spark, sf_dir, "orders"))
+    newest = orders.groupBy("o_custkey").agg(F.max("o_orderkey").alias("seq"))
     path = scratch_dir(spark, "files")
-    docs.select(F.regexp_extract("file_path", r"customer/(\d+)/", 1).alias("customer"), "raw").repartition("customer").write.partitionBy(
-        "customer"
-    ).text(f"{path}/all")
+    customer = F.regexp_extract("file_path", r"customer/(\d+)/", 1).cast("bigint")
+    docs = corpus.contract_corpus(orders).join(newest, "seq", "left_semi")
+    files = docs.select((customer % 16).alias("domain"), "raw").write.partitionBy("domain").option("maxRecordsPerFile", 1)
+    files.text(f"{path}/all")
     loaded = documents.load_contracts(contract_files_source.read_contracts(spark, path, "*.txt"))
-    return loaded.select(
-        F.regexp_extract("domain", r"customer=(\d+)", 1).cast("bigint").alias("customer"),
-        "validate_status",
-        "build_status",
-    )
+    return loaded.groupBy("domain", "validate_status", "build_status").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query
