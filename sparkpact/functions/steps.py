@@ -12,8 +12,8 @@ def bind(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     The optimizer moves filters below projections by copying the expressions they
     refer to. Where one large expression builds on another that multiplies: a
     filter on the last of five steps would hold thousands of copies of the first.
-    It copies nothing that depends on a random number, so each value is put under
-    a condition that does and that always holds.
+    It copies nothing that depends on where a row is processed, so each value is
+    put under a condition that does and that always holds.
     """
-    always = F.rand(0) >= 0
+    always = F.spark_partition_id() >= 0
     return df.withColumns({name: F.when(always, value) for name, value in columns.items()})
