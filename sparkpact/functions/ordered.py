@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkpact.session import materialize
+
 HOT_ROWS = 1_000_000
 BLOCK = "_block"
 
@@ -35,6 +37,9 @@ class Ordered:
         if not self.is_cut:
             self.blocked = df.withColumn(BLOCK, F.lit(0))
             return
+        # The cut path reads the rows several times: have them written, not worked out again.
+        df = materialize(df, "ordered")
+        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
         # Cutting all hot keys at the same values leaves no block of any key with
         # more than its share of the hot rows. Past MAX_BLOCKS blocks grow, and a
         # window over one sorts with spilling.
