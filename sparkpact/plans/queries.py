@@ -486,16 +486,16 @@ def owner_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("contract_id")
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("bad"))
     )
-    return sla.owner_rollup(counts, documents.built_contracts(_loaded(spark, sf_dir)))
+    loaded = materialize(_loaded(spark, sf_dir).select("build_status", "contract", "seq"), "owners")
+    return sla.owner_rollup(counts, documents.built_contracts(loaded))
 
 
 # -- results ---------------------------------------------------------------------
 
 
 def _run(spark: SparkSession, sf_dir: str) -> Run:
-    docs = _docs(spark, sf_dir)
-    existing = _existing_tables(materialize(documents.load_contracts(docs).select("build_status", "contract", "seq"), "existing"))
-    return provision(docs, None, existing, "all")
+    loaded = materialize(_loaded(spark, sf_dir).drop("raw"), "loaded")
+    return provision(loaded, None, _existing_tables(loaded), "all")
 
 
 @query
