@@ -46,19 +46,19 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> lis
     ``rows`` has ``key`` and ``size``. The share is 1 unless one key alone outweighs the tolerance.
     """
     bits = min(KEY_BITS, max(FAN_BITS, (64 * shards - 1).bit_length()))
-    counted = rows.groupBy(_prefix(bits).alias("p")).agg(F.sum("size").alias("n")).collect()
+    counted = rows.groupBy(_prefix(bits).alias("p")).agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     total = sum(r["n"] for r in counted)
     slack = tolerance * total / shards
     targets = [total * i / shards for i in range(1, shards)]
     found: dict[int, tuple[int, float]] = {}
     # Where a boundary may be: the bytes below an interval, and the candidates in it with their bytes.
-    histogram = {(): (0, sorted((r["p"], r["n"]) for r in counted))}
+    histogram = {(): (0, sorted((r["p"], r["n"], r["rows"]) for r in counted))}
     pending = {i: () for i in range(len(targets))}
     while pending and total:
         inside: dict[int, tuple[int, int, int]] = {}
         for i, interval in pending.items():
             below, counts = histogram[interval]
-            for prefix, n in counts:
+            for prefix, n, rows_here in counts:
                 if below + n >= targets[i]:
                     break
                 below += n
@@ -67,6 +67,10 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> lis
                 found[i] = ((prefix + 1) << (KEY_BITS - bits), 1.0)
             elif targets[i] - below <= slack:
                 found[i] = (prefix << (KEY_BITS - bits), 1.0)
+            elif rows_here == 1:
+                # One row goes to the nearer side.
+                first = prefix + (above - targets[i] <= targets[i] - below)
+                found[i] = (first << (KEY_BITS - bits), 1.0)
             elif bits == KEY_BITS:
                 found[i] = (prefix + 1, (targets[i] - below) / n)
             else:
@@ -76,10 +80,10 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> lis
             wanted, old = sorted({p for p, _, _ in inside.values()}), bits
             bits = min(KEY_BITS, bits + FAN_BITS)
             part = rows.where(_prefix(old).isin(wanted))
-            counted = part.groupBy(_prefix(old).alias("o"), _prefix(bits).alias("p")).agg(F.sum("size").alias("n")).collect()
+            counted = part.groupBy(_prefix(old).alias("o"), _prefix(bits).alias("p")).agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
             histogram = {(p,): (below, []) for p, below, _ in inside.values()}
             for r in sorted(counted, key=lambda r: r["p"]):
-                histogram[(r["o"],)][1].append((r["p"], r["n"]))
+                histogram[(r["o"],)][1].append((r["p"], r["n"], r["rows"]))
     return [found.get(i, (0, 1.0)) for i in range(len(targets))]
 
 
