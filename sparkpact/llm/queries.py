@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkpact.llm import contamination, exact_dedup, language, packing, secret_scan, shards, token_store, tokens, url_rules
+from sparkpact.llm import contamination, exact_dedup, language, near_dups, packing, secret_scan, shards, token_store, tokens, url_rules
 from sparkpact.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
