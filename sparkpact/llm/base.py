@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sparkpact.session import materialize
 
 #: Bytes of text that one step of a task works on at a time; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 #: Key of the rows of ``docs`` while an operator works on its own columns.
 ROW = "__row"
@@ -42,11 +42,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = STEP_BYTES) -> DataFrame:
     """``step`` on every bounded slice of every batch. Column 1 must be the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches):
+        for part in sliced(batches, limit=limit):
             out = step(part)
             if out is not None and out.num_rows:
                 yield out
@@ -128,16 +128,16 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[: n + 1]
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """``P[i] = sum(values[j] * BASE ** j for j < i)`` modulo 2**64."""
+def prefix_sums(values: np.ndarray, base: int = BASE) -> np.ndarray:
+    """``P[i] = sum(values[j] * base ** j for j < i)`` modulo 2**64."""
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(BASE, len(values))[:-1], out=out[1:])
+    np.cumsum(values * powers(base, len(values))[:-1], out=out[1:])
     return out
 
 
-def span_hashes(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int = BASE) -> np.ndarray:
     """Hash of each span of values, the same wherever the span lies."""
-    inverse = powers(pow(BASE, -1, 1 << 64), len(prefix) - 1)
+    inverse = powers(pow(base, -1, 1 << 64), len(prefix) - 1)
     return scramble((prefix[end] - prefix[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 

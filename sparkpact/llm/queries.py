@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkpact.llm import contamination, exact_dedup, language, near_dups, packing, secret_scan, shards, token_store, tokens, url_rules
+from sparkpact.llm import contamination, exact_dedup, language, near_dups, packing, repeats, secret_scan, shards, token_store, tokens, url_rules
 from sparkpact.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,15 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["b"] - s["a"])
+    return found.select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(table(spark, sf_dir, "documents"))
