@@ -2,7 +2,7 @@
 
 A window puts a whole key into one task. That is right for keys of ordinary
 size. Keys above ``HOT_ROWS`` rows are first cut into blocks along the order
-column; each block is a window of its own, and only one summary row per block
+and its tie; each block is a window of its own, and only one summary row per block
 is needed to carry values from one block to the next.
 """
 
@@ -16,8 +16,9 @@ from sparkpact.session import materialize
 HOT_ROWS = 1_000_000
 BLOCK = "_block"
 
-
 MAX_BLOCKS = 1024
+# Rows drawn by a hash for each block; the cuts are among them.
+DRAWN = 16
 
 
 class Ordered:
@@ -44,11 +45,12 @@ class Ordered:
         # more than its share of the hot rows. Past MAX_BLOCKS blocks grow, and a
         # window over one sorts with spilling.
         blocks = min(MAX_BLOCKS, 2 * -(-hot_total // hot_rows))
-        shares = [i / blocks for i in range(1, blocks)]
-        hot_only = df.join(hot.select(*keys), keys, "left_semi")
-        cuts = hot_only.agg(F.percentile_approx(order, shares, 10 * MAX_BLOCKS)).first()[0]
+        hot_only = df.join(hot.select(*keys), keys, "left_semi").select(*self.ordering)
+        drawn = hot_only.orderBy(F.xxhash64(*self.ordering)).limit(DRAWN * blocks).collect()
+        places = sorted(tuple(r) for r in drawn)
+        cuts = sorted({places[i * len(places) // blocks] for i in range(1, blocks)})
         marked = df.join(hot.select(*keys, F.lit(True).alias("_hot")), keys, "left")
-        block = F.when(F.col("_hot"), _position(F.col(order), sorted(set(cuts)))).otherwise(0)
+        block = F.when(F.col("_hot"), _position(self.ordering, cuts)).otherwise(0)
         self.blocked = marked.withColumn(BLOCK, block).drop("_hot")
 
     def _window(self):
@@ -100,13 +102,15 @@ class Ordered:
         return copy
 
 
-def _position(value: Column, cuts: list) -> Column:
-    """How many cuts lie below the value, by halving."""
+def _position(ordering: list[str], cuts: list[tuple]) -> Column:
+    """How many cuts lie below the row, by halving."""
+    place = F.struct(*ordering)
 
     def search(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        return F.when(value > F.lit(cuts[middle]), search(middle + 1, high)).otherwise(search(low, middle))
+        cut = F.struct(*[F.lit(v).alias(n) for v, n in zip(cuts[middle], ordering)])
+        return F.when(place > cut, search(middle + 1, high)).otherwise(search(low, middle))
 
     return search(0, len(cuts))

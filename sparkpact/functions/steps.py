@@ -12,8 +12,9 @@ def bind(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     The optimizer moves filters below projections by copying the expressions they
     refer to. Where one large expression builds on another that multiplies: a
     filter on the last of five steps would hold thousands of copies of the first.
-    It copies nothing that depends on where a row is processed, so each value is
-    put under a condition that does and that always holds.
+    It copies nothing that a generator makes, so the values are made by one, from an
+    array of one struct. Filters on other columns still pass it, down to the scan.
+    The new columns come last.
     """
-    always = F.spark_partition_id() >= 0
-    return df.withColumns({name: F.when(always, value) for name, value in columns.items()})
+    kept = [F.col(f"`{name}`") for name in df.columns if name not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))

@@ -23,26 +23,38 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session that names no folder (as in tests) gets one of its own.
-    """
+def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="sparkpact-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/sparkpact/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/sparkpact/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder below the shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local session that names no folder (as in tests) gets one of its own.
+    """
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch of this application; results that were not written yet are lost with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from the written table.
 
     For tables that several later steps read: it cuts lineage, lets each step
-    read only its columns, and is still there when executors are lost.
+    read only its columns, and is still there when executors are lost. With ``by``
+    the table is laid out by the values of that column.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
