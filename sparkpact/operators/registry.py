@@ -1,8 +1,10 @@
 """The registry: which definitions are accepted, and what to do with a new one.
 
 A registry is a table with one row per accepted version of a contract, stored as
-parquet below a folder, one sub-folder per load. Loading again under the same
-load id replaces that load, so a retried job leaves no duplicates.
+parquet below a folder, one sub-folder per load and in it one per hash of the
+contract. Load ids are in order: a load is planned against those before it, and
+loading again under the same id replaces that load alone. So a retried or replayed
+job leaves the registry it left before. ``compact_registry`` puts loads together.
 """
 
 from __future__ import annotations
@@ -19,13 +21,13 @@ from sparkpact.operators.tags import tag_map, typed_tags
 from sparkpact.operators.versions import (
     MODES,
     OFFENDING_TYPE,
-    column_codes,
     definition_hash,
+    first_declared,
     forward_all_offences,
     pair_offences,
     side_by_side,
 )
-from sparkpact.session import materialize
+from sparkpact.session import materialize, scratch_dir
 
 # What an entry says of its format.
 DATA_FORMAT = "AVRO"
@@ -39,18 +41,42 @@ REGISTRY_SCHEMA = (
 )
 
 
+# Folders of a load. Contracts spread over them by hash, the same in every load.
+BUCKETS = 16
+
+
+def _bucket(contract_id: Column) -> Column:
+    return F.pmod(F.xxhash64(contract_id), F.lit(BUCKETS)).cast("int")
+
+
 def read_registry(spark: SparkSession, path: str, before_load: str | None = None) -> DataFrame:
     """All accepted versions; no rows if nothing was ever loaded.
 
-    ``before_load`` leaves one load out: what the registry was before it.
+    With ``before_load`` only loads whose id sorts before it: what the registry was then.
     """
     try:
-        rows = spark.read.schema(f"{REGISTRY_SCHEMA}, load_id string").parquet(path)
+        rows = spark.read.schema(f"{REGISTRY_SCHEMA}, load_id string, bucket int").parquet(path).drop("bucket")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], f"{REGISTRY_SCHEMA}, load_id string")
-    return rows if before_load is None else rows.where(F.col("load_id") != before_load)
+    return rows if before_load is None else rows.where(F.col("load_id") < before_load)
+
+
+def compact_registry(spark: SparkSession, path: str, to: str, before_load: str) -> None:
+    """All loads before ``before_load`` written to the new registry ``to`` as one load under the last of their ids.
+
+    The old registry stays as it is; readers go over when they are given the new folder.
+    """
+    rows = read_registry(spark, path, before_load)
+    last = rows.agg(F.max("load_id")).first()[0]
+    if last is not None:
+        _write_load(rows.drop("load_id"), to, last)
+
+
+def _write_load(rows: DataFrame, path: str, load_id: str) -> None:
+    held = rows.withColumn("bucket", _bucket(F.col("contract_id")))
+    held.write.mode("overwrite").partitionBy("bucket").parquet(f"{path.rstrip('/')}/load_id={load_id}")
 
 
 def latest_versions(registry: DataFrame) -> DataFrame:
@@ -81,6 +107,11 @@ def get_schema(registry: DataFrame, contract_id: str) -> DataFrame:
     return latest_versions(registry.where(F.col("contract_id") == contract_id))
 
 
+def of_contracts(registry: DataFrame, rows: DataFrame) -> DataFrame:
+    """What the registry has of the contracts in ``rows``: a batch never aggregates all the rest."""
+    return registry.join(rows.select("contract_id").distinct(), "contract_id", "left_semi")
+
+
 def candidates(docs: DataFrame, order: str = "seq", mode: str = DEFAULT_MODE) -> DataFrame:
     """Built documents as registry rows that have no number yet; ``file_path`` tells equal ``seq`` apart."""
     entries = to_avro(built_contracts(docs))
@@ -107,10 +138,6 @@ def newest_candidates(docs: DataFrame, order: str = "seq", mode: str = DEFAULT_M
     return last.select("contract_id", "e.*")
 
 
-def _as_versions(rows: DataFrame, seq: Column) -> DataFrame:
-    return rows.select("contract_id", seq.alias("seq"), F.struct("columns").alias("contract"))
-
-
 def plan_registration(registry: DataFrame, one_each: DataFrame, mode: str = DEFAULT_MODE) -> DataFrame:
     """What to do with one candidate per contract: ``action``, ``registry_version``, ``offending``.
 
@@ -119,18 +146,19 @@ def plan_registration(registry: DataFrame, one_each: DataFrame, mode: str = DEFA
     """
     if mode not in MODES:
         raise ValueError(f"unknown compatibility mode {mode!r}")
+    # Read by every branch below: written once, not worked out again for each.
+    one_each = materialize(one_each, "candidates")
+    registry = of_contracts(registry, one_each)
     current = registry.groupBy("contract_id").agg(
         F.max_by(F.struct("registry_version", "definition_hash", "columns"), "registry_version").alias("current")
     )
     known = one_each.join(current, "contract_id", "left")
     if mode == "FORWARD_ALL":
+        declared = first_declared(registry.select("contract_id", F.col("registry_version").alias("seq"), F.lit("").alias("file_path"), "columns"))
         # Any number after the last will do as the candidate's place in history.
-        place = F.lit(2**62).cast("bigint")
-        tried = _as_versions(one_each, place)
-        cols = column_codes(tried)
-        earlier = column_codes(_as_versions(registry, F.col("registry_version"))).join(one_each.select("contract_id"), "contract_id", "left_semi")
-        found = forward_all_offences(earlier, cols, tried.select("contract_id", "seq")).drop("seq")
-        known = known.join(found, "contract_id", "left")
+        place = F.struct(F.lit(2**62).cast("bigint").alias("seq"), F.lit("").alias("file_path"))
+        known = known.join(declared, "contract_id", "left")
+        known = known.withColumn("offending", forward_all_offences(F.col("columns"), place)).drop("declared")
     else:
         known = known.withColumn("offending", pair_offences(side_by_side(F.col("current.columns"), F.col("columns")), mode))
     action = (
@@ -198,6 +226,9 @@ def _with_tokens(rows: DataFrame, mode: str) -> DataFrame:
             "bars_forward": _barred(columns, as_reader=False) if mode != "BACKWARD" else none,
             "bars_backward": _barred(columns, as_reader=True) if mode in ("BACKWARD", "BOTH") else none,
         }
+        if mode != "DISABLED"
+        # Nothing is compared, so nothing is carried along.
+        else dict.fromkeys(("codes", "names", "required", "bars_forward", "bars_backward"), none)
     )
 
 
@@ -296,13 +327,18 @@ def plan_history(
         .withColumn("_chunk", F.expr(f"(_place - 1) div {chunk}"))
         .drop("_place")
     )
-    numbered = materialize(numbered, "candidates")
+    # Written by chunk, so that a round reads its own rows only.
+    numbered = materialize(numbered, "candidates", "_chunk")
     rounds = (numbered.agg(F.max("_chunk")).first()[0] or 0) + 1
     tokens = ("codes", "names", "required", "bars_forward", "bars_backward")
-    state = _registered_state(registry, mode) if registry is not None else spark.createDataFrame([], f"contract_id string, state {_STATE}")
+    if registry is not None:
+        state = _registered_state(of_contracts(registry, numbered), mode)
+    else:
+        state = spark.createDataFrame([], f"contract_id string, state {_STATE}")
+    decisions, schema = scratch_dir(spark, "decisions"), "contract_id string, seq bigint, file_path string, action string, registry_version bigint"
     decided: DataFrame | None = None
     for number in range(rounds):
-        turn = _with_tokens(numbered.where(F.col("_chunk") == number), mode)
+        turn = _with_tokens(numbered.where(F.col("_chunk") == number).select("contract_id", "seq", "file_path", "definition_hash", "columns"), mode)
         folded = (
             turn.groupBy("contract_id")
             .agg(F.array_sort(F.collect_list(F.struct("seq", "file_path", "definition_hash", *tokens))).alias("versions"))
@@ -310,11 +346,15 @@ def plan_history(
             .select("contract_id", _fold(F.col("versions"), F.col("state"), mode).alias("f"))
             .select("contract_id", "f.state", "f.decisions")
         )
-        if rounds > 1:
-            folded = materialize(folded, f"fold-{number}")
+        if rounds == 1:
+            decided = folded.select("contract_id", F.inline("decisions"))
+            break
+        # One file tree for the decisions of all rounds, read once at the end.
+        folded = materialize(folded, f"fold-{number}")
+        folded.select("contract_id", F.inline("decisions")).write.parquet(f"{decisions}/round={number}")
         state = folded.select("contract_id", "state")
-        one = folded.select("contract_id", F.inline("decisions"))
-        decided = one if decided is None else decided.unionByName(one)
+    if decided is None:
+        decided = spark.read.schema(schema).parquet(decisions).select("contract_id", "seq", "file_path", "action", "registry_version")
     return numbered.drop("_chunk").join(decided, ["contract_id", "seq", "file_path"])
 
 
@@ -326,4 +366,4 @@ def apply_registration(plan: DataFrame, path: str, load_id: str) -> None:
     """
     names = [part.split()[0] for part in REGISTRY_SCHEMA.split(", ")]
     accepted = plan.where(F.col("action").isin("create", "new_version")).select(*names)
-    accepted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/load_id={load_id}")
+    _write_load(accepted, path, load_id)

@@ -1,9 +1,10 @@
 """Version histories: numbering, diffs, compatibility, conflicts.
 
-A history is a table of built documents, one per version, with a numeric ``seq``
-that orders the versions of one ``contract_id``. Nothing here joins a contract's
-versions with each other: neighbours come from an ordered pass, and "all earlier
-versions" is one summary row per (contract, column).
+A history is a table of built documents, one per version. The versions of one
+``contract_id`` are in order of ``seq`` and, where that is equal, of ``file_path``;
+the three together are a version's key. Nothing here joins a contract's versions
+with each other: neighbours come from an ordered pass, and "all earlier versions"
+is one summary row per contract.
 """
 
 from __future__ import annotations
@@ -21,7 +22,11 @@ from sparkpact.operators.documents import built_contracts
 # The compatibility modes.
 MODES = ("BACKWARD", "FORWARD", "BOTH", "FORWARD_ALL", "DISABLED")
 
+# Texts of changes and warnings.
+ADDED, RETYPED, REMOVED, LOST = "Added column: ", "Modified column type: ", "Removed column: ", " (data will be lost)"
+
 OFFENDING_TYPE = "array<struct<column:string,reason:string>>"
+KEY = ("contract_id", "seq", "file_path")
 
 
 def definition_hash(avro_schema: Column) -> Column:
@@ -30,14 +35,14 @@ def definition_hash(avro_schema: Column) -> Column:
 
 
 def history(docs: DataFrame, order: str = "seq") -> DataFrame:
-    """Built documents as ``contract_id, seq, version, definition_hash, contract`` and, if known, ``file_path``."""
+    """Built documents as ``contract_id, seq, file_path, version, definition_hash, contract``; an unknown path is empty."""
     return to_avro(built_contracts(docs)).select(
         F.col("contract.contract_id").alias("contract_id"),
         F.col(order).cast("bigint").alias("seq"),
         F.col("contract.version").alias("version"),
         definition_hash(F.col("avro_schema")).alias("definition_hash"),
         "contract",
-        *[name for name in ("file_path",) if name in docs.columns],
+        (F.col("file_path") if "file_path" in docs.columns else F.lit("")).alias("file_path"),
     )
 
 
@@ -47,7 +52,7 @@ def version_history(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     Adds ``prev_seq``, ``prev_version``, ``changed`` and ``registry_version``. A new
     description, owner or service level is a change; a new label alone is not.
     """
-    ordered = Ordered(versions, ["contract_id"], "seq", tie="definition_hash", hot_rows=hot_rows).previous(
+    ordered = Ordered(versions, ["contract_id"], "seq", tie="file_path", hot_rows=hot_rows).previous(
         {"prev_seq": F.col("seq"), "prev_version": F.col("version"), "_prev_hash": F.col("definition_hash")}
     )
     changed = F.col("_prev_hash").isNull() | (F.col("_prev_hash") != F.col("definition_hash"))
@@ -124,7 +129,7 @@ def side_by_side(old: Column, new: Column) -> Column:
 def _paired(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each version with ``pairs``: its columns next to its predecessor's, NULL for a first version."""
     with_previous = (
-        Ordered(versions, ["contract_id"], "seq", tie="definition_hash", hot_rows=hot_rows)
+        Ordered(versions, ["contract_id"], "seq", tie="file_path", hot_rows=hot_rows)
         .previous({"prev_seq": F.col("seq"), "prev_columns": F.col("contract.columns")})
         .rows()
     )
@@ -132,18 +137,17 @@ def _paired(versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def history_diff(versions: DataFrame, level: str = "contract", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``diff_versions`` of every version against its predecessor, keyed (contract_id, seq)."""
+    """``diff_versions`` of every version against its predecessor, keyed (contract_id, seq, file_path)."""
     kind = _type_at(level)
-    pair = _paired(versions, hot_rows).select("contract_id", "seq", "prev_seq", F.explode("pairs").alias("p"))
+    pair = _paired(versions, hot_rows).select(*KEY, "prev_seq", F.explode("pairs").alias("p"))
     pair = pair.select(
-        "contract_id",
-        "seq",
+        *KEY,
         "prev_seq",
         F.col("p.old").alias("old"),
         F.col("p.new").alias("n"),
     ).withColumn("new", F.when(F.col("n").isNotNull(), F.struct("n.*", F.lit(False).alias("has_default"))))
     return pair.select(
-        "contract_id", "seq", "prev_seq", *_classify(F.col("old"), F.col("new"), kind(F.col("old")), kind(F.col("new")))
+        *KEY, "prev_seq", *_classify(F.col("old"), F.col("new"), kind(F.col("old")), kind(F.col("new")))
     )
 
 
@@ -155,9 +159,9 @@ def diff_summary(diff: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """
     keys = keys or ["contract_id"]
     kind = F.col("kind")
-    retyped = F.concat(F.lit("Modified column type: "), F.col("column"), F.lit(" ("), F.col("old_type"), F.lit(" → "), F.col("new_type"), F.lit(")"))
-    added = F.concat(F.lit("Added column: "), F.col("column"), F.lit(" ("), F.col("new_type"), F.lit(")"))
-    removed = F.concat(F.lit("Removed column: "), F.col("column"), F.lit(" (data will be lost)"))
+    retyped = F.concat(F.lit(RETYPED), F.col("column"), F.lit(" ("), F.col("old_type"), F.lit(" → "), F.col("new_type"), F.lit(")"))
+    added = F.concat(F.lit(ADDED), F.col("column"), F.lit(" ("), F.col("new_type"), F.lit(")"))
+    removed = F.concat(F.lit(REMOVED), F.col("column"), F.lit(LOST))
     is_added = kind.startswith("added_")
 
     def texts(*cases: Column) -> Column:
@@ -215,7 +219,7 @@ def pair_offences(pairs: Column, mode: str) -> Column:
 
 
 def compatibility(versions: DataFrame, mode: str = "FORWARD_ALL", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``contract_id, seq, version, compatible, offending`` for every version.
+    """``contract_id, seq, file_path, version, compatible, offending`` for every version.
 
     FORWARD: the data of a version must be readable with its predecessor's schema;
     BACKWARD the other way round; BOTH both; FORWARD_ALL: readable with every
@@ -227,93 +231,71 @@ def compatibility(versions: DataFrame, mode: str = "FORWARD_ALL", hot_rows: int
     if mode != "FORWARD_ALL":
         checked = _paired(versions, hot_rows).withColumn("offending", pair_offences(F.col("pairs"), mode))
     else:
-        cols = column_codes(versions)
-        found = forward_all_offences(cols, cols, versions.select("contract_id", "seq"), hot_rows)
-        checked = versions.join(found, ["contract_id", "seq"], "left").withColumn(
-            "offending", F.coalesce("offending", F.array().cast(OFFENDING_TYPE))
-        )
-    return checked.select("contract_id", "seq", "version", (F.size("offending") == 0).alias("compatible"), "offending")
-
-
-def column_codes(versions: DataFrame) -> DataFrame:
-    """``contract_id, seq, column, avro, nullable``: what decides compatibility."""
-    return versions.select("contract_id", "seq", F.explode("contract.columns").alias("c")).select(
-        "contract_id",
-        "seq",
-        F.col("c.name").alias("column"),
-        map_types(F.col("c.data_type"), "avro").alias("avro"),
-        F.col("c.nullable").alias("nullable"),
-    )
+        declared = first_declared(versions.select(*KEY, F.col("contract.columns").alias("columns")))
+        checked = versions.join(declared, "contract_id", "left")
+        offending = forward_all_offences(F.col("contract.columns"), F.struct("seq", "file_path"))
+        checked = checked.withColumn("offending", offending)
+    return checked.select(*KEY, "version", (F.size("offending") == 0).alias("compatible"), "offending")
 
 
-def forward_all_offences(earlier: DataFrame, cols: DataFrame, versions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Offences of ``versions`` (with columns ``cols``) against all ``earlier`` columns with a lower seq.
+def first_declared(rows: DataFrame) -> DataFrame:
+    """``contract_id, declared``: what each column was, and since when, over all versions of a contract.
 
-    ``earlier`` shrinks, before it is shuffled, to when each column first appeared
-    under each type. A version offends by a column some earlier type cannot read,
-    which is a lookup per column, or by lacking a column that was once required.
-    The latter are counted first and named only for versions that do lack some.
+    ``rows`` has the key and ``columns``. A version shrinks, before anything is
+    shuffled, to when each column first appeared under each type; a contract is one
+    row with one entry per column it ever had.
     """
-    firsts = earlier.groupBy("contract_id", "column").agg(
-        *[F.min(F.when(_is_code(F.col("avro"), F.col("nullable"), code), F.col("seq"))).alias(_first(code)) for code in FIELD_CODES]
-    )
-    earliest_bad = reduce(
-        lambda case, code: case.when(
-            _is_code(F.col("avro"), F.col("nullable"), code),
-            _least([F.col(_first(r)) for r in FIELD_CODES if not readable(writer=code, reader=r)]),
-        ),
-        FIELD_CODES,
-        F.when(F.lit(False), F.lit(None).cast("bigint")),
+    place = F.struct("seq", "file_path")
+    cols = rows.select("contract_id", place.alias("place"), F.explode("columns").alias("c")).select(
+        "contract_id", "place", F.col("c.name").alias("column"), map_types(F.col("c.data_type"), "avro").alias("avro"), F.col("c.nullable").alias("nullable")
     )
-    required_since = _least([F.col(_first(code)) for code in FIELD_CODES if not code[1]])
-    looked_up = cols.join(firsts, ["contract_id", "column"]).select(
-        "contract_id",
-        "seq",
-        "column",
-        F.coalesce(earliest_bad < F.col("seq"), F.lit(False)).alias("retyped"),
-        F.coalesce(required_since < F.col("seq"), F.lit(False)).alias("was_required"),
-    )
-    per_version = looked_up.groupBy("contract_id", "seq").agg(
-        F.collect_list(F.when(F.col("retyped"), F.struct("column", F.lit("type").alias("reason")))).alias("retyped"),
-        F.count_if("was_required").alias("kept"),
+    firsts = cols.groupBy("contract_id", "column").agg(
+        *[F.min(F.when(_is_code(F.col("avro"), F.col("nullable"), code), F.col("place"))).alias(_first(code)) for code in FIELD_CODES]
     )
+    # Since when a column of a code is one that an earlier version cannot read.
+    bad = {code: _least([F.col(_first(r)) for r in FIELD_CODES if not readable(writer=code, reader=r)]) for code in FIELD_CODES}
+    required = _least([F.col(_first(code)) for code in FIELD_CODES if not code[1]])
+    entry = F.struct("column", required.alias("required"), F.struct(*[value.alias(_bad(code)) for code, value in bad.items()]).alias("bad"))
+    return firsts.groupBy("contract_id").agg(F.collect_list(entry).alias("declared"))
 
-    required = firsts.select("contract_id", "column", required_since.alias("since")).where(F.col("since").isNotNull())
-    # Versions sort before the requirements that start with them.
-    steps = versions.select("contract_id", "seq", F.lit(0).alias("step")).unionByName(
-        required.select("contract_id", F.col("since").alias("seq"), F.lit(1).alias("step"))
-    )
-    due = (
-        Ordered(steps, ["contract_id"], "seq", tie="step", hot_rows=hot_rows)
-        .running_sum(F.col("step"), "due")
-        .rows()
-        .where(F.col("step") == 0)
-        .drop("step")
-    )
-    counted = due.join(per_version, ["contract_id", "seq"], "left")
-    lacking = counted.where(F.col("due") > F.coalesce("kept", F.lit(0))).select("contract_id", "seq")
-    lacked = (
-        lacking.join(required, "contract_id")
-        .where(F.col("since") < F.col("seq"))
-        .join(cols.select("contract_id", "seq", "column"), ["contract_id", "seq", "column"], "left_anti")
-        .groupBy("contract_id", "seq")
-        .agg(F.collect_list(F.struct("column", F.lit("no_default").alias("reason"))).alias("lacked"))
+
+def forward_all_offences(columns: Column, place: Column) -> Column:
+    """Offences of a version with ``columns`` at ``place`` against all versions before it, from ``declared``.
+
+    A version offends by a column that some earlier type cannot read, or by lacking
+    one that an earlier version requires. Everything is on the row: no join.
+    """
+    declared = F.col("declared")
+
+    def since(c: Column, entry: Column) -> Column:
+        avro = map_types(c["data_type"], "avro")
+        cases = F.when(F.lit(False), entry["required"])
+        for code in FIELD_CODES:
+            cases = cases.when(_is_code(avro, c["nullable"], code), entry["bad"][_bad(code)])
+        return cases
+
+    retyped = F.filter(
+        columns, lambda c: F.exists(F.filter(declared, lambda d: d["column"] == c["name"]), lambda d: F.coalesce(since(c, d) < place, F.lit(False)))
     )
-    none = F.array().cast(OFFENDING_TYPE)
-    return counted.join(lacked, ["contract_id", "seq"], "left").select(
-        "contract_id",
-        "seq",
-        F.array_sort(F.concat(F.coalesce("retyped", none), F.coalesce("lacked", none)).cast(OFFENDING_TYPE)).alias("offending"),
+    lacked = F.filter(declared, lambda d: F.coalesce(d["required"] < place, F.lit(False)) & ~F.array_contains(columns["name"], d["column"]))
+    found = F.concat(
+        F.transform(retyped, lambda c: F.struct(c["name"].alias("column"), F.lit("type").alias("reason"))).cast(OFFENDING_TYPE),
+        F.transform(lacked, lambda d: F.struct(d["column"].alias("column"), F.lit("no_default").alias("reason"))).cast(OFFENDING_TYPE),
     )
+    return F.coalesce(F.array_sort(found), F.array().cast(OFFENDING_TYPE))
 
 
 def _first(code: tuple[str, bool]) -> str:
     return f"first_{code[0]}_{'null' if code[1] else 'req'}"
 
 
+def _bad(code: tuple[str, bool]) -> str:
+    return f"bad_{code[0]}_{'null' if code[1] else 'req'}"
+
+
 def _least(columns: list[Column]) -> Column:
     if not columns:
-        return F.lit(None).cast("bigint")
+        return F.lit(None).cast("struct<seq:bigint,file_path:string>")
     return F.least(*columns) if len(columns) > 1 else columns[0]
 
 
