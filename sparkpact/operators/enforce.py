@@ -17,9 +17,8 @@ from sparkpact.model import Column as ContractColumn
 from sparkpact.model import Contract
 
 REASON_TYPE = "array<struct<column:string,code:string>>"
-
-# Beyond this many counters one aggregate would outgrow generated code.
-MAX_COUNTERS = 100
+_ENTRY_TYPE = "array<struct<column:string,code:string,value:string>>"
+_LINE_TYPE = "array<struct<column:string,code:string,bad:bigint>>"
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -109,33 +108,18 @@ def violations(df: DataFrame, contract: Contract, key: list[str]) -> DataFrame:
         F.when(broken, F.struct(F.lit(c.name).alias("column"), F.lit(code).alias("code"), text(c.name).alias("value")))
         for c, code, broken in rules(df, contract)
     ]
-    return df.select(*key, F.inline(F.array_compact(F.array(*entries))))
+    return df.select(*key, F.inline(F.array_compact(F.array(*entries).cast(_ENTRY_TYPE))))
 
 
 def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:
     """``contract_id, column, code, rows, bad, ratio``: all rules in one pass.
 
-    Each task counts on its own; what is shuffled is one row of counters per task.
+    Each task counts on its own, and what is shuffled is one row of counters per
+    task, however many rules there are. A contract without rules has no lines.
     """
     all_rules = rules(df, contract)
-    if len(all_rules) <= MAX_COUNTERS:
-        counters = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(broken).alias(f"n{i}") for i, (_, _, broken) in enumerate(all_rules)])
-    else:
-        # One counter per rule would be too much code: number the broken rules of
-        # a row and count numbers instead. Rule -1 stands for the row itself.
-        broken = F.array_compact(F.array(F.lit(-1), *[F.when(b, F.lit(i)) for i, (_, _, b) in enumerate(all_rules)]))
-        per_rule = df.select(F.explode(broken).alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-        counted = per_rule.agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("m"))
-        counters = counted.select(
-            F.coalesce(F.try_element_at("m", F.lit(-1)), F.lit(0)).alias("rows"),
-            *[F.coalesce(F.try_element_at("m", F.lit(i)), F.lit(0)).alias(f"n{i}") for i in range(len(all_rules))],
-        )
-    lines = F.array(
-        *[
-            F.struct(F.lit(c.name).alias("column"), F.lit(code).alias("code"), F.col(f"n{i}").alias("bad"))
-            for i, (c, code, _) in enumerate(all_rules)
-        ]
-    )
+    counters = df.agg(F.count(F.lit(1)).alias("rows"), *rule_counters(all_rules))
+    lines = rule_lines(all_rules)
     ratio = F.when(F.col("rows") > 0, F.round(F.col("bad") / F.col("rows"), 6)).otherwise(0.0)
     return (
         counters.select("rows", F.inline(lines))
@@ -143,6 +127,19 @@ def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def rule_counters(all_rules: list[tuple[ContractColumn, str, Column]]) -> list[Column]:
+    return [F.count_if(broken).alias(f"n{i}") for i, (_, _, broken) in enumerate(all_rules)]
+
+
+def rule_lines(all_rules: list[tuple[ContractColumn, str, Column]]) -> Column:
+    """The counters as an array of ``column, code, bad``."""
+    lines = [
+        F.struct(F.lit(c.name).alias("column"), F.lit(code).alias("code"), F.col(f"n{i}").alias("bad"))
+        for i, (c, code, _) in enumerate(all_rules)
+    ]
+    return F.array(*lines).cast(_LINE_TYPE)
+
+
 def with_reasons(df: DataFrame, contract: Contract) -> DataFrame:
     """``df`` with ``_reasons``: every rule the row breaks, empty if none."""
     entries = [
@@ -167,7 +164,9 @@ def split_rows(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]
 def parse_records(df: DataFrame, raw_col: str, contract: Contract) -> DataFrame:
     """JSON texts read under the contract; the text of what cannot be is kept in ``_corrupt``.
 
-    Replaces ``raw_col`` by the contract's columns.
+    Replaces ``raw_col`` by the contract's columns. A field that is absent reads as
+    null, also where the contract requires one: that is a violation of the row,
+    which ``violations`` and ``split_rows`` find, and no fault of the text.
     """
     declared = ", ".join(f"`{c.name}` {TYPE_MAPS['table'][c.data_type]}" for c in contract.columns)
     read = F.from_json(F.col(raw_col), f"{declared}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})

@@ -34,7 +34,7 @@ def run_summary(validation: DataFrame, schema: DataFrame, tables: DataFrame, str
     """One row: counts, ``ready`` and ``actions`` (what to fix).
 
     Ready if all files are valid and every contract is registered and has its
-    table. Tables that needed no change count as done and invalid files as not
+    table; what is only planned is not done. Tables that needed no change count as done and invalid files as not
     done; ``strict`` restores the older gate, which looked at contracts instead of
     files and counted only created and updated tables.
     """
@@ -45,11 +45,13 @@ def run_summary(validation: DataFrame, schema: DataFrame, tables: DataFrame, str
     v = validation.agg(F.count(F.lit(1)).alias("total_files"), F.count_if(F.col("validate_status") == "valid").alias("validation_passed"))
     s = schema.agg(
         F.count_if(F.col("schema_status") == "registered").alias("schema_registered"),
+        F.count_if(F.col("schema_status") == "planned").alias("schema_planned"),
         F.count_if(F.col("schema_status") == "failed").alias("schema_failed"),
         F.count(F.lit(1)).alias("schema_results"),
     )
     t = tables.agg(
         *[F.count_if(F.col("table_status") == name).alias(f"tables_{name}") for name in ("created", "updated", "unchanged", "failed")],
+        F.count_if(F.col("table_status").startswith("planned_")).alias("tables_planned"),
         F.count(F.lit(1)).alias("table_results"),
     )
     # Four one-row tables side by side.
@@ -69,8 +71,9 @@ def run_summary(validation: DataFrame, schema: DataFrame, tables: DataFrame, str
     actions = F.array_compact(
         F.array(
             F.when(~valid_ok, F.lit("fix validation errors")),
-            F.when(~schema_ok, F.lit("fix schema registration")),
-            F.when(~table_ok, F.lit("fix table creation")),
+            F.when(F.col("schema_failed") > 0 if not strict else ~schema_ok, F.lit("fix schema registration")),
+            F.when(F.col("tables_failed") > 0 if not strict else ~table_ok, F.lit("fix table creation")),
+            F.when(F.col("schema_planned") + F.col("tables_planned") > 0, F.lit("apply what is planned")),
         )
     )
     return one.select(
@@ -78,10 +81,12 @@ def run_summary(validation: DataFrame, schema: DataFrame, tables: DataFrame, str
         "total_contracts",
         "validation_passed",
         "schema_registered",
+        "schema_planned",
         "schema_failed",
         "tables_created",
         "tables_updated",
         "tables_unchanged",
+        "tables_planned",
         "tables_failed",
         (exact & (F.col("total_contracts") > 0)).alias("ready"),
         actions.alias("actions"),
@@ -89,11 +94,16 @@ def run_summary(validation: DataFrame, schema: DataFrame, tables: DataFrame, str
 
 
 def file_status(docs: DataFrame) -> DataFrame:
-    """``file, status, contract_name, reason`` of loaded documents, as PASSED, FAILED or SKIPPED."""
-    skipped = ~F.col("file_path").endswith(".json")
+    """``file, status, contract_name, reason`` of loaded documents, as PASSED, FAILED or SKIPPED.
+
+    Skipped are files that are no JSON by name, and listed files that were not
+    there (``raw`` is null).
+    """
+    missing = F.col("raw").isNull() if "raw" in docs.columns else F.lit(False)
+    skipped = ~F.col("file_path").endswith(".json") | missing
     passed = F.col("build_status") == "built"
     status: Column = F.when(skipped, "SKIPPED").when(passed, "PASSED").otherwise("FAILED")
-    reason = F.when(skipped, "Not a JSON file").when(F.coalesce(passed, F.lit(False)), F.lit(None)).otherwise(F.col("reason"))
+    reason = F.when(missing, FILE_NOT_FOUND).when(skipped, "Not a JSON file").when(F.coalesce(passed, F.lit(False)), F.lit(None)).otherwise(F.col("reason"))
     contract_name = F.when(F.array_contains("errors.code", "invalid_json") | skipped, F.lit(None)).otherwise(F.coalesce("document_name", F.lit("unknown")))
     return docs.select(F.col("file_path").alias("file"), status.alias("status"), contract_name.alias("contract_name"), reason.alias("reason"))
 

@@ -11,6 +11,8 @@ from sparkpact.model import Contract
 # has more than some 10^5 buckets, however long its rows took.
 BUCKET_BITS = 12
 
+UNKNOWN_OWNER = "(unknown)"
+
 
 def latency_ms(event_ts: str, arrival_ts: str) -> Column:
     return F.unix_millis(F.col(arrival_ts).cast("timestamp")) - F.unix_millis(F.col(event_ts).cast("timestamp"))
@@ -40,6 +42,10 @@ def sla_latency(
     puts the latencies of a whole group into one task.
     """
     percentiles = percentiles or {"p50": 0.5, "p99": 0.99}
+    if not by:
+        # Without groups all rows are one, under a key of its own.
+        whole = sla_latency(df.withColumn("__all", F.lit(0)), event_ts, arrival_ts, contract, ["__all"], percentiles)
+        return whole.drop("__all")
     limit = contract.metadata.sla_max_latency_ms
     counts = (
         df.select(*by, latency_ms(event_ts, arrival_ts).alias("ms"))
@@ -105,21 +111,17 @@ def owner_rollup(counts: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``counts`` has ``contract_id, rows, bad`` (one line per rule). Lines with a
     NULL contract_id are an owner's total, those with a NULL owner everyone's.
-    Counts are reduced to one row per contract before the owners are joined.
+    Counts are reduced to one row per contract before the owners are joined, and
+    owners to the newest document's (by ``seq`` and path where there are any, else
+    the last by name). Counts of a contract without a document are under
+    ``UNKNOWN_OWNER``.
     """
     per_contract = counts.groupBy("contract_id").agg(F.max("rows").alias("rows"), F.sum("bad").alias("bad"))
-    owners = docs.select(
-        F.col("contract.contract_id").alias("contract_id"),
-        F.struct(F.col("contract.metadata.data_owner").alias("o"), F.col("contract.metadata.data_steward").alias("s")).alias("who"),
-    )
-    if "seq" in docs.columns:
-        owners = docs.groupBy(F.col("contract.contract_id").alias("contract_id")).agg(
-            F.max_by(
-                F.struct(F.col("contract.metadata.data_owner").alias("o"), F.col("contract.metadata.data_steward").alias("s")), "seq"
-            ).alias("who")
-        )
-    joined = per_contract.join(owners, "contract_id").select(
-        F.col("who.o").alias("owner"), F.col("who.s").alias("steward"), "contract_id", "rows", "bad"
+    who = F.struct(F.col("contract.metadata.data_owner").alias("o"), F.col("contract.metadata.data_steward").alias("s"))
+    newest = F.struct(*[F.col(c) for c in ("seq", "file_path") if c in docs.columns], who)
+    owners = docs.groupBy(F.col("contract.contract_id").alias("contract_id")).agg(F.max_by(who, newest).alias("who"))
+    joined = per_contract.join(owners, "contract_id", "left").select(
+        F.coalesce("who.o", F.lit(UNKNOWN_OWNER)).alias("owner"), F.coalesce("who.s", F.lit(UNKNOWN_OWNER)).alias("steward"), "contract_id", "rows", "bad"
     )
     return joined.rollup("owner", "steward", "contract_id").agg(
         F.count(F.lit(1)).alias("contracts"), F.sum("rows").alias("rows"), F.sum("bad").alias("bad")

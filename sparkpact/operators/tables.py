@@ -18,6 +18,7 @@ MAX_COLUMNS = 1000
 DATABASE = "iceberg_tables"
 VERSION_PROPERTY = "iceberg_table_version"
 UNKNOWN = "Unknown"
+DESCRIPTION = "Iceberg table for "
 
 EXISTING_SCHEMA = "table_name string, name string, type string, contract_id string, version string"
 
@@ -151,15 +152,21 @@ def write_contract_table(df: DataFrame, contract: Contract, root: str, database:
     An existing table is left as it is.
     """
     spark = df.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    place = f"{root.rstrip('/')}/{database}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_quoted(place)}")
     table = f"`{database}`.`{_name(contract)}`"
     if not spark.catalog.tableExists(f"{database}.{_name(contract)}"):
         location = f"{root.rstrip('/')}/{database}/{_name(contract)}/{_stamp(contract)}"
-        description = contract.description or f"Iceberg table for {contract.contract_id}"
+        description = contract.description or f"{DESCRIPTION}{contract.contract_id}"
         _create(conform(df, contract), contract, table, location, properties(contract), description)
     return table
 
 
+def create_contract_table(spark: SparkSession, contract: Contract, root: str, database: str = DATABASE) -> str:
+    """Create the contract's table without rows."""
+    return write_contract_table(spark.createDataFrame([], "`__none` string"), contract, root, database)
+
+
 class TableNotFound(LookupError):
     """A table that should be evolved is not in the catalog."""
 

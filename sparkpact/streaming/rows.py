@@ -1,13 +1,22 @@
-"""Contracts enforced on streams of rows: split, violation counts, latency."""
+"""Contracts enforced on streams of rows: split, violation counts, latency.
+
+Windows are counted batch by batch: each batch leaves its share of every window it
+touches in a folder of its own, which a replay after a failure replaces, and a reader
+adds the shares up. So the result holds every window, also the last ones, and every
+row: late rows are counted in the window they belong to, however late they are, and
+rows without a time in lines whose window is NULL. No state is kept between batches.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkpact.model import Contract
-from sparkpact.operators.enforce import rules, split_rows
+from sparkpact.operators.enforce import rule_counters, rule_lines, rules, split_rows
 from sparkpact.operators.sla import latency_ms
 
 
@@ -19,44 +28,57 @@ def stream_split(rows: DataFrame, contract: Contract, valid_path: str, quarantin
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
         valid, quarantine = split_rows(batch, contract)
         valid.write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
         quarantine.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
-        batch.unpersist()
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _windowed(rows: DataFrame, ts: str, contract: Contract, window: str, slide: str | None, delay: str | None) -> tuple[DataFrame, Column]:
-    """Rows with a watermark on ``ts``; a watermark needs a time with a zone."""
-    delay = delay or f"{contract.metadata.sla_max_latency_ms} milliseconds"
-    timed = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    return timed, F.window(ts, window, slide).alias("window")
+def _by_window(rows: DataFrame, ts: str, window: str, slide: str | None, by: list[str], values: list) -> DataFrame:
+    """Aggregates per window of ``ts``, and in a line without window for rows without a time."""
+    timed = rows.withColumn(ts, F.col(ts).cast("timestamp"))
+    span = F.window(ts, window, slide).alias("window")
+    inside = timed.groupBy(span, *by).agg(*values).withColumn("window_start", F.col("window.start")).drop("window")
+    outside = timed.where(F.col(ts).isNull()).groupBy(*by).agg(*values).withColumn("window_start", F.lit(None).cast("timestamp"))
+    # Without groups an aggregate over no rows is a row still.
+    return inside.unionByName(outside.where("rows > 0"))
 
 
-def stream_violation_counts(
-    rows: DataFrame, ts: str, contract: Contract, window: str, slide: str | None = None, delay: str | None = None
+def window_violations(rows: DataFrame, ts: str, contract: Contract, window: str, slide: str | None = None) -> DataFrame:
+    """``window_start, column, code, rows, bad`` per tumbling or sliding window."""
+    all_rules = rules(rows, contract)
+    counted = _by_window(rows, ts, window, slide, [], [F.count(F.lit(1)).alias("rows"), *rule_counters(all_rules)])
+    return counted.select("window_start", "rows", F.inline(rule_lines(all_rules))).select("window_start", "column", "code", "rows", "bad")
+
+
+def window_sla(
+    rows: DataFrame, event_ts: str, arrival_ts: str, contract: Contract, window: str, by: list[str] | None = None, slide: str | None = None
 ) -> DataFrame:
-    """``window_start, column, code, rows, bad`` per tumbling or sliding window.
+    """``window_start, by…, rows, late, max_ms`` per window of event time."""
+    ms = latency_ms(event_ts, arrival_ts)
+    values = [F.count(F.lit(1)).alias("rows"), F.count_if(ms > contract.metadata.sla_max_latency_ms).alias("late"), F.max(ms).alias("max_ms")]
+    return _by_window(rows, event_ts, window, slide, by or [], values).select("window_start", *(by or []), "rows", "late", "max_ms")
+
+
+def _stream_windows(rows: DataFrame, share: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        share(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_violation_counts(
+    rows: DataFrame, ts: str, contract: Contract, window: str, path: str, checkpoint: str, slide: str | None = None
+) -> StreamingQuery:
+    """Count violations per window of a stream; read the result with ``read_violation_counts``."""
+    return _stream_windows(rows, lambda batch: window_violations(batch, ts, contract, window, slide), path, checkpoint)
 
-    Rows later than the watermark (by default the contract's latency) are dropped;
-    in append mode a window appears when the watermark has passed it.
-    """
-    timed, span = _windowed(rows, ts, contract, window, slide, delay)
-    # Rules about the event time are counted only for rows that have one.
-    broken_rules = rules(timed, contract)
-    counters = [F.count_if(broken).alias(f"n{i}") for i, (_, _, broken) in enumerate(broken_rules)]
-    lines = F.array(
-        *[
-            F.struct(F.lit(c.name).alias("column"), F.lit(code).alias("code"), F.col(f"n{i}").alias("bad"))
-            for i, (c, code, _) in enumerate(broken_rules)
-        ]
-    )
-    counted = timed.groupBy(span).agg(F.count(F.lit(1)).alias("rows"), *counters)
-    return counted.select(F.col("window.start").alias("window_start"), "rows", F.inline(lines)).select(
-        "window_start", "column", "code", "rows", "bad"
-    )
+
+def read_violation_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``window_start, column, code, rows, bad`` of all batches."""
+    shares = spark.read.schema("window_start timestamp, column string, code string, rows bigint, bad bigint").parquet(path)
+    return shares.groupBy("window_start", "column", "code").agg(F.sum("rows").alias("rows"), F.sum("bad").alias("bad"))
 
 
 def stream_sla(
@@ -65,27 +87,17 @@ def stream_sla(
     arrival_ts: str,
     contract: Contract,
     window: str,
+    path: str,
+    checkpoint: str,
     by: list[str] | None = None,
     slide: str | None = None,
-    delay: str | None = None,
-) -> DataFrame:
-    """``window_start, by…, rows, late, max_ms, met`` per window of event time."""
-    timed, span = _windowed(rows, event_ts, contract, window, slide, delay)
-    ms = latency_ms(event_ts, arrival_ts)
-    late = F.count_if(ms > contract.metadata.sla_max_latency_ms)
-    return (
-        timed.groupBy(span, *(by or []))
-        .agg(F.count(F.lit(1)).alias("rows"), late.alias("late"), F.max(ms).alias("max_ms"))
-        .select(F.col("window.start").alias("window_start"), *(by or []), "rows", "late", "max_ms", (F.col("late") == 0).alias("met"))
-    )
-
-
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Closed windows to a folder, exactly once; processes what there is and ends."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+) -> StreamingQuery:
+    """Measure latency per window of a stream; read the result with ``read_sla``."""
+    return _stream_windows(rows, lambda batch: window_sla(batch, event_ts, arrival_ts, contract, window, by, slide), path, checkpoint)
+
+
+def read_sla(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """``window_start, by…, rows, late, max_ms, met`` of all batches."""
+    shares = spark.read.parquet(path).groupBy("window_start", *(by or []))
+    merged = shares.agg(F.sum("rows").alias("rows"), F.sum("late").alias("late"), F.max("max_ms").alias("max_ms"))
+    return merged.withColumn("met", F.col("late") == 0)
