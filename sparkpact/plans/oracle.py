@@ -8,7 +8,9 @@ from __future__ import annotations
 
 CORPUS = """
 corpus AS (
-    SELECT o_orderkey AS k, o_orderkey AS seq, o_custkey AS cust, 'cust-' || o_custkey AS contract_id,
+    SELECT *, row_number() OVER (PARTITION BY cust ORDER BY label, file_path) AS seq FROM (
+    SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey ELSE o_orderkey - o_orderkey % 5000 END AS label,
+           o_custkey AS cust, 'cust-' || o_custkey AS contract_id,
            'all/customer/' || o_custkey || '/' || o_orderkey || '.json' AS file_path,
            o_orderstatus AS st, o_orderpriority AS pr, (1 + o_orderkey % 3) || '.0.0' AS version,
            o_orderstatus <> 'F' AS amount_null, o_orderstatus <> 'P' AS has_placed,
@@ -24,7 +26,7 @@ corpus AS (
                 WHEN o_orderkey % 37 = 0 THEN 'numeric_version'
                 WHEN o_orderkey % 41 = 0 THEN 'null_description'
                 ELSE 'clean' END AS defect
-    FROM orders
+    FROM orders)
 ),
 judged AS (
     SELECT *,
@@ -37,18 +39,18 @@ built AS (
     SELECT *, concat_ws('|', amount_null, has_placed, pr_type, has_flag, owner, latency) AS def FROM judged WHERE is_built
 ),
 cols AS (
-    SELECT contract_id, seq, file_path, version, 0 AS ordinal, 'id' AS name, 'string' AS data_type, false AS nullable FROM built
-    UNION ALL SELECT contract_id, seq, file_path, version, 1, 'amount', 'number', amount_null FROM built
-    UNION ALL SELECT contract_id, seq, file_path, version, 2, 'placed_on', 'timestamp', true FROM built WHERE has_placed
-    UNION ALL SELECT contract_id, seq, file_path, version, 2 + has_placed::INT, 'priority', pr_type, true FROM built
-    UNION ALL SELECT contract_id, seq, file_path, version, 3 + has_placed::INT, 'flag', 'boolean', false FROM built WHERE has_flag
+    SELECT contract_id, seq, label, file_path, version, 0 AS ordinal, 'id' AS name, 'string' AS data_type, false AS nullable FROM built
+    UNION ALL SELECT contract_id, seq, label, file_path, version, 1, 'amount', 'number', amount_null FROM built
+    UNION ALL SELECT contract_id, seq, label, file_path, version, 2, 'placed_on', 'timestamp', true FROM built WHERE has_placed
+    UNION ALL SELECT contract_id, seq, label, file_path, version, 2 + has_placed::INT, 'priority', pr_type, true FROM built
+    UNION ALL SELECT contract_id, seq, label, file_path, version, 3 + has_placed::INT, 'flag', 'boolean', false FROM built WHERE has_flag
 ),
 acols AS (
     SELECT *, CASE data_type WHEN 'number' THEN 'double' WHEN 'integer' THEN 'int' WHEN 'boolean' THEN 'boolean' ELSE 'string' END AS avro
     FROM cols
 ),
 hist AS (
-    SELECT *, lag(seq) OVER w AS prev_seq, lag(version) OVER w AS prev_version, lag(def) OVER w AS prev_def,
+    SELECT *, lag(seq) OVER w AS prev_seq, lag(label) OVER w AS prev_label, lag(version) OVER w AS prev_version, lag(def) OVER w AS prev_def,
            row_number() OVER w AS n
     FROM built WINDOW w AS (PARTITION BY contract_id ORDER BY seq)
 ),
@@ -59,6 +61,21 @@ numbered AS (
 )
 """
 
+# One document per part, each breaking another rule; twelve kinds, the rest is sound.
+ODD = """
+odd AS (
+    SELECT *, CASE kind WHEN 0 THEN 'not_object' WHEN 1 THEN 'columns_not_list' WHEN 2 THEN 'column_not_object at column 0'
+                        WHEN 3 THEN 'column_missing_name at column 0'
+                        WHEN 4 THEN 'column_missing_data_type at column 0: id; invalid_data_type at column 0: id'
+                        WHEN 5 THEN 'blank_column_name at column 0' WHEN 6 THEN 'blank_contract_id; blank_description' WHEN 7 THEN 'no_columns'
+                        WHEN 8 THEN 'missing_field: contract_id; missing_field: name; missing_field: description'
+                        WHEN 10 THEN 'unreadable: metadata.sla_max_latency_ms' WHEN 11 THEN 'unreadable: metadata' END AS reason
+    FROM (SELECT p_partkey % 20 AS kind, p_partkey % 25 = 0 AS skipped,
+                 'current/part/' || p_partkey || CASE WHEN p_partkey % 25 = 0 THEN '.txt' ELSE '.json' END AS file_path,
+                 CASE WHEN p_partkey % 2 = 0 THEN 'Part-' ELSE 'part_' END || (p_partkey // 2) AS contract_id FROM part)
+)
+"""
+
 # What a reader with the columns of version `r` cannot fill from data written under `w`.
 OFFENCES = """
 neighbours AS (SELECT contract_id, seq, prev_seq FROM hist WHERE prev_seq IS NOT NULL),
@@ -94,7 +111,7 @@ listed AS (
     SELECT contract_id, seq, string_agg(name || ':' || reason, ',' ORDER BY name, reason) AS offending
     FROM (SELECT DISTINCT contract_id, seq, name, reason FROM found) GROUP BY ALL
 )
-SELECT b.contract_id, b.seq, b.version, l.offending IS NULL AS compatible, coalesce(l.offending, '') AS offending
+SELECT b.contract_id, b.label AS seq, b.file_path, b.version, l.offending IS NULL AS compatible, coalesce(l.offending, '') AS offending
 FROM built b LEFT JOIN listed l USING (contract_id, seq)
 """
 
@@ -178,7 +195,7 @@ schemas AS (
     UNION ALL SELECT contract_id, file_path, 'failed', NULL FROM judged WHERE is_valid AND NOT is_built
 ),
 tables_ AS (
-    SELECT t.contract_id, b.file_path, CASE WHEN t.action = 'foreign_table' THEN 'failed' ELSE t.action END AS table_status, t.columns_count
+    SELECT t.contract_id, b.file_path, CASE t.action WHEN 'foreign_table' THEN 'failed' WHEN 'unchanged' THEN t.action ELSE 'planned_' || t.action END AS table_status, t.columns_count
     FROM table_plan t JOIN newest n USING (contract_id) JOIN built b USING (contract_id, seq)
     UNION ALL SELECT contract_id, file_path, 'failed', NULL FROM judged WHERE is_valid AND NOT is_built
 )
@@ -289,7 +306,7 @@ ORACLE: dict[str, str] = {
         WITH {CORPUS}
         SELECT 'domain=' || (cust % 16) AS domain, CASE WHEN is_valid THEN 'valid' ELSE 'invalid' END AS validate_status,
                CASE WHEN is_built THEN 'built' WHEN is_valid THEN 'failed' END AS build_status, count(*) AS files
-        FROM judged WHERE k IN (SELECT max(o_orderkey) FROM orders GROUP BY o_custkey) GROUP BY ALL""",
+        FROM judged GROUP BY ALL""",
     "contract_parse_status": f"""
         WITH {CORPUS} SELECT file_path, CASE WHEN defect = 'cut_short' THEN 'invalid_json' ELSE 'ok' END AS parse_status FROM corpus""",
     "contract_structure_errors": f"""
@@ -324,7 +341,7 @@ ORACLE: dict[str, str] = {
                            WHEN 'numeric_version' THEN 'version_not_string: 2'
                            WHEN 'null_description' THEN 'unreadable: description' END AS reason
         FROM judged""",
-    "contract_columns": f"WITH {CORPUS} SELECT contract_id, version, seq, ordinal, name, data_type, nullable FROM cols",
+    "contract_columns": f"WITH {CORPUS} SELECT contract_id, version, label AS seq, file_path, ordinal, name, data_type, nullable FROM cols",
     "type_map": f"""
         WITH {CORPUS}
         SELECT data_type, avro,
@@ -354,10 +371,10 @@ ORACLE: dict[str, str] = {
                version AS contract_version, 'airflow-dag' AS managed_by, 'data-contract' AS source
         FROM built""",
     "version_history": f"""
-        WITH {CORPUS} SELECT contract_id, seq, version, changed, registry_version, prev_seq, prev_version FROM numbered""",
+        WITH {CORPUS} SELECT contract_id, label AS seq, file_path, version, changed, registry_version, prev_label AS prev_seq, prev_version FROM numbered""",
     "version_diff": f"""
         WITH {CORPUS}, d AS ({CLASSIFIED.format(type="data_type")})
-        SELECT d.*, h.prev_seq FROM d JOIN hist h USING (contract_id, seq)""",
+        SELECT d.* EXCLUDE (seq), h.label AS seq, h.file_path, h.prev_label AS prev_seq FROM d JOIN hist h USING (contract_id, seq)""",
     "version_diff_first_last": f"""
         WITH {CORPUS}, ends AS (SELECT contract_id, min(seq) AS a, max(seq) AS z FROM built GROUP BY contract_id),
         o AS (SELECT c.* FROM cols c JOIN ends e ON c.contract_id = e.contract_id AND c.seq = e.a),
@@ -381,13 +398,14 @@ ORACLE: dict[str, str] = {
                         CASE WHEN kind = 'removed' THEN 'Removed column: ' || column_name || ' (data will be lost)'
                              WHEN kind = 'type_modified' THEN 'Modified column type: ' || column_name || ' (' || old_type || ' → ' || new_type || ')' END AS warning
               FROM d)
-        SELECT contract_id, seq, coalesce(string_agg(change, '; ' ORDER BY change), '') AS changes,
+        SELECT contract_id, label AS seq, file_path, coalesce(string_agg(change, '; ' ORDER BY change), '') AS changes,
                coalesce(string_agg(warning, '; ' ORDER BY warning), '') AS warnings,
                count(*) FILTER (kind = 'added_required') AS added_required, count(*) FILTER (kind = 'added_optional') AS added_optional,
                count(*) FILTER (kind = 'added_defaulted') AS added_defaulted, count(*) FILTER (kind = 'removed') AS removed,
                count(*) FILTER (kind = 'type_modified') AS type_modified, count(*) FILTER (kind = 'nullable_changed') AS nullable_changed,
                count(*) FILTER (kind = 'same') AS same
-        FROM t GROUP BY contract_id, seq""",
+        FROM t JOIN (SELECT contract_id, seq, label, file_path FROM hist) USING (contract_id, seq) GROUP BY contract_id, seq, label, file_path""",
+    "compat_disabled": _compat("SELECT * FROM forward WHERE false"),
     "compat_forward": _compat(_neighbour("forward")),
     "compat_backward": _compat(_neighbour("backward")),
     "compat_both": _compat(f"{_neighbour('forward')} UNION ALL {_neighbour('backward')}"),
@@ -409,13 +427,22 @@ ORACLE: dict[str, str] = {
                n_columns AS n_fields
         FROM last""",
     "registration_history": f"""
-        WITH RECURSIVE {CORPUS}, {OFFENCES}, {FOLD_FORWARD_ALL} SELECT contract_id, seq, action, registry_version FROM fold""",
+        WITH RECURSIVE {CORPUS}, {OFFENCES}, {FOLD_FORWARD_ALL}
+        SELECT f.contract_id, b.label AS seq, b.file_path, f.action, f.registry_version FROM fold f JOIN built b USING (contract_id, seq)""",
     "registration_history_backward": f"""
-        WITH RECURSIVE {CORPUS}, {OFFENCES}, {FOLD_BACKWARD} SELECT contract_id, seq, action, registry_version FROM fold""",
+        WITH RECURSIVE {CORPUS}, {OFFENCES}, {FOLD_BACKWARD}
+        SELECT f.contract_id, b.label AS seq, b.file_path, f.action, f.registry_version FROM fold f JOIN built b USING (contract_id, seq)""",
     "registry_after_loads": f"""
         WITH {CORPUS}
-        SELECT contract_id, registry_version, seq, CASE WHEN seq <= (SELECT max(seq) / 2 FROM built) THEN 'first' ELSE 'second' END AS load_id
+        SELECT contract_id, registry_version, label AS seq, file_path,
+               CASE WHEN label <= (SELECT max(label) / 2 FROM built) THEN '1-first' ELSE '2-second' END AS load_id
         FROM numbered WHERE changed""",
+    "list_schemas": f"""
+        WITH {CORPUS} SELECT contract_id AS schema_name, max(registry_version) AS latest_version FROM numbered GROUP BY contract_id""",
+    "get_schema": f"""
+        WITH {CORPUS}, last AS (SELECT * FROM numbered WHERE changed QUALIFY row_number() OVER (PARTITION BY contract_id ORDER BY seq DESC) = 1)
+        SELECT contract_id AS schema_name, registry_version AS latest_version, registry_version + 1 AS next_version, 'AVAILABLE' AS status, n_columns
+        FROM last WHERE contract_id IN ((SELECT min(contract_id) FROM last), (SELECT max(contract_id) FROM last))""",
     "table_plan": f"WITH {CORPUS}, {TABLES} SELECT * FROM table_plan",
     "evolved_table": f"""
         WITH {ORDERS_DIRTY}
@@ -546,7 +573,8 @@ ORACLE: dict[str, str] = {
             SELECT 'cust-' || o.o_custkey AS contract_id, count(*) AS rows, sum(no_customer::INT + no_price::INT + no_date::INT) AS bad
             FROM orders o JOIN dirty USING (o_orderkey) GROUP BY ALL),
         owners AS (SELECT contract_id, arg_max(owner, seq) AS owner FROM built GROUP BY contract_id),
-        lines AS (SELECT owner, 'Data Engineering' AS steward, contract_id, rows, bad FROM counts JOIN owners USING (contract_id))
+        lines AS (SELECT owner, 'Data Engineering' AS steward, contract_id, rows, bad FROM counts JOIN owners USING (contract_id)
+                  UNION ALL SELECT '(unknown)', '(unknown)', contract_id, rows, bad FROM counts ANTI JOIN owners USING (contract_id))
         SELECT owner, steward, contract_id, count(*) AS contracts, sum(rows)::BIGINT AS rows, sum(bad)::BIGINT AS bad
         FROM lines GROUP BY GROUPING SETS ((owner, steward, contract_id), (owner, steward), ())""",
     "results_by_contract": f"""
@@ -562,15 +590,18 @@ ORACLE: dict[str, str] = {
                    (SELECT count(DISTINCT contract_id) FROM judged WHERE is_valid) AS total_contracts,
                    (SELECT count(*) FROM validation) AS validation_passed,
                    (SELECT count(*) FROM schemas WHERE schema_status = 'registered') AS schema_registered,
+                   0::BIGINT AS schema_planned,
                    (SELECT count(*) FROM schemas WHERE schema_status = 'failed') AS schema_failed,
+                   (SELECT count(*) FROM tables_ WHERE table_status LIKE 'planned%') AS tables_planned,
                    (SELECT count(*) FROM tables_ WHERE table_status = 'created') AS tables_created,
                    (SELECT count(*) FROM tables_ WHERE table_status = 'updated') AS tables_updated,
                    (SELECT count(*) FROM tables_ WHERE table_status = 'unchanged') AS tables_unchanged,
                    (SELECT count(*) FROM tables_ WHERE table_status = 'failed') AS tables_failed)
-        SELECT *, validation_passed = total_files AND schema_failed = 0 AND tables_failed = 0 AND total_contracts > 0 AS ready,
+        SELECT *, validation_passed = total_files AND schema_failed = 0 AND tables_failed + tables_planned = 0 AND total_contracts > 0 AS ready,
                concat_ws('; ', CASE WHEN validation_passed <> total_files THEN 'fix validation errors' END,
                                CASE WHEN schema_failed > 0 THEN 'fix schema registration' END,
-                               CASE WHEN tables_failed > 0 THEN 'fix table creation' END) AS actions
+                               CASE WHEN tables_failed > 0 THEN 'fix table creation' END,
+                               CASE WHEN tables_planned > 0 THEN 'apply what is planned' END) AS actions
         FROM n""",
     "status_counts": f"""
         WITH {CORPUS}
@@ -579,13 +610,12 @@ ORACLE: dict[str, str] = {
         FROM judged""",
     "stream_contracts": f"""
         WITH RECURSIVE {CORPUS}, {OFFENCES}, {FOLD_FORWARD_ALL}
-        SELECT f.contract_id, f.seq, f.registry_version, b.version FROM fold f JOIN built b USING (contract_id, seq)
+        SELECT f.contract_id, b.label AS seq, b.file_path, f.registry_version, b.version FROM fold f JOIN built b USING (contract_id, seq)
         WHERE f.action IN ('create', 'new_version')""",
     "stream_split": f"""
         WITH {ORDERS_DIRTY}
         SELECT o_orderkey, CASE WHEN no_customer OR no_price OR no_date THEN 'quarantine' ELSE 'valid' END AS went, {REASONS} AS reasons FROM dirty""",
-    "stream_violation_counts": "WITH closed AS (SELECT *, date_trunc('day', ts) AS w FROM events "
-    "WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)) "
+    "stream_violation_counts": "WITH closed AS (SELECT *, date_trunc('day', ts) AS w FROM events) "
     + " UNION ALL ".join(
         f"SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, '{column}' AS column_name, '{code}' AS code, count(*) AS rows, "
         f"count(*) FILTER ({bad}) AS bad FROM closed GROUP BY w"
@@ -595,22 +625,56 @@ ORACLE: dict[str, str] = {
         WITH e AS (SELECT event_type, event_id % 12000 AS ms, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS w FROM events)
         SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS rows, count(*) FILTER (ms > 5000) AS late,
                max(ms) AS max_ms, count(*) FILTER (ms > 5000) = 0 AS met
-        FROM e WHERE w + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events) GROUP BY w, event_type""",
+        FROM e GROUP BY w, event_type""",
+    "stream_contract_files": f"""
+        WITH {CORPUS} SELECT contract_id, count(DISTINCT def) AS definitions FROM built GROUP BY contract_id""",
+    "odd_structure_errors": f"""
+        WITH {ODD}, found AS (
+            SELECT file_path, 'not_object' AS code, NULL::INTEGER AS idx, NULL::VARCHAR AS column_name, NULL::VARCHAR AS detail FROM odd WHERE kind = 0
+            UNION ALL SELECT file_path, 'columns_not_list', NULL, NULL, NULL FROM odd WHERE kind = 1
+            UNION ALL SELECT file_path, 'column_not_object', 0, NULL, NULL FROM odd WHERE kind = 2
+            UNION ALL SELECT file_path, 'column_missing_name', 0, NULL, NULL FROM odd WHERE kind = 3
+            UNION ALL SELECT file_path, 'column_missing_data_type', 0, 'id', NULL FROM odd WHERE kind = 4
+            UNION ALL SELECT file_path, 'invalid_data_type', 0, 'id', NULL FROM odd WHERE kind = 4
+            UNION ALL SELECT file_path, 'no_columns', NULL, NULL, NULL FROM odd WHERE kind = 7
+            UNION ALL SELECT file_path, 'missing_field', NULL, NULL, f FROM odd, (VALUES ('contract_id'), ('name'), ('description')) v(f) WHERE kind = 8)
+        SELECT * FROM found""",
+    "odd_built": f"""
+        WITH {ODD}
+        SELECT file_path, CASE WHEN kind IN (5, 6, 10, 11) THEN 'failed' ELSE 'built' END AS build_status, reason,
+               CASE WHEN kind NOT IN (5, 6, 10, 11) THEN true END AS nullable,
+               CASE WHEN kind NOT IN (5, 6, 10, 11) THEN CASE WHEN kind = 9 THEN 'O' ELSE 'Data Team' END END AS data_owner,
+               CASE WHEN kind NOT IN (5, 6, 10, 11) THEN CASE WHEN kind = 9 THEN 99.5 ELSE 99.95 END::DOUBLE END AS uptime,
+               CASE WHEN kind NOT IN (5, 6, 10, 11) THEN CASE WHEN kind = 9 THEN 250 ELSE 5000 END::BIGINT END AS latency
+        FROM odd WHERE kind NOT IN (0, 1, 2, 3, 4, 7, 8)""",
+    "odd_conflicts": f"""
+        WITH {ODD}
+        SELECT 'table_name_collision' AS kind, replace(lower(contract_id), '-', '_') AS key, NULL::VARCHAR AS version, count(DISTINCT contract_id) AS distinct_items
+        FROM odd WHERE kind = 9 OR kind > 11 GROUP BY 2 HAVING count(DISTINCT contract_id) > 1""",
+    "export_results": f"""
+        WITH {ODD}
+        SELECT file_path AS file, CASE WHEN skipped THEN 'SKIPPED' WHEN kind = 9 OR kind > 11 THEN 'PASSED' ELSE 'FAILED' END AS status,
+               CASE WHEN NOT skipped THEN CASE WHEN kind IN (0, 8) THEN 'unknown' ELSE 'N' END END AS contract_name,
+               CASE WHEN skipped THEN 'Not a JSON file' ELSE reason END AS reason
+        FROM odd""",
 }
 ORACLE["failed_files"] = f"SELECT file_path AS file, reason FROM ({ORACLE['contract_status']}) WHERE build_status IS DISTINCT FROM 'built'"
 
 
 def _registration(side: str, clash: str) -> str:
-    """Even versions are all registered; the newest odd one of each contract is the candidate."""
+    """All versions but the newest are registered; the newest of each contract is the candidate."""
     return f"""
 WITH {CORPUS}, {OFFENCES},
-even AS (SELECT *, lag(def) OVER (PARTITION BY contract_id ORDER BY seq) AS even_prev FROM built WHERE seq % 2 = 0),
+even AS (
+    SELECT *, lag(def) OVER (PARTITION BY contract_id ORDER BY seq) AS even_prev FROM built
+    WHERE seq < (SELECT max(b.seq) FROM built b WHERE b.contract_id = built.contract_id)
+),
 registered AS (
     SELECT *, (count(*) OVER (PARTITION BY contract_id ORDER BY seq))::BIGINT AS registry_version,
            row_number() OVER (PARTITION BY contract_id ORDER BY seq DESC) AS back
     FROM even WHERE even_prev IS DISTINCT FROM def
 ),
-candidate AS (SELECT * FROM built WHERE seq % 2 = 1 QUALIFY row_number() OVER (PARTITION BY contract_id ORDER BY seq DESC) = 1),
+candidate AS (SELECT * FROM built QUALIFY row_number() OVER (PARTITION BY contract_id ORDER BY seq DESC) = 1),
 against AS (SELECT c.contract_id, c.seq, r.seq AS old_seq FROM candidate c JOIN registered r USING (contract_id) {clash}),
 offences AS (
     SELECT a.contract_id, r.name, CASE WHEN w.name IS NULL THEN 'no_default' ELSE 'type' END AS reason
@@ -625,13 +689,13 @@ listed AS (
     FROM (SELECT DISTINCT * FROM offences) GROUP BY contract_id
 ),
 planned AS (
-    SELECT c.contract_id, c.seq, r.registry_version AS current, l.offending,
+    SELECT c.contract_id, c.label AS seq, c.file_path, r.registry_version AS current, l.offending,
            CASE WHEN r.contract_id IS NULL THEN 'create' WHEN r.def = c.def THEN 'unchanged'
                 WHEN l.offending IS NULL THEN 'new_version' ELSE 'rejected' END AS action
     FROM candidate c LEFT JOIN registered r ON r.contract_id = c.contract_id AND r.back = 1
     LEFT JOIN listed l ON l.contract_id = c.contract_id
 )
-SELECT contract_id, seq, action, coalesce(current, 0) + (action IN ('create', 'new_version'))::BIGINT AS registry_version,
+SELECT contract_id, seq, file_path, action, coalesce(current, 0) + (action IN ('create', 'new_version'))::BIGINT AS registry_version,
        CASE WHEN action = 'rejected' THEN offending ELSE '' END AS offending
 FROM planned
 """

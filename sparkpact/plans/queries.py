@@ -47,6 +47,10 @@ def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.load_contracts(_docs(spark, sf_dir))
 
 
+def _odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.load_contracts(corpus.odd_corpus(corpus.spread(corpus.table(spark, sf_dir, "part"))))
+
+
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version histories, written once: ordered passes read them several times."""
     return materialize(versions.history(_loaded(spark, sf_dir)), "versions")
@@ -75,16 +79,17 @@ def _joined(items: str, one: Callable, sep: str) -> F.Column:
 # -- contract documents ----------------------------------------------------------
 
 
-@query
-def contract_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest document of each contract written as a file of its own, then read back from the folder."""
-    orders = corpus.spread(corpus.table(spark, sf_dir, "orders"))
-    newest = orders.groupBy("o_custkey").agg(F.max("o_orderkey").alias("seq"))
-    path = scratch_dir(spark, "files")
+def _write_files(docs: DataFrame, path: str) -> None:
     customer = F.regexp_extract("file_path", r"customer/(\d+)/", 1).cast("bigint")
-    docs = corpus.contract_corpus(orders).join(newest, "seq", "left_semi")
     files = docs.select((customer % 16).alias("domain"), "raw").write.partitionBy("domain").option("maxRecordsPerFile", 1)
     files.text(f"{path}/all")
+
+
+@query
+def contract_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written as a file of its own, in folders by customer, then read back."""
+    path = scratch_dir(spark, "files")
+    _write_files(_docs(spark, sf_dir), path)
     loaded = documents.load_contracts(contract_files_source.read_contracts(spark, path, "*.txt"))
     return loaded.groupBy("domain", "validate_status", "build_status").agg(F.count(F.lit(1)).alias("files"))
 
@@ -130,7 +135,7 @@ def contract_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.explode_columns(documents.built_contracts(_loaded(spark, sf_dir)), "seq").drop("description")
+    return documents.explode_columns(documents.built_contracts(_loaded(spark, sf_dir)), "seq", "file_path").drop("description")
 
 
 @query
@@ -184,7 +189,7 @@ def tag_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.version_history(_versions(spark, sf_dir)).select(
-        "contract_id", "seq", "version", "changed", "registry_version", "prev_seq", "prev_version"
+        "contract_id", "seq", "file_path", "version", "changed", "registry_version", "prev_seq", "prev_version"
     )
 
 
@@ -199,7 +204,7 @@ def version_diff_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_versions = _versions(spark, sf_dir)
 
     def columns_of(pick) -> DataFrame:
-        chosen = all_versions.groupBy("contract_id").agg(pick("contract", "seq").alias("contract"))
+        chosen = all_versions.groupBy("contract_id").agg(pick("contract", F.struct("seq", "file_path")).alias("contract"))
         return documents.explode_columns(chosen).select("contract_id", "name", "data_type", "nullable")
 
     return versions.diff_versions(columns_of(F.min_by), columns_of(F.max_by)).withColumnRenamed("column", "column_name")
@@ -213,7 +218,7 @@ def version_diff_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def version_diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = versions.diff_summary(versions.history_diff(_versions(spark, sf_dir)), ["contract_id", "seq"])
+    summary = versions.diff_summary(versions.history_diff(_versions(spark, sf_dir)), list(versions.KEY))
     return summary.withColumns({"changes": F.array_join("changes", "; "), "warnings": F.array_join("warnings", "; ")})
 
 
@@ -226,7 +231,7 @@ def _compatibility(mode: str) -> Query:
     return run
 
 
-for _mode in ("BACKWARD", "FORWARD", "BOTH", "FORWARD_ALL"):
+for _mode in versions.MODES:
     query(_compatibility(_mode))
 
 
@@ -259,14 +264,16 @@ def registry_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _registration(mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        """Documents with an even seq are registered, the newest odd one of each contract is the candidate."""
+        """All versions but the newest are registered, the newest of each contract is the candidate."""
         loaded = materialize(_loaded(spark, sf_dir), "loaded")
-        registered = _accepted(registry.plan_history(registry.candidates(loaded.where("seq % 2 = 0")), "DISABLED"))
-        newest = registry.newest_candidates(loaded.where("seq % 2 = 1"), mode=mode)
+        newest = registry.newest_candidates(loaded, mode=mode)
+        older = registry.candidates(loaded).join(newest.select(*versions.KEY), list(versions.KEY), "left_anti")
+        registered = _accepted(registry.plan_history(older, "DISABLED"))
         plan = registry.plan_registration(materialize(registered, "registered"), newest, mode)
         return plan.select(
             "contract_id",
             "seq",
+            "file_path",
             "action",
             "registry_version",
             _joined("offending", lambda o: F.concat_ws(":", o["column"], o["reason"]), ",").alias("offending"),
@@ -284,34 +291,58 @@ for _mode in ("FORWARD_ALL", "BACKWARD"):
 def registration_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All versions in order, each held against what was accepted before it."""
     return registry.plan_history(_candidates(spark, sf_dir), "FORWARD_ALL").select(
-        "contract_id", "seq", "action", "registry_version"
+        "contract_id", "seq", "file_path", "action", "registry_version"
     )
 
 
 @query
 def registration_history_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.plan_history(_candidates(spark, sf_dir), "BACKWARD").select(
-        "contract_id", "seq", "action", "registry_version"
+        "contract_id", "seq", "file_path", "action", "registry_version"
     )
 
 
 @query
 def registry_after_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first half of the versions, then the rest (run twice), then every newest version again."""
+    """The first half of the versions, the rest, every newest version again; then the second and the first load once more."""
     rows = _candidates(spark, sf_dir)
     path = scratch_dir(spark, "registry")
     middle = rows.agg((F.max("seq") / 2).alias("middle")).scalar()
-    newest = rows.groupBy("contract_id").agg(F.max("seq").alias("seq"))
-    loads = [
-        ("first", rows.where(F.col("seq") <= middle)),
-        ("second", rows.where(F.col("seq") > middle)),
-        ("second", rows.where(F.col("seq") > middle)),
-        ("third", rows.join(newest, ["contract_id", "seq"], "left_semi")),
-    ]
+    place = F.struct("seq", "file_path")
+    newest = rows.groupBy("contract_id").agg(F.max(place).alias("e")).select("contract_id", "e.*")
+    first, second = rows.where(F.col("seq") <= middle), rows.where(F.col("seq") > middle)
+    third = rows.join(newest, list(versions.KEY), "left_semi")
+    loads = [("1-first", first), ("2-second", second), ("3-third", third), ("2-second", second), ("1-first", first)]
     for load_id, part in loads:
         before = registry.read_registry(spark, path, before_load=load_id)
         registry.apply_registration(registry.plan_history(part, "DISABLED", before), path, load_id)
-    return registry.read_registry(spark, path).select("contract_id", "registry_version", "seq", "load_id")
+    return registry.read_registry(spark, path).select("contract_id", "registry_version", "seq", "file_path", "load_id")
+
+
+def _registered(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """A registry on disk, of all versions in two loads, put together into one."""
+    rows = _candidates(spark, sf_dir)
+    path = scratch_dir(spark, label)
+    middle = rows.agg((F.max("seq") / 2).alias("middle")).scalar()
+    for load_id, part in (("1-first", rows.where(F.col("seq") <= middle)), ("2-second", rows.where(F.col("seq") > middle))):
+        before = registry.read_registry(spark, path, before_load=load_id)
+        registry.apply_registration(registry.plan_history(part, "DISABLED", before), path, load_id)
+    registry.compact_registry(spark, path, f"{path}-one", "3")
+    return registry.read_registry(spark, f"{path}-one")
+
+
+@query
+def list_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.list_schemas(_registered(spark, sf_dir, "list-schemas"))
+
+
+@query
+def get_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of three contracts, one of which is unknown."""
+    known = _registered(spark, sf_dir, "get-schema")
+    asked = known.agg(F.min("contract_id").alias("a"), F.max("contract_id").alias("z")).first()
+    found = [registry.get_schema(known, name) for name in (asked["a"], asked["z"], "nobody")]
+    return reduce(DataFrame.unionByName, found).select("schema_name", "latest_version", "next_version", "status", F.size("columns").alias("n_columns"))
 
 
 # -- tables ----------------------------------------------------------------------
@@ -322,7 +353,7 @@ def _newest_documents(loaded: DataFrame) -> DataFrame:
     return (
         documents.built_contracts(loaded)
         .groupBy(F.col("contract.contract_id").alias("id"))
-        .agg(F.max_by(payload, "seq").alias("d"))
+        .agg(F.max_by(payload, F.struct("seq", "file_path")).alias("d"))
         .select("d.*")
     )
 
@@ -332,7 +363,7 @@ def _existing_tables(loaded: DataFrame) -> DataFrame:
     first = (
         documents.built_contracts(loaded)
         .groupBy(F.col("contract.contract_id").alias("id"))
-        .agg(F.min_by("contract", "seq").alias("contract"))
+        .agg(F.min_by("contract", F.struct("seq", "file_path")).alias("contract"))
         .withColumn("customer", F.substring_index("id", "-", -1).cast("bigint"))
         .where("customer % 3 <> 0")
     )
@@ -374,7 +405,9 @@ def evolved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_contract_table(valid, corpus.ORDERS_CONTRACT, root, database)
     table = tables.evolve_table(spark, ORDERS_V2, root, database)
     version = tables.table_properties(spark, table)[tables.VERSION_PROPERTY]
-    return spark.table(table.replace("`", "")).withColumn("table_version", F.lit(version))
+    rows = materialize(spark.table(table.replace("`", "")).withColumn("table_version", F.lit(version)), "evolved")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return rows
 
 
 # -- rows ------------------------------------------------------------------------
@@ -477,16 +510,10 @@ def sla_uptime_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def owner_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violations of each customer's orders, by the owner in the customer's newest contract."""
-    orders = corpus.table(spark, sf_dir, "orders")
-    dirty = corpus.orders_dirty(orders).withColumn("_order", F.col("o_orderkey"))
-    reasons = enforce.with_reasons(dirty, corpus.ORDERS_CONTRACT).select(F.col("_order").alias("o_orderkey"), F.size("_reasons").alias("n"))
-    counts = (
-        orders.select("o_orderkey", F.concat(F.lit("cust-"), "o_custkey").alias("contract_id"))
-        .join(reasons, "o_orderkey")
-        .groupBy("contract_id")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("bad"))
-    )
-    loaded = materialize(_loaded(spark, sf_dir).select("build_status", "contract", "seq"), "owners")
+    dirty = corpus.orders_dirty(corpus.table(spark, sf_dir, "orders"), F.concat(F.lit("cust-"), "o_custkey").alias("contract_id"))
+    reasons = enforce.with_reasons(dirty, corpus.ORDERS_CONTRACT)
+    counts = reasons.groupBy("contract_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("_reasons")).alias("bad"))
+    loaded = materialize(_loaded(spark, sf_dir).select("build_status", "contract", "seq", "file_path"), "owners")
     return sla.owner_rollup(counts, documents.built_contracts(loaded))
 
 
@@ -495,7 +522,7 @@ def owner_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run(spark: SparkSession, sf_dir: str) -> Run:
     loaded = materialize(_loaded(spark, sf_dir).drop("raw"), "loaded")
-    return provision(loaded, None, _existing_tables(loaded), "all")
+    return provision(loaded, scratch_dir(spark, "run-registry"), _existing_tables(loaded), "all")
 
 
 @query
@@ -517,6 +544,44 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir).summary().withColumn("actions", F.array_join("actions", "; "))
 
 
+@query
+def export_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File results of the odd documents as JSON, read back."""
+    path = scratch_dir(spark, "export")
+    results.export_results(results.file_status(_odd(spark, sf_dir)), path)
+    schema = "file string, status string, contract_name string, reason string"
+    return spark.read.schema(schema).json(f"{path}/results")
+
+
+@query
+def odd_structure_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules that documents of orders never break."""
+    found = _odd(spark, sf_dir).select("file_path", F.explode("errors").alias("e"))
+    return found.select("file_path", F.col("e.code").alias("code"), F.col("e.idx").alias("idx"), F.col("e.column").alias("column_name"), F.col("e.detail").alias("detail"))
+
+
+@query
+def odd_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values read under another type, and what cannot be."""
+    built = _odd(spark, sf_dir).where("validate_status = 'valid'")
+    c = F.col("contract")
+    return built.select(
+        "file_path",
+        "build_status",
+        "reason",
+        c["columns"][0]["nullable"].alias("nullable"),
+        c["metadata"]["data_owner"].alias("data_owner"),
+        c["metadata"]["sla_uptime_percentage"].alias("uptime"),
+        c["metadata"]["sla_max_latency_ms"].alias("latency"),
+    )
+
+
+@query
+def odd_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of several spellings under one table name."""
+    return versions.conflicts(versions.history(_odd(spark, sf_dir)), file_col="file_path")
+
+
 @query
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.status_counts(results.file_status(_loaded(spark, sf_dir)))
@@ -536,7 +601,17 @@ def stream_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus.contract_corpus(corpus.table_stream(spark, sf_dir, "orders"))
     root = scratch_dir(spark, "stream")
     contract_stream.register_stream(docs, f"{root}/registry", f"{root}/checkpoint").awaitTermination()
-    return registry.read_registry(spark, f"{root}/registry").select("contract_id", "seq", "registry_version", "version")
+    return registry.read_registry(spark, f"{root}/registry").select("contract_id", "seq", "file_path", "registry_version", "version")
+
+
+@query
+def stream_contract_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract files registered as they land; what is in the registry afterwards."""
+    root = scratch_dir(spark, "stream-files")
+    _write_files(_docs(spark, sf_dir), f"{root}/files")
+    contract_stream.stream_contracts(spark, f"{root}/files", f"{root}/registry", f"{root}/checkpoint", "DISABLED", "*.txt").awaitTermination()
+    known = registry.read_registry(spark, f"{root}/registry")
+    return known.groupBy("contract_id").agg(F.count_distinct("definition_hash").alias("definitions"))
 
 
 @query
@@ -550,22 +625,21 @@ def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid.unionByName(quarantine.select("o_orderkey", F.lit("quarantine").alias("went"), "reasons"))
 
 
-def _closed_windows(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    root = scratch_dir(spark, "stream")
-    schema = stream.schema
-    row_stream.append_to(stream, f"{root}/windows", f"{root}/checkpoint").awaitTermination()
-    windows = spark.read.schema(schema).parquet(f"{root}/windows")
+def _start_text(windows: DataFrame) -> DataFrame:
     return windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
 def stream_violation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = corpus.events_dirty(corpus.table_stream(spark, sf_dir, "events"))
-    counts = row_stream.stream_violation_counts(stream, "ts", corpus.EVENTS_CONTRACT, "1 day")
-    return _closed_windows(spark, counts).withColumnRenamed("column", "column_name")
+    root = scratch_dir(spark, "stream")
+    row_stream.stream_violation_counts(stream, "ts", corpus.EVENTS_CONTRACT, "1 day", f"{root}/shares", f"{root}/checkpoint").awaitTermination()
+    return _start_text(row_stream.read_violation_counts(spark, f"{root}/shares")).withColumnRenamed("column", "column_name")
 
 
 @query
 def stream_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = corpus.events_arrived(corpus.table_stream(spark, sf_dir, "events"))
-    return _closed_windows(spark, row_stream.stream_sla(stream, "ts", "arrival_ts", corpus.EVENTS_CONTRACT, "6 hours", ["event_type"]))
+    root, by = scratch_dir(spark, "stream"), ["event_type"]
+    row_stream.stream_sla(stream, "ts", "arrival_ts", corpus.EVENTS_CONTRACT, "6 hours", f"{root}/shares", f"{root}/checkpoint", by).awaitTermination()
+    return _start_text(row_stream.read_sla(spark, f"{root}/shares", by))

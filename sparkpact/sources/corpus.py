@@ -5,6 +5,7 @@ All views are row-wise expressions, so they work on batch tables and streams.
 
 from __future__ import annotations
 
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share before costly per-row work.
-
-    Only a table stored in fewer splits than there are cores is moved; a table
-    of any size has more splits than that and stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal rows out evenly before costly per-row work: the few bytes of an order become a whole document."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,14 +68,15 @@ _DOCUMENT = f"""
 def contract_corpus(orders: DataFrame) -> DataFrame:
     """One contract document per order: ``file_path, seq, raw``.
 
-    The orders of a customer are the version history of one contract.
+    The orders of a customer are the version history of one contract. Two orders
+    in three share their ``seq`` with others of the customer; the path decides then.
     """
     return (
         orders.withColumn("defect", F.expr(DEFECT))
         .withColumn("document", F.expr(_DOCUMENT))
         .select(
             F.concat(F.lit("all/customer/"), F.col("o_custkey"), F.lit("/"), F.col("o_orderkey"), F.lit(".json")).alias("file_path"),
-            F.col("o_orderkey").alias("seq"),
+            F.expr("if(o_orderkey % 3 = 0, o_orderkey, o_orderkey - o_orderkey % 5000)").alias("seq"),
             F.when(F.col("defect") == "cut_short", F.expr("left(document, length(document) - 10)"))
             .otherwise(F.col("document"))
             .alias("raw"),
@@ -102,8 +99,39 @@ ORDERS_CONTRACT = Contract(
 )
 
 
-def orders_dirty(orders: DataFrame) -> DataFrame:
-    """Orders with nulls, unreadable numbers and impossible dates put in."""
+# Documents that break the rules which those of orders never break.
+ODD = """
+    CASE p_partkey % 20
+         WHEN 0 THEN '[1, 2]'
+         WHEN 1 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": "id"}'
+         WHEN 2 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": [7, {"name": "id", "data_type": "string"}]}'
+         WHEN 3 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": [{"data_type": "string"}]}'
+         WHEN 4 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": [{"name": "id"}]}'
+         WHEN 5 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": [{"name": " ", "data_type": "string"}]}'
+         WHEN 6 THEN '{"contract_id": " ", "name": "N", "description": "", "columns": [{"name": "id", "data_type": "string"}]}'
+         WHEN 7 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": []}'
+         WHEN 8 THEN '{"columns": [{"name": "id", "data_type": "string"}]}'
+         WHEN 9 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": [{"name": "id", "data_type": "string", "nullable": "yes"}],
+                       "metadata": {"sla_uptime_percentage": "99.5", "sla_max_latency_ms": "250", "data_owner": "O", "other": 1}}'
+         WHEN 10 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": [{"name": "id", "data_type": "string", "nullable": 1}],
+                        "metadata": {"sla_max_latency_ms": null}}'
+         WHEN 11 THEN '{"contract_id": "P", "name": "N", "description": "D", "columns": [{"name": "id", "data_type": "string"}], "metadata": [1]}'
+         ELSE '{"contract_id": "P", "name": "N", "description": "D", "columns": [{"name": "id", "data_type": "string"}]}' END
+"""
+
+
+def odd_corpus(part: DataFrame) -> DataFrame:
+    """One document per part: ``file_path, seq, raw``. Ids of parts come in two spellings that name one table."""
+    spelled = F.expr("concat(if(p_partkey % 2 = 0, 'Part-', 'part_'), p_partkey div 2)")
+    return part.select(
+        F.concat(F.lit("current/part/"), F.col("p_partkey"), F.when(F.col("p_partkey") % 25 == 0, ".txt").otherwise(".json")).alias("file_path"),
+        F.col("p_partkey").alias("seq"),
+        F.replace(F.expr(ODD), F.lit('"contract_id": "P"'), F.concat(F.lit('"contract_id": "'), spelled, F.lit('"'))).alias("raw"),
+    )
+
+
+def orders_dirty(orders: DataFrame, *more: SparkColumn) -> DataFrame:
+    """Orders with nulls, unreadable numbers and impossible dates put in, and ``more`` columns."""
     key = F.col("o_orderkey")
     return orders.select(
         key,
@@ -112,6 +140,7 @@ def orders_dirty(orders: DataFrame) -> DataFrame:
         F.when(key % 7 == 0, F.lit("1998-13-45")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
         "o_orderstatus",
         "o_orderpriority",
+        *more,
     )
 
 

@@ -1,15 +1,16 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date, datetime
 
 import pytest
-from conftest import PAYMENTS, PAYMENTS_2, USERS, USERS_2, document, table_of
+from conftest import PAYMENTS, PAYMENTS_2, USERS, USERS_2, USERS_3, document, table_of
 from pyspark.sql import functions as F
 
 from sparkpact import Column, Contract, Metadata
-from sparkpact.operators import documents, enforce, results, sla, tables
-from sparkpact.plans.provisioning import provision, run
+from sparkpact.operators import documents, enforce, registry, results, sla, tables
+from sparkpact.plans.provisioning import apply_tables, provision, run
 from sparkpact.session import materialize
 from sparkpact.sources import corpus
 from sparkpact.streaming import contracts as contract_stream
@@ -55,13 +56,13 @@ def test_counts_add_up_with_rows(spark, sales):
     assert all((r.rows, r.bad, r.ratio) == (0, 0, 0.0) for r in empty)
 
 
-def test_wide_contract_counts_the_same(spark, monkeypatch):
+def test_wide_contract(spark):
     wide = Contract("w", "W", tuple(Column(f"c{i}", "integer", nullable=False) for i in range(120)))
     df = spark.range(50).select(*[F.when(F.col("id") % (i + 2) != 0, F.col("id").cast("string")).otherwise("x").alias(f"c{i}") for i in range(120)])
     narrow = {(r["column"], r.code): (r.rows, r.bad) for r in enforce.violation_counts(df, wide).collect()}
     assert narrow[("c0", "uncastable")] == (50, 25) and len(narrow) == 240
-    monkeypatch.setattr(enforce, "MAX_COUNTERS", 1000)
-    assert {(r["column"], r.code): (r.rows, r.bad) for r in enforce.violation_counts(df, wide).collect()} == narrow
+    listed = enforce.violations(df, wide, []).groupBy("column", "code").count().collect()
+    assert {k: v[1] for k, v in narrow.items() if v[1]} == {(r["column"], r.code): r["count"] for r in listed}
 
 
 def test_split_is_a_partition(spark, sf_dir):
@@ -155,8 +156,8 @@ def test_a_run_over_files(spark, tmp_path):
     first = run(spark, str(tmp_path), str(tmp_path / "registry"), none, "one")
     summary = first.summary().first()
     assert (summary.total_files, summary.total_contracts, summary.validation_passed) == (7, 3, 6)
-    assert (summary.schema_registered, summary.schema_failed, summary.tables_created, summary.tables_failed) == (4, 2, 2, 1)
-    assert not summary.ready and list(summary.actions) == ["fix validation errors", "fix schema registration", "fix table creation"]
+    assert (summary.schema_registered, summary.schema_failed, summary.tables_planned, summary.tables_failed) == (4, 2, 2, 1)
+    assert not summary.ready and list(summary.actions) == ["fix validation errors", "fix schema registration", "fix table creation", "apply what is planned"]
     by_id = {r.contract_id: r for r in first.by_contract.collect()}
     assert by_id["users"].schema.registry_version == 2 and by_id["pay"].schema.schema_status == "failed"
     assert by_id["odd"].validation.build_status == "failed" and by_id["odd"].table.table_status == "failed"
@@ -170,10 +171,24 @@ def test_a_run_over_files(spark, tmp_path):
     assert second.summary().first().total_files == 1
 
 
-def test_a_run_with_nothing_wrong_is_ready(spark):
+def test_a_run_with_nothing_wrong_is_ready(spark, tmp_path):
     docs = table_of(spark, [document("a", "x string"), document("b", "y string")])
-    done = provision(docs, None, spark.createDataFrame([], tables.EXISTING_SCHEMA), "x")
+    none = spark.createDataFrame([], tables.EXISTING_SCHEMA)
+    planned = provision(docs, None, none, "x")
+    found = planned.summary().first()
+    assert (found.schema_planned, found.tables_planned, found.ready, list(found.actions)) == (2, 2, False, ["apply what is planned"])
+    assert not planned.summary(strict=True).first().ready
+    done = apply_tables(provision(docs, str(tmp_path / "registry"), none, "x"), str(tmp_path / "tables"), "ready_db")
     assert done.summary().first().ready and done.summary(strict=True).first().ready
+    assert {t.name for t in spark.catalog.listTables("ready_db")} == {"a", "b"}
+    assert tables.table_properties(spark, "`ready_db`.`a`")[tables.VERSION_PROPERTY] == "1.0.0"
+    # A second version of one of them evolves its table.
+    later = table_of(spark, [document("a", "x string, z number", version="2.0.0")])
+    there = tables.existing_columns(spark, "ready_db")
+    again = apply_tables(provision(later, str(tmp_path / "registry"), there, "y"), str(tmp_path / "tables"), "ready_db")
+    assert again.summary().first().tables_updated == 1
+    assert spark.table("ready_db.a").columns == ["x", "z"]
+    spark.sql("DROP DATABASE ready_db CASCADE")
 
 
 def test_stream_of_files_equals_batch(spark, tmp_path):
@@ -192,8 +207,63 @@ def test_late_rows_and_sliding_windows(spark, tmp_path):
     contract = Contract("t", "T", (Column("n", "integer", nullable=False),))
     spark.createDataFrame(rows, "id int, ts timestamp, n int").repartition(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("id int, ts timestamp, n int").parquet(str(tmp_path / "in"))
-    counted = row_stream.stream_violation_counts(stream, "ts", contract, "2 hours", "1 hour")
-    row_stream.append_to(counted, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    out = {(r.window_start, r.code): (r.rows, r.bad) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    shares, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    row_stream.stream_violation_counts(stream, "ts", contract, "2 hours", shares, checkpoint, "1 hour").awaitTermination()
+    out = {(r.window_start, r.code): (r.rows, r.bad) for r in row_stream.read_violation_counts(spark, shares).collect()}
     assert out[(datetime(2024, 1, 1, 3), "null_in_required")] == (120, 30)
-    assert (datetime(2024, 1, 1, 8), "uncastable") not in out
+    # The last windows are there, and what comes later still, also behind all others, is added.
+    assert out[(datetime(2024, 1, 1, 9), "null_in_required")] == (60, 15)
+    late = [(1000, datetime(2024, 1, 1, 3, 30), None), (1001, None, 1)]
+    spark.createDataFrame(late, "id int, ts timestamp, n int").write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id int, ts timestamp, n int").parquet(str(tmp_path / "in"))
+    row_stream.stream_violation_counts(stream, "ts", contract, "2 hours", shares, checkpoint, "1 hour").awaitTermination()
+    out = {(r.window_start, r.code): (r.rows, r.bad) for r in row_stream.read_violation_counts(spark, shares).collect()}
+    assert out[(datetime(2024, 1, 1, 3), "null_in_required")] == (121, 31)
+    assert out[(None, "null_in_required")] == (1, 0)
+
+
+def test_files_out_of_order_one_by_one(spark, tmp_path):
+    """However files are cut into batches, the registry is that of one batch."""
+    docs = {f"all/user/{n:02d}/u.json": document("users", spec, version=f"{n}.0.0") for n, spec in enumerate((USERS, USERS_2, USERS_2 + ", more string", USERS_3), 1)}
+    found = []
+    for each, order in ((1, sorted(docs, reverse=True)), (100, sorted(docs))):
+        root = tmp_path / str(each)
+        for path in order:
+            (root / "in" / path).parent.mkdir(parents=True, exist_ok=True)
+            (root / "in" / path).write_text(json.dumps(docs[path]))
+            time.sleep(0.02)
+        contract_stream.stream_contracts(spark, str(root / "in"), str(root / "reg"), str(root / "cp"), files_per_batch=each).awaitTermination()
+        kept = registry.read_registry(spark, str(root / "reg")).collect()
+        found.append(sorted((r.contract_id, r.registry_version, r.version) for r in kept))
+    assert found[0] == found[1] and len(found[0]) >= 3
+
+
+def test_contracts_without_rules_and_groups(spark):
+    optional = Contract("o", "O", (Column("absent", "string"),))
+    df = spark.range(3)
+    assert enforce.violations(df, optional, ["id"]).count() == 0
+    assert enforce.violation_counts(df, optional).count() == 0
+    assert enforce.split_rows(df, optional)[0].count() == 3
+    times = spark.range(10).select(F.timestamp_seconds("id").alias("a"), F.timestamp_seconds(F.col("id") * 2).alias("b"))
+    line = sla.sla_latency(times, "a", "b", optional, []).first()
+    assert (line.rows, line.late, line.p50, line.max_ms) == (10, 4, 4000, 9000)
+
+
+def test_rollup_keeps_every_count(spark):
+    """One owner per contract without a seq, and a line for contracts without documents."""
+    docs = documents.load_contracts(table_of(spark, [document("a", "x string"), document("a", "x string, y string")])).drop("seq", "file_path")
+    counts = spark.createDataFrame([("a", 100, 7), ("gone", 5, 2)], "contract_id string, rows bigint, bad bigint")
+    found = {(r.owner, r.contract_id): (r.contracts, r.rows, r.bad) for r in sla.owner_rollup(counts, docs).collect()}
+    assert found[(None, None)] == (2, 105, 9)
+    assert found[("Some Team", "a")] == (1, 100, 7) and found[(sla.UNKNOWN_OWNER, "gone")] == (1, 5, 2)
+
+
+def test_missing_files_are_skipped(spark):
+    docs = spark.createDataFrame([("a.json", 0, None), ("b.json", 1, json.dumps(document("b", "x string")))], "file_path string, seq bigint, raw string")
+    found = {r.file: (r.status, r.reason) for r in results.file_status(documents.load_contracts(docs)).collect()}
+    assert found == {"a.json": ("SKIPPED", results.FILE_NOT_FOUND), "b.json": ("PASSED", None)}
+
+
+def test_contracts_of_too_many_columns_get_no_table(spark):
+    docs = documents.load_contracts(table_of(spark, [document("wide", ", ".join(f"c{i} string" for i in range(tables.MAX_COLUMNS + 1)))]))
+    assert tables.plan_tables(docs, spark.createDataFrame([], tables.EXISTING_SCHEMA)).first().action == "rejected"

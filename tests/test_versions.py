@@ -231,3 +231,34 @@ def test_blocks_of_a_hot_key_are_even(spark):
     ordered = Ordered(df, ["key"], "pos", hot_rows=300)
     sizes = [r["count"] for r in ordered.blocked.groupBy("_block").count().collect()]
     assert sum(sizes) == 3000 and max(sizes) <= 300
+
+
+@pytest.mark.parametrize("mode", versions.MODES)
+def test_equal_seq_is_ordered_by_path(spark, mode):
+    """Versions that share a seq are held against each other in the order of their paths."""
+    docs = random_docs(60, 7)
+    rows = table_of(spark, docs).withColumn("seq", F.col("seq") - F.col("seq") % 10)
+    history_ = versions.history(documents.load_contracts(rows))
+    found = versions.compatibility(history_, mode, hot_rows=8).orderBy("seq", "file_path").collect()
+    assert [[(o["column"], o.reason) for o in r.offending] for r in found] == expected_offences(docs, mode)
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    """A filter on a column that passes through the parse is pushed into the read of the archive."""
+    table_of(spark, random_docs(10, 1)).write.parquet(str(tmp_path / "docs"))
+    loaded = documents.load_contracts(spark.read.parquet(str(tmp_path / "docs")))
+    plan = loaded.where("seq = 5")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(seq,5)" in plan and "seq#" in plan.split("DataFilters")[1][:80]
+
+
+def test_replaying_an_earlier_load_changes_nothing(spark, tmp_path):
+    docs = random_docs(40, 9)
+    path = str(tmp_path / "registry")
+    rows = candidates(spark, docs)
+    states = []
+    for load_id, part in (("a", rows.where("seq < 20")), ("b", rows.where("seq >= 20")), ("a", rows.where("seq < 20"))):
+        registry.apply_registration(registry.plan_history(part, "FORWARD_ALL", registry.read_registry(spark, path, before_load=load_id)), path, load_id)
+        states.append(sorted((r.contract_id, r.registry_version, r.seq, r.load_id) for r in registry.read_registry(spark, path).collect()))
+    assert states[1] == states[2]
+    registry.compact_registry(spark, path, path + "-one", "c")
+    assert sorted((r.contract_id, r.registry_version, r.seq) for r in registry.read_registry(spark, path + "-one").collect()) == [s[:3] for s in states[1]]
