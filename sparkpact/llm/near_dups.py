@@ -5,19 +5,23 @@ A document's set holds its distinct shingles of five words (A-Z lower-cased, wor
 ``100 * intersection >= 75 * union``; a document's component is all it reaches by links.
 
 1. Equal sets are one class. A class needs ``ceil(3 n / 4)`` of its ``n`` shingles in a partner's set.
-2. Blocks. Of each set the first ``n - ceil(3 n / 4) + l`` hashes in ascending order go to an exchange, with ``l``
+2. First cut. Of each set the first ``n - ceil(3 n / 4) + l`` hashes in ascending order go to an exchange, with ``l``
    a tenth of ``n``, one at least. Two sets that link share as many of them as the smaller ``l``, and the smaller
    set has three quarters of the larger at least. So a class stays only if a tenth of ``ceil(3 n / 4)`` of its
-   hashes also occur in others; most classes leave here. Classes that stay and share a hash,
-   neighbours by size among those of one hash, are chained to blocks: a link never leaves its block.
-   Chains are linear in the rows, however many classes share a hash.
-3. In a block the hashes of each set are counted in ``GROUPS`` groups; the counts are a point. Points are packed
+   hashes also occur in others; most classes leave here.
+3. Second cut, on whole sets of the classes that stay. How many of them hold a shingle orders the shingles, rare ones
+   first. A class stays only if ``ceil(3 n / 4)`` of its shingles occur in others. Of those that link, each has one of
+   the partner's shingles among its first ``n - ceil(3 n / 4) + 1`` in that order: what many documents share,
+   a licence, a line, comes last and connects nobody.
+4. Blocks. Classes that share one of those first shingles are chained, neighbours by size among those of one
+   shingle: a link never leaves its block. Chains are linear in the rows, however many classes share a shingle.
+5. In a block the hashes of each set are counted in ``GROUPS`` groups; the counts are a point. Points are packed
    into an R-tree whose nodes keep the largest coordinates, and the sum of the coordinatewise minima bounds
    the intersection: a subtree is skipped when the bound is too small for a link. Surviving pairs are verified
    on the whole sets. Pairs already connected are not verified again, so a family of a thousand copies takes
    about a thousand verifications. A block of more than ``TILE`` shingles is cut into tiles by a hash, and each pair
    of tiles is a task of its own, so no task holds more than two tiles.
-4. The links found (a forest for each task) are connected again.
+6. The links found (a forest for each task) are connected again.
 
 Shingles and classes are told apart by 64-bit hashes. Nothing is capped. Defined results: null text and text
 without words have an empty set and link with nothing; null ``doc_id`` counts above all others; repeated rows are
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkpact.llm.base import ROW, lean, mapped, packed, record, scramble, unpacked, utf8, written
+from sparkpact.llm.base import ROW, lean, mapped, packed, record, scramble, sliced, unpacked, utf8, written
 from sparkpact.llm.components import components
 from sparkpact.llm.shingles import WORDS, shingle_sets
 
@@ -41,6 +45,10 @@ GROUPS_BITS = 8
 GROUPS = 1 << GROUPS_BITS
 PAGE = 16
 TILE = 4 << 20
+#: Bits of a hash that the first cut compares; fewer only let more classes stay.
+CUT_BITS = 44
+#: From so many holders on, shingles count as equally common.
+COMMON = 4096
 _SEED = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -83,7 +91,7 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
         if not cut:
             return None
         keys = np.repeat(np.array([set_key(s) for s in sets], np.int64), [len(c) for c in cut])
-        return record({"h": pa.int64(), "key": pa.int64()}, np.concatenate(cut).view(np.int64), keys)
+        return record({"h": pa.int64(), "key": pa.int64()}, (np.concatenate(cut) >> np.uint64(64 - CUT_BITS)).view(np.int64), keys)
 
     return mapped(docs, step, "h bigint, key bigint")
 
@@ -117,15 +125,115 @@ def _shared(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "h bigint, key bigint")
 
 
-def _blocks(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """``key, block`` of the classes that may link with another."""
-    shared = written(_shared(_prefixes(docs, width)), "shared")
+def _staying(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """``key, n, id`` of the classes that pass the first cut; ``id`` is the class's least document."""
+    shared = _shared(_prefixes(docs, width))
     # A partner has at least ceil(3 n / 4) shingles, and may show only the tenth of its own prefix.
     need = F.expr("greatest(1L, ((3 * n + 3) div 4) div 10)")
     counts = shared.groupBy("key").agg(F.count(F.lit(1)).alias("have"))
-    staying = counts.join(classes.select("key", "n").distinct(), "key").where(F.col("have") >= need).select("key", "n")
-    rows = shared.join(staying, "key")
-    # Of one hash only neighbours by size are chained, unless the smaller is too small even for the next.
+    members = classes.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"))
+    return counts.join(members, "key").where(F.col("have") >= need).select("key", "n", "id")
+
+
+def _whole_sets(docs: DataFrame, staying: DataFrame, width: int) -> DataFrame:
+    """``key, n, shingles`` of those classes, from one document of each."""
+    wanted = staying.select("id", "key")
+    rows = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(wanted["id"])).select("doc_id", "text", "key")
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        # A repeated doc_id may have other texts; the class is the one asked for.
+        own = [(k, len(s), s.tobytes()) for s, k in zip(_sets_of(batch, width), batch.column(2).to_pylist()) if len(s) and set_key(s) == k]
+        return record({"key": pa.int64(), "n": pa.int64(), "shingles": pa.binary()}, *zip(*own)) if own else None
+
+    return mapped(rows, step, "key bigint, n bigint, shingles binary")
+
+
+def _with_holders(sets: DataFrame) -> DataFrame:
+    """``key, h, n, holders`` for every shingle that several classes hold, ``holders`` up to ``COMMON``."""
+    schema = {"h": pa.int64(), "key": pa.int64(), "n": pa.int32()}
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches, text=2):
+            data, offsets = utf8(part.column(2))
+            counts = np.diff(offsets) // 8
+            keys, sizes = (np.repeat(part.column(i).to_numpy(), counts) for i in (0, 1))
+            yield record(schema, np.frombuffer(data.tobytes(), np.int64), keys, sizes.astype(np.int32))
+
+    rows = sets.mapInArrow(spread, "h bigint, key bigint, n int")
+    ordered = rows.repartition(F.col("h")).sortWithinPartitions("h", "key")
+    names = ["key", "h", "n", "holders"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What is held back: the rows of the last shingle so far, and whether it was found common already.
+        held, common = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int32)), False
+
+        def told(h, key, n, last: bool):
+            nonlocal held, common
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
+            h, key, n = h[new], key[new], n[new]
+            begins = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            sizes = np.diff(np.append(begins, len(h)))
+            if common:
+                sizes[0] = COMMON
+            holders = np.repeat(np.minimum(sizes, COMMON), np.diff(np.append(begins, len(h))))
+            if last:
+                out = holders > 1
+                held = (h[:0], key[:0], n[:0])
+            else:
+                common = bool(sizes[-1] >= COMMON)
+                # Rows of the last shingle wait for the rest of it, unless enough are known; one stays as its mark.
+                keep = len(h) - 1 if common else int(begins[-1])
+                out = np.zeros(len(h), bool)
+                out[:keep] = holders[:keep] > 1
+                held = (h[keep:], key[keep:], n[keep:])
+            return pa.record_batch([pa.array(key[out]), pa.array(h[out]), pa.array(n[out]), pa.array(holders[out].astype(np.int32))], names)
+
+        for batch in batches:
+            columns = [np.concatenate((a, batch.column(i).to_numpy())) for i, a in enumerate(held)]
+            if len(columns[0]):
+                yield told(*columns, False)
+        if len(held[0]):
+            yield told(*held, True)
+
+    return ordered.mapInArrow(run, "key bigint, h bigint, n int, holders int")
+
+
+def _rare(rows: DataFrame) -> DataFrame:
+    """``h, key, n``: of the classes that pass the second cut, the shared ones among their first shingles."""
+    ordered = rows.repartition(F.col("key")).sortWithinPartitions("key", "holders", "h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int32))
+
+        def first(key, h, n):
+            begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            have = np.diff(np.append(begins, len(key)))
+            rank = np.arange(len(key)) - np.repeat(begins, have)
+            size = n[begins].astype(np.int64)
+            # Unshared shingles come before all shared ones and take their places among the first.
+            places = have - (3 * size + 3) // 4 + 1
+            out = rank < np.repeat(places, have)
+            return pa.record_batch([pa.array(h[out]), pa.array(key[out]), pa.array(n[out])], ["h", "key", "n"])
+
+        for batch in batches:
+            key, h, n = (np.concatenate((a, batch.column(i).to_numpy())) for i, a in enumerate(held))
+            if not len(key):
+                continue
+            cut = int(np.searchsorted(key, key[-1]))  # the last class may go on
+            if cut:
+                yield first(key[:cut], h[:cut], n[:cut])
+            held = (key[cut:], h[cut:], n[cut:])
+        if len(held[0]):
+            yield first(*held)
+
+    return ordered.mapInArrow(run, "h bigint, key bigint, n int")
+
+
+def _blocks(sets: DataFrame) -> DataFrame:
+    """``key, block`` of the classes that may link with another."""
+    rows = _rare(_with_holders(sets))
+    # Of one shingle only neighbours by size are chained, unless the smaller is too small even for the next.
     turn = Window.partitionBy("h").orderBy("n", "key")
     chained = rows.select(F.col("key").alias("a"), F.lag("key").over(turn).alias("b"), "n", F.lag("n").over(turn).alias("m"))
     edges = chained.where("b is not null and a <> b and 4 * m >= 3 * n").select("a", "b")
@@ -207,22 +315,11 @@ def links(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[
     return found
 
 
-def _links(docs: DataFrame, classes: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
+def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     """Links between classes: ``a, b``."""
-    members = classes.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n")).join(blocks, "key")
-    members = written(members, "members")
+    members = sets.join(blocks, "key")
     tiles = members.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(TILE)).cast("int").alias("tiles"))
-    members = members.join(tiles, "block").select("id", "key", "block", "tiles")
-    rows = docs.join(members.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(members["id"])).select("doc_id", "text", "key", "block", "tiles")
-
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        own = _sets_of(batch, width)
-        # A repeated doc_id may have other texts; the class is the one asked for.
-        rows = [(b, t, k, s.tobytes()) for s, k, b, t in zip(own, *(batch.column(i).to_pylist() for i in (2, 3, 4))) if len(s) and set_key(s) == k]
-        return record({"block": pa.int64(), "tiles": pa.int32(), "key": pa.int64(), "shingles": pa.binary()}, *zip(*rows)) if rows else None
-
-    found = mapped(rows, sets, "block bigint, tiles int, key bigint, shingles binary")
-    found = found.withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+    found = members.join(tiles, "block").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
     found = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     found = found.select("block", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "key", "shingles")
 
@@ -243,8 +340,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = lean(docs, id_col, text_col).select(F.col("doc_id").cast("bigint"), "text")
     own = written(_classes(docs, width), "classes")
     classes = own.where("n > 0")
-    blocks = written(_blocks(docs, classes, width), "block-members")
-    linked = components(_links(docs, classes, blocks, width), "links")
+    staying = written(_staying(docs, classes, width), "staying")
+    sets = written(_whole_sets(docs, staying, width), "sets")
+    blocks = written(_blocks(sets), "block-members")
+    linked = components(_links(sets, blocks), "links")
     # The least doc_id of a class, then of its component.
     least = classes.groupBy("key").agg(F.min("doc_id").alias("least")).join(linked.withColumnRenamed("node", "key"), "key", "left")
     least = least.select("key", "least", F.coalesce("component", "key").alias("component"))
