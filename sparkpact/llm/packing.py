@@ -1,10 +1,10 @@
 """Sequences of a fixed size packed from documents by the sum-of-squares rule.
 
 A document's ids (with an end id) are cut into pieces only if they do not fit one sequence. A piece of
-full size is a sequence of its own. Any other piece goes where the sum over all gaps of the squared number
-of open sequences with that gap becomes smallest: into an open sequence, or into a new one. Many open
-sequences with the same gap are thus avoided, which keeps gaps of all sizes at hand. Of equal choices the
-smallest gap, the best fit, is taken. Longer pieces are placed first.
+full size is a sequence of its own. Any other piece goes into the open sequence for which the sum over all gaps of
+the squared number of open sequences with that gap becomes smallest, and into a new one only if it fits into none.
+Many open sequences with the same gap are thus avoided, which keeps gaps of all sizes at hand. Of equal choices
+the smallest gap, the best fit, is taken. Longer pieces are placed first.
 
 Pieces are dealt by a hash of their number in the written table to groups of about ``GROUP``, so groups
 are alike and each is packed by one task. Sequences that a group leaves open are pieces of the next round,
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpact.llm.base import lean, mapped, record, texts, written
+from sparkpact.llm.base import lean, mapped, record, utf8, written
 from sparkpact.llm.tokens import encoder
 
 SIZE = 2048
@@ -41,7 +41,8 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> np.ndarray:
     for i, n in enumerate(lengths.tolist()):
         here = counts[n : size + 1]
         change = np.where(here > 0, 1 - 2 * here, far)
-        change[-1] = 0  # a new bin leaves no gap behind
+        if not here[:-1].any():
+            change[-1] = 0  # a new bin leaves no gap behind
         usable = change != far
         after = 2 * counts[: size + 1 - n] + 1
         after[0] = 0  # a full bin is open no more
@@ -66,7 +67,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, size: int = SIZE, end: int =
         schema["ids"] = pa.list_(pa.int32())
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, at = encoder(vocabulary).encode(texts(batch.column(1)), end)
+        ids, at = encoder(vocabulary).encode_bytes(*utf8(batch.column(1)), end)
         ids = ids.astype("<u4")
         rows = []
         for doc_id, a, b in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):

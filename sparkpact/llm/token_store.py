@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkpact.llm.base import lean, record, sliced, texts
+from sparkpact.llm.base import lean, record, sliced, utf8
 from sparkpact.llm.tokens import encoder
 
 MARK = b"TOKIDS"
@@ -52,11 +52,14 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end: int) -> bytes:
 
     small = docs.where(F.octet_length("text") <= SAMPLE_BYTES)
     share = min(1.0, 2 * SAMPLE_DOCS / max(1, docs.count()))
-    drawn = small.where(F.abs(F.xxhash64("doc_id", "text") % 1_000_000) < round(1_000_000 * share))
+    # The hash is a signed number of 64 bits.
+    drawn = small.where(F.xxhash64("doc_id", "text") <= F.lit(min((1 << 63) - 1, int(share * 2**64) - (1 << 63))))
     rows = drawn.select("text", F.xxhash64("doc_id", "text").alias("h")).limit(2 * SAMPLE_DOCS).collect()
     sample = [r["text"] for r in sorted(rows, key=lambda r: (r["h"], r["text"]))[:SAMPLE_DOCS]]
-    ids, at = encoder(vocabulary).encode(sample, end)
-    arrays = [serialised(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
+    arrays = []
+    for begin in range(0, len(sample), 100):
+        ids, at = encoder(vocabulary).encode(sample[begin : begin + 100], end)
+        arrays += [serialised(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes()
     except zstandard.ZstdError:
@@ -146,7 +149,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 0, id_co
     def containers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number, box = TaskContext.get().partitionId(), 0, Container(dictionary)
         for part in sliced(batches):
-            ids, at = encoder(vocabulary).encode(texts(part.column(1)), end)
+            ids, at = encoder(vocabulary).encode_bytes(*utf8(part.column(1)), end)
             for doc_id, a, b in zip(part.column(0).to_pylist(), at[:-1], at[1:]):
                 own = ids[a:b]
                 width = 2 if int(own.max(initial=0)) < 1 << 16 else 4
