@@ -37,9 +37,12 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*(F.col(ROW).getField(c).alias(c) for c in columns))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once below ``spark.checkpoint.dir`` and read from there: survives lost executors."""
-    return materialize(df, f"llm-{label}")
+def written(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """``df`` written once below ``spark.checkpoint.dir`` and read from there: survives lost executors.
+
+    With ``by`` it is laid out by that column, and readers of one value read no other.
+    """
+    return materialize(df, f"llm-{label}", by)
 
 
 def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = STEP_BYTES) -> DataFrame:

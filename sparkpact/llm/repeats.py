@@ -10,8 +10,9 @@ place, so whatever repeats does so at suffixes that begin at anchors, about one
 are consecutive: a run.
 
 1. Every run is an anchor's hash, the hash of the run's bytes (two prefix polynomials over 2**64, independent
-   bases), and where it lies. Runs are exchanged by the anchor's hash and sorted; neighbours tell. A run whose
-   bytes occur again repeats as a whole. A run that only shares its anchor is open, and so is one run of
+   bases), and where it lies. Runs that are equal within a step of a task are settled there, and one of them goes
+   on for all: a line that fills a third of the corpus sends one row for each step. Runs are exchanged by the
+   anchor's hash and sorted; neighbours tell. A run whose bytes occur again repeats as a whole. A run that only shares its anchor is open, and so is one run of
    each kind beside it.
 2. The bytes of open runs meet by their anchor. In a task the suffixes at the anchors are sorted by a mergesort
    that compares two suffixes by binary search on their prefix hashes: the longest common extension takes
@@ -48,8 +49,10 @@ OTHER = 0xD1342543DE82EF95
 #: Low bits of an anchor's rank that hold its place: texts of up to 256 MiB.
 _PLACE = 28
 
-_RUN = {"fp": pa.int64(), "seg": pa.int64(), "twin": pa.int64(), "doc_id": pa.int64(), "th": pa.int64(), "lo": pa.int32(), "at": pa.int32(), "m": pa.int32()}
-_RUN_DDL = "fp bigint, seg bigint, twin bigint, doc_id bigint, th bigint, lo int, at int, m int"
+_RUN = {"kind": pa.int32(), "fp": pa.int64(), "seg": pa.int64(), "twin": pa.int64(), "doc_id": pa.int64(), "th": pa.int64(), "lo": pa.int32(), "at": pa.int32(), "m": pa.int32(), "done": pa.bool_()}
+_RUN_DDL = "kind int, fp bigint, seg bigint, twin bigint, doc_id bigint, th bigint, lo int, at int, m int, done boolean"
+#: Rows of the written table: a run that stands for all of its kind in a step, and bytes that repeat within a step.
+_WITNESS, _SETTLED = 0, 1
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -97,26 +100,57 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gra
     return text, first - base, anchor - base, windows, fp, seg, twin
 
 
+def _united(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping spans of each text as one; spans come in order of text and begin."""
+    if not len(text):
+        return text, begin, end
+    wide = text * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(wide + end)
+    new = np.append(True, (wide + begin)[1:] > reach[:-1])
+    at = np.flatnonzero(new)
+    return text[at], begin[at], reach[np.append(at[1:], len(text)) - 1] - wide[at]
+
+
 def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         text, first, anchor, windows, fp, seg, twin = window_runs(*utf8(batch.column(1)), length, gram)
-        ids, hashes = batch.column(0).take(pa.array(text)), batch.column(2).take(pa.array(text))
-        signed = (x.view(np.int64) for x in (fp, seg, twin))
-        return record(_RUN, *signed, ids, hashes, first.astype(np.int32), anchor.astype(np.int32), windows.astype(np.int32))
+        order = np.lexsort((twin, seg, fp))
+        same = (fp[order[1:]] == fp[order[:-1]]) & (seg[order[1:]] == seg[order[:-1]]) & (twin[order[1:]] == twin[order[:-1]])
+        begins = np.flatnonzero(np.append(True, ~same)) if len(order) else order
+        sizes = np.diff(np.append(begins, len(order)))
+        often = np.zeros(len(order), bool)
+        often[order] = np.repeat(sizes > 1, sizes)
+        witness = order[begins]
+        where, a, b = _united(text[often], first[often], first[often] + windows[often] - 1 + length)
+        zeros = np.zeros(len(where), np.int64)
+        owner = pa.array(np.concatenate((text[witness], where)))
+        joined = lambda x, y: np.concatenate((x[witness], y))
+        return record(
+            _RUN,
+            np.concatenate((np.full(len(witness), _WITNESS), np.full(len(where), _SETTLED))).astype(np.int32),
+            *(joined(x.view(np.int64), zeros) for x in (fp, seg, twin)),
+            batch.column(0).take(owner),
+            batch.column(2).take(owner),
+            joined(first, a).astype(np.int32),
+            joined(anchor, zeros).astype(np.int32),
+            joined(windows, b - a).astype(np.int32),
+            joined(often, zeros.astype(bool)),
+        )
 
     return mapped(docs, step, _RUN_DDL, STEP)
 
 
 def _told(runs: DataFrame) -> DataFrame:
     """Runs that repeat as a whole (``done``) or are open, from their neighbours in the order of the hashes."""
-    ordered = runs.repartition(F.col("fp")).sortWithinPartitions("fp", "seg", "twin")
+    columns = ["fp", "seg", "twin", "doc_id", "th", "lo", "at", "m", "done"]
+    ordered = runs.select(*columns).repartition(F.col("fp")).sortWithinPartitions("fp", "seg", "twin")
 
     def judge(table: pa.Table, known: tuple[bool, bool], last: bool) -> tuple[list[pa.RecordBatch], pa.Table, tuple[bool, bool]]:
         """``known``: of the first row, whether the row before it has its bytes, and whether it has its anchor only."""
         fp, seg, twin = (table.column(i).to_numpy() for i in range(3))
         anchor = fp[1:] == fp[:-1]
         same = anchor & (seg[1:] == seg[:-1]) & (twin[1:] == twin[:-1])
-        done, open_ = np.zeros(len(fp), bool), np.zeros(len(fp), bool)
+        done, open_ = table.column("done").to_numpy().copy(), np.zeros(len(fp), bool)
         done[1:] |= same
         done[:-1] |= same
         open_[1:] |= anchor & ~same
@@ -378,8 +412,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The documents as ``doc_id, text, th`` (``th``: a hash of the text), and spans of repeated bytes ``doc_id, th, a, b``."""
     docs = lean(docs, id_col, text_col).select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
-    told = written(_told(_runs(docs.where(F.octet_length("text") >= length), length, gram)), "runs")
-    whole = told.where("done").select("doc_id", "th", F.col("lo").cast("bigint").alias("a"), (F.col("lo") + F.col("m") - 1 + length).cast("bigint").alias("b"))
+    runs = written(_runs(docs.where(F.octet_length("text") >= length), length, gram), "runs", "kind")
+    told = written(_told(runs.where(F.col("kind") == _WITNESS)), "told")
+    span = lambda end: [F.col("lo").cast("bigint").alias("a"), (F.col("lo") + F.col("m") + F.lit(end)).cast("bigint").alias("b")]
+    whole = told.where("done").select("doc_id", "th", *span(length - 1))
+    whole = whole.unionByName(runs.where(F.col("kind") == _SETTLED).select("doc_id", "th", *span(0)))
     open_ = told.where("open").drop("open")
     # Anchors too common for one task; their number is bounded by the open runs over ``held``.
     common = open_.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > held).select("fp")
