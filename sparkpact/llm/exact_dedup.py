@@ -146,14 +146,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256, n_bytes``."""
     prints = written(fingerprints(docs, id_col, text_col, chunk_bytes), "fingerprints")
     key = ["n_bytes", "fp1", "fp2"]
-    sizes = prints.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = prints.join(sizes.drop("n"), key, "left_semi")
+    # Groups are written, so that joins with them are plain ones, whose hot keys are split at run time.
+    sizes = written(prints.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "shared")
+    shared = prints.join(sizes, key, "left_semi")
     texts = lean(docs, id_col, text_col).select(F.col("doc_id").cast("bigint"), "text")
     differ = written(_compared(texts, shared, chunk_bytes).withColumn("differ", F.lit(True)), "differ")
     # Texts of one fingerprint are one group unless the comparison said otherwise.
     prints = prints.join(differ, key, "left").withColumn("part", F.when(F.col("differ"), F.col("text_sha256")).otherwise("")).drop("differ")
     key = [*key, "part"]
-    groups = prints.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(prints.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     turn = F.row_number().over(Window.partitionBy(*key, "doc_id").orderBy("doc_id"))
     first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("turn") == 1)
     return (
