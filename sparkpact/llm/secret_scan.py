@@ -74,11 +74,15 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 
 @dataclass
 class Layer:
-    """Some text, and for each of its characters the span it came from; ``None`` where that is its own place."""
+    """Some text, and for each of its characters the span it came from and whether it was decoded.
+
+    The text itself has no arrays: each character is its own place and none was decoded.
+    """
 
     text: str
     begin: np.ndarray | None = None
     end: np.ndarray | None = None
+    decoded: np.ndarray | None = None
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         """The span of the whole text behind characters ``a`` to ``b`` (one at least)."""
@@ -89,26 +93,22 @@ class Layer:
     def inside(self, text: str, a: int, b: int) -> Layer:
         """A layer all of whose characters came from ``a`` to ``b`` of this one."""
         begin, end = self.span(a, b)
-        return Layer(text, np.full(len(text), begin), np.full(len(text), end))
+        return Layer(text, np.full(len(text), begin), np.full(len(text), end), np.ones(len(text), bool))
+
+    def part(self, a: int, b: int) -> Layer:
+        if self.begin is None:
+            return Layer(self.text[a:b], np.arange(a, b), np.arange(a + 1, b + 1), np.zeros(b - a, bool))
+        return Layer(self.text[a:b], self.begin[a:b], self.end[a:b], self.decoded[a:b])
 
     def replaced(self, parts: list[tuple[int, int, str]]) -> Layer:
         """This layer with some parts decoded."""
-        text, begin, end, at = [], [], [], 0
-
-        def copy(a: int, b: int) -> None:
-            text.append(self.text[a:b])
-            begin.append(np.arange(a, b) if self.begin is None else self.begin[a:b])
-            end.append(np.arange(a + 1, b + 1) if self.end is None else self.end[a:b])
-
+        out, at = [], 0
         for a, b, new in parts:
-            copy(at, a)
-            first, last = self.span(a, b)
-            text.append(new)
-            begin.append(np.full(len(new), first))
-            end.append(np.full(len(new), last))
+            out += [self.part(at, a), self.inside(new, a, b)]
             at = b
-        copy(at, len(self.text))
-        return Layer("".join(text), np.concatenate(begin), np.concatenate(end))
+        out.append(self.part(at, len(self.text)))
+        arrays = (np.concatenate([getattr(x, name) for x in out]) for name in ("begin", "end", "decoded"))
+        return Layer("".join(x.text for x in out), *arrays)
 
 
 def _words_around(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
@@ -256,8 +256,7 @@ def layers_of(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
         if mark and mark not in text or not mark and "\\" not in text and "&#" not in text:
             continue
         for a, b in _words_around(text, find):
-            part = Layer(text[a:b], *((np.arange(a, b), np.arange(a + 1, b + 1)) if layer.begin is None else (layer.begin[a:b], layer.end[a:b])))
-            yield part.replaced([(x - a, y - a, new) for x, y, new in parts_of(text, a, b)])
+            yield layer.part(a, b).replaced([(x - a, y - a, new) for x, y, new in parts_of(text, a, b)])
     for m in _BASE64.finditer(text):
         data = _base64_bytes(m.group())
         if data is None or not _may_be_text(data):
@@ -291,7 +290,8 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str,
             if not found.text or mark in seen:
                 continue
             seen.add(mark)
-            spans.update((kind, *found.span(a, b)) for kind, a, b in scan(found.text))
+            # What holds no decoded character was there to be found before.
+            spans.update((kind, *found.span(a, b)) for kind, a, b in scan(found.text) if found.decoded[a:b].any())
             work.append(found)
     return base, spans
 
