@@ -361,15 +361,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = near_duplicates(docs, id_col, text_col, width)
     keep = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"), F.col("key").alias("class")).distinct()
     rows = packed(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64())])
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = _sets_of(batch, width)
-        own = record(schema, batch.column(0), [set_key(s) for s in sets], [len(s) for s in sets])
-        return pa.record_batch([*own.columns, batch.column(2)], [*own.schema.names, ROW])
+        keys = pa.array([set_key(s) for s in sets], pa.int64())
+        return pa.record_batch([batch.column(0), keys, batch.column(2)], ["doc_id", "key", ROW])
 
-    keyed = mapped(rows, step, f"doc_id bigint, key bigint, n bigint, `{ROW}` {rows.schema[ROW].dataType.simpleString()}")
+    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    keyed = mapped(rows.where(~wordless), step, f"doc_id bigint, key bigint, `{ROW}` {rows.schema[ROW].dataType.simpleString()}")
     turn = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy(F.lit(0)))
-    first = keyed.where("n > 0").withColumn("turn", turn).where("turn = 1")
+    first = keyed.withColumn("turn", turn).where("turn = 1")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("class"))
-    return unpacked(first.join(keep, same, "left_semi"), docs.columns).unionByName(unpacked(keyed.where("n = 0"), docs.columns))
+    return unpacked(first.join(keep, same, "left_semi"), docs.columns).unionByName(unpacked(rows.where(wordless), docs.columns))
