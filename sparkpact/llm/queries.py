@@ -99,12 +99,46 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+# What the contracts call blanks, and words of the benchmark.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+_PLAIN_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM n WINDOW g AS (PARTITION BY t)""",
+    "op4_jaccard_join": f"""
+        WITH RECURSIVE texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM texts WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM pairs JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * c >= 75 * (s.n + t.n - c)),
+        reach(doc_id, r) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT l.x, reach.r FROM reach JOIN links l ON l.y = reach.doc_id)
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+    "op6_decontamination": f"""
+        WITH texts AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+        items AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS g
+            FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM items WHERE len(w) > 0)),
+        places AS (
+            SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS g
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM texts, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+        found AS (SELECT doc_id, n, k, item_id FROM places JOIN windows USING (n, g)),
+        hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op8_url_filters": r"""
         WITH cut AS (
             SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
