@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sparkpact.llm import packing, token_store, tokens
 
 BYTES, WORDS = (tokens.public_vocabulary(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
-ODD = ["", " ", "  a", "a  b", "a \n b\n\n c", "x<|endoftext|> y <|startoftext|>z", "don't 'll it's", "\t\ta  b", "é ́x", "AİΣ Σ", "a\x1cb \x1cq",
+ODD = ["foo_, a_.", "×. é. é, ×,é", "3.5.6 a...b ,x", "x! y!! z?!a", "é.é ʿ. ˂. ö:b", "word.\nNext", "x.<|endoftext|>.y, it.s",
+       "", " ", "  a", "a  b", "a \n b\n\n c", "x<|endoftext|> y <|startoftext|>z", "don't 'll it's", "\t\ta  b", "é ́x", "AİΣ Σ", "a\x1cb \x1cq",
        "日本 語。 、ok", "#%&&& 12 345 6", "a,\nb.\nC d\n", "ab\x85 \x85 c", "ᄀ ᅡ 가 가", "a\t\nb", "a\r\nb c", "x \nHello world"]
 
 
@@ -110,7 +111,7 @@ def test_packing(spark, group, monkeypatch):
     found = packing.pack(packing.token_pieces(docs, WORDS, size=64, with_ids=False), size=64).collect()
     n = packed_right(found, rows, 64)
     total = sum(r["length"] for r in found)
-    assert n <= -(-total // 64) + (5 if group > 100 else 30)
+    assert n <= -(-total // 64) + (3 if group > 100 else 20)
 
 
 def test_pieces_carry_ids(spark):
@@ -136,7 +137,8 @@ def test_rule_by_hand():
             return sum(c * c for c in counts)
 
         places = {b: g for b, g in gaps.items() if g >= n}
-        best = min([squares({b: g - n}) for b, g in places.items()] + [squares({max(gaps, default=-1) + 1: 12 - n})])
+        best = min([squares({b: g - n}) for b, g in places.items()] or [squares({max(gaps, default=-1) + 1: 12 - n})])
+        assert (own in gaps) == bool(places)
         assert squares({own: gaps.get(own, 12) - n}) == best
         gaps[own] = gaps.get(own, 12) - n
 
