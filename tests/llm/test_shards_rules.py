@@ -89,7 +89,7 @@ def test_verdicts(spark):
     rows = [(i, u, "<html>", "clash") for i, u in enumerate(URLS + URLS[:3])]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string")
     found = url_rules.judge_urls(pages, URL_RULES)
-    assert found.columns == ["page_id", "html", "host", "path", "rule", "verdict"]
+    assert found.columns == ["page_id", "url", "html", "host", "path", "rule", "verdict"]
     assert rows_of(found, "page_id", "host", "path", "rule", "verdict") == sorted(((i, *plain_verdict(u, URL_RULES)) for i, u, *_ in rows), key=repr)
 
 

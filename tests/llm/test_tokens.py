@@ -46,9 +46,8 @@ def test_store_round_trip(spark, tmp_path):
         at += r["n_tokens"]
 
 
-def test_one_document_alone(spark, tmp_path, monkeypatch):
+def test_one_document_alone(spark, tmp_path):
     """Any document of a container can be read by itself, and only with its dictionary."""
-    monkeypatch.setattr(token_store, "CONTAINER_DOCS", 40)
     rows = [(i, " ".join(f"word{i * k % 13} text" for k in range(30))) for i in range(300)]
     path = str(tmp_path / "store")
     token_store.write_store(frame(spark, rows), path, BYTES)
@@ -62,11 +61,22 @@ def test_one_document_alone(spark, tmp_path, monkeypatch):
         k = len(reader.docs) // 2
         assert token_store.read_document(box["content"], dictionary, k).tolist() == expected[reader.docs[k]].tolist()
         seen += len(reader.docs)
-    assert seen == len(rows) and len(boxes) > 7
+    assert seen == len(rows) and len(boxes) > 1
     with pytest.raises(ValueError):
         token_store.Reader(boxes[0]["content"], b"another")
 
 
+def test_containers_are_closed_when_full():
+    box = token_store.Container(b"")
+    ids = np.arange(5, dtype=np.uint32)
+    for i in range(token_store.CONTAINER_DOCS):
+        assert box.fits(2)
+        box.add(i, ids, 2)
+    assert not box.fits(2)
+    assert token_store.Reader(box.close()[2], b"").docs == list(range(token_store.CONTAINER_DOCS))
+    assert box.fits(4)
+
+
 def test_wide_ids():
     box = token_store.Container(b"")
     ids = np.array([1, 70_000, 3], np.uint32)
