@@ -16,21 +16,32 @@ from pyspark.sql import functions as F
 from sparkpact.session import materialize
 
 #: Bytes of text that one step of a task works on at a time; a longer text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = (1 << 20) - (1 << 16)
+#: Bytes of rows that reach a task at a time, where the session does not say; a longer row comes alone.
+BATCH_BYTES = "8m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: Key of the rows of ``docs`` while an operator works on its own columns.
 ROW = "__row"
 
 
+def bounded(docs: DataFrame) -> DataFrame:
+    """``docs``, from now on handed to tasks in batches of bounded bytes."""
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH_SETTING, None) is None:
+        conf.set(_BATCH_SETTING, BATCH_BYTES)
+    return docs
+
+
 def lean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the columns an operator reads, as ``doc_id, text`` and ``more``, whatever else there is."""
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`") for c in more))
+    return bounded(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`") for c in more))
 
 
 def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, text`` and the whole row as a struct, so that no name of the input can clash."""
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(ROW)
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), whole)
+    return bounded(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), whole)
 
 
 def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -53,6 +64,8 @@ def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None
             out = step(part)
             if out is not None and out.num_rows:
                 yield out
+        # Workers live on: give back what this task needed.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
