@@ -20,7 +20,7 @@ import pyarrow as pa
 from sparkpact.llm.base import BASE, BYTE_VALUES, prefix_sums, span_hashes, utf8
 
 #: Distinct pieces that a worker keeps; others are encoded anew in each step. Bounds memory, not results.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 1_200_000
 #: Longer pieces (in bytes) are never kept.
 KEPT_LENGTH = 64
 #: Pieces encoded in one go.
