@@ -4,8 +4,8 @@ A text is scanned by the rules, then every part of it that looks encoded is deco
 a worklist, scanned and searched for encoded parts in turn, until nothing new appears. Four layers are
 unwrapped, in any nesting:
 
-- URL: text around ``%XX``;
-- Unicode: text around ``\\uXXXX``, ``\\xXX`` and ``&#N;``;
+- URL: the whole layer with every ``%XX`` decoded;
+- Unicode: the whole layer with every ``\\uXXXX``, ``\\xXX`` and ``&#N;`` decoded;
 - base64, standard and URL-safe alphabet, of 16 characters and more (12 bytes, the shortest secret a rule finds);
 - compressed: gzip, zlib, bzip2, xz and zstandard behind base64.
 
@@ -47,7 +47,6 @@ _ASSIGN = re.compile(r"""(?ai)(?:password|passwd|secret|token|api_?key)["']?\x20
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run of fewer fails
 
-_URL = re.compile(r"%[0-9A-Fa-f]{2}")
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|x[0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -95,59 +94,29 @@ class Layer:
         begin, end = self.span(a, b)
         return Layer(text, np.full(len(text), begin), np.full(len(text), end), np.ones(len(text), bool))
 
-    def part(self, a: int, b: int) -> Layer:
-        if self.begin is None:
-            return Layer(self.text[a:b], np.arange(a, b), np.arange(a + 1, b + 1), np.zeros(b - a, bool))
-        return Layer(self.text[a:b], self.begin[a:b], self.end[a:b], self.decoded[a:b])
-
     def replaced(self, parts: list[tuple[int, int, str]]) -> Layer:
-        """This layer with some parts decoded."""
-        out, at = [], 0
+        """This layer with some parts decoded, in order, each to one character."""
+        text, out, at = self.text, [], 0
         for a, b, new in parts:
-            out += [self.part(at, a), self.inside(new, a, b)]
+            out += [text[at:a], new]
             at = b
-        out.append(self.part(at, len(self.text)))
-        arrays = (np.concatenate([getattr(x, name) for x in out]) for name in ("begin", "end", "decoded"))
-        return Layer("".join(x.text for x in out), *arrays)
-
+        out.append(text[at:])
+        a, b = (np.array([x[i] for x in parts], np.int64) for i in (0, 1))
+        inner = np.zeros(len(text) + 1, np.int8)
+        inner[a + 1] += 1
+        inner[b] -= 1
+        begin = np.flatnonzero(np.cumsum(inner[:-1]) == 0)  # where each character of the new text begins in this one
+        decoded = np.zeros(len(begin), bool) if self.decoded is None else self.decoded[begin]
+        decoded[np.searchsorted(begin, a)] = True
+        if self.begin is None:
+            return Layer("".join(out), begin, np.append(begin[1:], len(text)), decoded)
+        return Layer("".join(out), np.minimum.reduceat(self.begin, begin), np.maximum.reduceat(self.end, begin), decoded)
 
-def _words_around(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
-    """Runs of the text that hold matches close to each other, with the words they stand in and the one before.
 
-    A secret of the rules reaches over blanks at most between its name and its value, so a neighbour on
-    either side is taken along.
-    """
-    last = None
-    for m in pattern.finditer(text):
-        a, b = _widened(text, m.start(), m.end())
-        if last and a <= last[1]:
-            last = (last[0], max(b, last[1]))
-        else:
-            if last:
-                yield last
-            last = (a, b)
-    if last:
-        yield last
-
-
-def _widened(text: str, a: int, b: int) -> tuple[int, int]:
-    """Out over the word, blanks, and another word on both sides."""
-    for _ in range(2):
-        while a > 0 and text[a - 1] == " ":
-            a -= 1
-        while a > 0 and not text[a - 1].isspace():
-            a -= 1
-        while b < len(text) and text[b] == " ":
-            b += 1
-        while b < len(text) and not text[b].isspace():
-            b += 1
-    return a, b
-
-
-def _url_parts(text: str, a: int, b: int) -> list[tuple[int, int, str]]:
+def _url_parts(text: str) -> list[tuple[int, int, str]]:
     """Each escaped byte run as characters; a character of several bytes stands for all of its escapes."""
     out = []
-    for m in _URL_RUN.finditer(text, a, b):
+    for m in _URL_RUN.finditer(text):
         raw = bytes.fromhex(m.group().replace("%", ""))
         at = m.start()
         for c in raw.decode("utf-8", "surrogateescape"):
@@ -157,10 +126,10 @@ def _url_parts(text: str, a: int, b: int) -> list[tuple[int, int, str]]:
     return out
 
 
-def _escape_parts(text: str, a: int, b: int) -> list[tuple[int, int, str]]:
+def _escape_parts(text: str) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
     high = None  # a first half of a pair waiting for its second
-    for m in _ESCAPE.finditer(text, a, b):
+    for m in _ESCAPE.finditer(text):
         own = m.group()
         if own[0] == "&":
             code = int(own[3:-1], 16) if own[2] == "x" else int(own[2:-1])
@@ -252,12 +221,13 @@ def _base64_bytes(run: str) -> bytes | None:
 def layers_of(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
     """What one step of decoding makes of a layer; a pair of places for what is too large."""
     text = layer.text
-    for find, parts_of, mark in ((_URL, _url_parts, "%"), (_ESCAPE, _escape_parts, "")):
-        if mark and mark not in text or not mark and "\\" not in text and "&#" not in text:
-            continue
-        for a, b in _words_around(text, find):
-            yield layer.part(a, b).replaced([(x - a, y - a, new) for x, y, new in parts_of(text, a, b)])
+    for parts_of, marks in ((_url_parts, ("%",)), (_escape_parts, ("\\", "&#"))):
+        if any(mark in text for mark in marks) and (parts := parts_of(text)):
+            yield layer.replaced(parts)
     for m in _BASE64.finditer(text):
+        # What neither holds nor touches a decoded character was found in the layer before.
+        if layer.decoded is not None and not layer.decoded[max(0, m.start() - 1) : m.end() + 1].any():
+            continue
         data = _base64_bytes(m.group())
         if data is None or not _may_be_text(data):
             continue

@@ -241,6 +241,19 @@ def test_spans_are_mapped_back():
     assert spans_of(text)[1] == [("assign", 2, 2 + len(hidden))]
 
 
+@pytest.mark.parametrize("plain", ["password = hunter2x", 'api_key = "abcdefg"', "token  :  'abcdefgh", "secret= token= passwd = abcdef"])
+@pytest.mark.parametrize("escape", ["%{:02X}", "\\u{:04x}", "\\x{:02x}", "&#{};"])
+def test_partly_escaped_with_blanks(plain, escape):
+    """One character escaped, whichever it is, in a longer text: found as in the whole text decoded."""
+    for k, c in enumerate(plain):
+        own = escape.format(ord(c))
+        text = f"é one two {plain[:k]}{own}{plain[k + 1 :]} three four"
+        back = lambda p, k=k + 10, n=len(own) - 1: p if p <= k else p + n
+        expected = {(kind, back(a), back(b)) for kind, a, b in secret_scan.scan(f"é one two {plain} three four") if a <= k + 10 < b}
+        assert expected <= set(spans_of(text)[1])
+        assert set(spans_of(text)[1]) - expected <= set(spans_of(text)[0])
+
+
 def test_clean_text_has_no_layers():
     r = random.Random(5)
     text = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 40))) for _ in range(3000))
