@@ -9,6 +9,9 @@ unwrapped, in any nesting:
 - base64, standard and URL-safe alphabet, of 16 characters and more (12 bytes, the shortest secret a rule finds);
 - compressed: gzip, zlib, bzip2, xz and zstandard behind base64.
 
+Every decoded layer is scanned, text or not: bytes that are no UTF-8 are replaced, the others stay, and what may be
+UTF-16 is read as that too. The rules decide; a binary file without secrets matches none.
+
 A layer is followed once for each place it came from: a worklist entry whose content and place were seen is
 dropped, so layers that contain themselves end. Each character of a layer remembers the span of the text it came
 from (exactly for URL and Unicode, the whole encoded part for base64 and compression), so spans of all layers are
@@ -51,8 +54,8 @@ _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|x[0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _STANDARD = str.maketrans("-_", "+/")
-#: Share of characters of decoded bytes that may be unprintable.
-_PRINTABLE = re.compile(r"[^\x00-\x08\x0E-\x1F\x7F�]")
+#: ASCII as UTF-16, of 12 characters and more: rules and encodings are ASCII, and no secret is shorter.
+_WIDE = {"utf-16-le": re.compile(rb"(?:[\t-~]\0){12,}"), "utf-16-be": re.compile(rb"(?:\0[\t-~]){12,}")}
 
 Span = tuple[int, str, int]
 
@@ -92,7 +95,7 @@ class Layer:
     def inside(self, text: str, a: int, b: int) -> Layer:
         """A layer all of whose characters came from ``a`` to ``b`` of this one."""
         begin, end = self.span(a, b)
-        return Layer(text, np.full(len(text), begin), np.full(len(text), end), np.ones(len(text), bool))
+        return Layer(text, *(np.broadcast_to(x, len(text)) for x in (np.int64(begin), np.int64(end), np.True_)))
 
     def replaced(self, parts: list[tuple[int, int, str]]) -> Layer:
         """This layer with some parts decoded, in order, each to one character."""
@@ -187,17 +190,17 @@ def _limited_stream(stream) -> bytes:
     return out
 
 
-def _as_text(data: bytes) -> str | None:
-    """The bytes as text, if nearly all of it is fit to read."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and len(_PRINTABLE.sub("", text)) * 10 <= len(text) else None
+def _as_texts(data: bytes) -> Iterator[str]:
+    """The bytes as text, fit to read or not, and also as UTF-16 where some of them may be."""
+    if data:
+        yield data.decode("utf-8", "replace")
+    for codec, wide in _WIDE.items():
+        for parity in sorted({m.start() % 2 for m in wide.finditer(data)}) if b"\0" in data else ():
+            yield data[parity:].decode(codec, "replace")
 
 
-def unwrapped_bytes(data: bytes) -> str | None:
-    """Text inside bytes, through any number of compressions."""
+def unwrapped_bytes(data: bytes) -> bytes | None:
+    """The bytes inside any number of compressions."""
     seen: set[bytes] = set()
     while (more := decompressed(data)) is not None:
         mark = hashlib.sha256(data).digest()
@@ -205,7 +208,7 @@ def unwrapped_bytes(data: bytes) -> str | None:
             return None
         seen.add(mark)
         data = more
-    return _as_text(data)
+    return data
 
 
 def _base64_bytes(run: str) -> bytes | None:
@@ -229,20 +232,15 @@ def layers_of(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
         if layer.decoded is not None and not layer.decoded[max(0, m.start() - 1) : m.end() + 1].any():
             continue
         data = _base64_bytes(m.group())
-        if data is None or not _may_be_text(data):
+        if data is None:
             continue
         try:
             inner = unwrapped_bytes(data)
         except Oversize:
             yield layer.span(m.start(), m.end())
             continue
-        if inner:
-            yield layer.inside(inner, m.start(), m.end())
-
-
-def _may_be_text(data: bytes) -> bool:
-    """Cheap: begins like ASCII or UTF-8 text, or like a compressed stream."""
-    return data[0] in b"\x1f\x78\x42\xfd\x28" or data[0] >= 0xC2 or 9 <= data[0] <= 13 or 32 <= data[0] < 127
+        for own in _as_texts(inner or b""):
+            yield layer.inside(own, m.start(), m.end())
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str, int, int]]]:

@@ -254,6 +254,26 @@ def test_partly_escaped_with_blanks(plain, escape):
         assert set(spans_of(text)[1]) - expected <= set(spans_of(text)[0])
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+@pytest.mark.parametrize(
+    "data",
+    [
+        f"café {SECRET} {KEY}".encode("latin-1"), f"é中 {SECRET} 中 {KEY}中".encode("utf-16-le"), f"中 {SECRET}中 {KEY}".encode("utf-16"), f"中 {SECRET}é中 {KEY}中".encode("utf-16-be"),
+        bytes(range(256)) + f"{SECRET} {KEY}".encode() + bytes(range(255, -1, -1)), b"\x80\x01\x02" * 101 + f"{SECRET}\n{KEY}".encode("utf-16-le") + b"\xff" * 9,
+        f'"password%20=%20hunter2x" \\x41{KEY[1:]}'.encode("utf-16-le"),
+    ],
+)
+def test_layers_that_are_no_text(data, pack):
+    """Latin-1, UTF-16 and binary: what is not fit to read is scanned as well."""
+    hidden = base64.b64encode(pack(data)).decode()
+    assert {("assign", 2, 2 + len(hidden)), ("access", 2, 2 + len(hidden))} <= set(spans_of(f"x {hidden} y")[1])
+
+
+def test_clean_binary_has_no_spans():
+    hidden = base64.b64encode(random.Random(7).randbytes(1 << 18)).decode()
+    assert spans_of(f"x\t{hidden}") == ([], [])
+
+
 def test_clean_text_has_no_layers():
     r = random.Random(5)
     text = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 40))) for _ in range(3000))
