@@ -6,8 +6,10 @@ unwrapped, in any nesting:
 
 - URL: the whole layer with every ``%XX`` decoded;
 - Unicode: the whole layer with every ``\\uXXXX``, ``\\xXX`` and ``&#N;`` decoded;
-- base64, standard and URL-safe alphabet, of 16 characters and more (12 bytes, the shortest secret a rule finds);
-- compressed: gzip, zlib, bzip2, xz and zstandard behind base64.
+- base64, standard and URL-safe alphabet, of 16 characters and more (12 bytes, the shortest secret a rule finds),
+  in one line and over consecutive lines, read at all four alignments because ``/``, ``-``, ``_`` and letters in
+  front join a run;
+- compressed: gzip, zlib, bzip2, xz and zstandard anywhere in the bytes behind base64.
 
 Every decoded layer is scanned, text or not: bytes that are no UTF-8 are replaced, the others stay, and what may be
 UTF-16 is read as that too. The rules decide; a binary file without secrets matches none.
@@ -25,7 +27,6 @@ repeated rows.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -53,9 +54,15 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # a run of fewer fails
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|x[0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs on consecutive lines, indented or not; each is tried once, from its begin, and not given back.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)+={0,2}")
 _STANDARD = str.maketrans("-_", "+/")
 #: ASCII as UTF-16, of 12 characters and more: rules and encodings are ASCII, and no secret is shorter.
 _WIDE = {"utf-16-le": re.compile(rb"(?:[\t-~]\0){12,}"), "utf-16-be": re.compile(rb"(?:\0[\t-~]){12,}")}
+#: How gzip, zlib (the headers without a dictionary), bzip2, xz and zstandard begin.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Bytes that a decompressor gets at a time, few because they may stand for many.
+FED = 256
 
 Span = tuple[int, str, int]
 
@@ -152,42 +159,50 @@ class Oversize(Exception):
     pass
 
 
-def _limited(decompressor, data: bytes) -> bytes:
-    out = decompressor.decompress(data, DECODED_BYTES + 1)
-    if len(out) > DECODED_BYTES:
-        raise Oversize
-    return out
+def _decompressor(magic: bytes):
+    if magic[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if magic[:1] == b"\x78":
+        return zlib.decompressobj()
+    if magic[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if magic[:1] == b"\xfd":
+        return lzma.LZMADecompressor()
+    import zstandard
 
+    return zstandard.ZstdDecompressor().decompressobj()
 
-def decompressed(data: bytes) -> bytes | None:
-    """What the bytes hold if they are compressed; ``None`` if they are not."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return _limited(zlib.decompressobj(31), data)
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            return _limited(zlib.decompressobj(), data)
-        if data[:3] == b"BZh":
-            return _limited(bz2.BZ2Decompressor(), data)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return _limited(lzma.LZMADecompressor(), data)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            return _limited_stream(zstandard.ZstdDecompressor().stream_reader(data))
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-    except Exception as error:
-        if type(error).__name__ == "ZstdError":
-            return None
-        raise
-    return None
-
-
-def _limited_stream(stream) -> bytes:
-    out = stream.read(DECODED_BYTES + 1)
-    if len(out) > DECODED_BYTES:
-        raise Oversize
-    return out
+
+def _stream(data: bytes, at: int) -> tuple[bytes, int]:
+    """What the compressed stream that may begin at a place holds, as far as it can be read, and where to go on."""
+    machine = _decompressor(data[at : at + 6])
+    out, size, place = [], 0, at
+    while place < len(data) and not machine.eof:
+        try:
+            out.append(machine.decompress(data[place : place + FED]))
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            break
+        except Exception as error:
+            if type(error).__name__ == "ZstdError":
+                break
+            raise
+        place = min(place + FED, len(data))
+        size += len(out[-1])
+        if size > DECODED_BYTES:
+            raise Oversize
+    return b"".join(out), place - len(machine.unused_data) if machine.eof else at + 1
+
+
+def streams(data: bytes) -> Iterator[tuple[bytes | None, int, int]]:
+    """What is compressed in the bytes, wherever it begins, and its place; ``None`` for what is too large."""
+    at = 0
+    while m := _MAGIC.search(data, at):
+        try:
+            out, at = _stream(data, m.start())
+        except Oversize:
+            out, at = None, m.start() + 1
+        if out != b"":
+            yield out, m.start(), at
 
 
 def _as_texts(data: bytes) -> Iterator[str]:
@@ -199,26 +214,42 @@ def _as_texts(data: bytes) -> Iterator[str]:
             yield data[parity:].decode(codec, "replace")
 
 
-def unwrapped_bytes(data: bytes) -> bytes | None:
-    """The bytes inside any number of compressions."""
+def contents(data: bytes) -> Iterator[bytes | None]:
+    """The bytes, and what is in any number of compressions inside them; ``None`` for what is too large."""
     seen: set[bytes] = set()
-    while (more := decompressed(data)) is not None:
-        mark = hashlib.sha256(data).digest()
-        if mark in seen:
-            return None
-        seen.add(mark)
-        data = more
-    return data
+    open_ = [iter([(data, 0, len(data))])]
+    while open_:
+        found = next(open_[-1], None)
+        if found is None:
+            open_.pop()
+            continue
+        data = found[0]
+        mark = None if data is None else hashlib.sha256(data).digest()
+        if mark not in seen:
+            yield data
+        if mark and mark not in seen:
+            seen.add(mark)
+            open_.append(streams(data))
 
 
-def _base64_bytes(run: str) -> bytes | None:
-    body = run.rstrip("=").translate(_STANDARD)
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """Runs of base64 characters in one line, then those that go on from line to line; without line ends and padding."""
+    for m in _BASE64.finditer(text):
+        yield m.start(), m.end(), m.group().rstrip("=")
+    if "\n" in text or "\r" in text:
+        for m in _WRAPPED.finditer(text):
+            body = "".join(m.group().rstrip("=").split())
+            if len(body) >= 16:
+                yield m.start(), m.end(), body
+
+
+def _base64_bytes(body: str) -> Iterator[bytes]:
+    """A run read from each of its first four characters, as a word or path in front may have joined it."""
+    body = body.translate(_STANDARD)
+    for k in range(4):
+        n = len(body) - k
+        own = body[k : len(body) - (n % 4 == 1)]
+        yield binascii.a2b_base64(own + "=" * (-len(own) % 4))
 
 
 def layers_of(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
@@ -227,20 +258,17 @@ def layers_of(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
     for parts_of, marks in ((_url_parts, ("%",)), (_escape_parts, ("\\", "&#"))):
         if any(mark in text for mark in marks) and (parts := parts_of(text)):
             yield layer.replaced(parts)
-    for m in _BASE64.finditer(text):
+    for a, b, body in _base64_runs(text):
         # What neither holds nor touches a decoded character was found in the layer before.
-        if layer.decoded is not None and not layer.decoded[max(0, m.start() - 1) : m.end() + 1].any():
-            continue
-        data = _base64_bytes(m.group())
-        if data is None:
-            continue
-        try:
-            inner = unwrapped_bytes(data)
-        except Oversize:
-            yield layer.span(m.start(), m.end())
+        if layer.decoded is not None and not layer.decoded[max(0, a - 1) : b + 1].any():
             continue
-        for own in _as_texts(inner or b""):
-            yield layer.inside(own, m.start(), m.end())
+        for data in _base64_bytes(body):
+            for own in contents(data):
+                if own is None:
+                    yield layer.span(a, b)
+                    continue
+                for inner in _as_texts(own):
+                    yield layer.inside(inner, a, b)
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str, int, int]]]:

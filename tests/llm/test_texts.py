@@ -274,6 +274,30 @@ def test_clean_binary_has_no_spans():
     assert spans_of(f"x\t{hidden}") == ([], [])
 
 
+def columns(s, n, end="\n"):
+    return end.join(s[i : i + n] for i in range(0, len(s), n))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("n", [10, 64, 76])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_base64_over_lines(pack, n, end):
+    """Whatever line the secret is on, also across a line end and on a short last line, with text on both sides."""
+    r = random.Random(n)
+    noise = "".join(r.choice("ghijklmnop .,;") for _ in range(3000))
+    for before in (*range(40, 100, 7), 3000):
+        hidden = columns(base64.b64encode(pack(f"{noise[:before]} {KEY}".encode())).decode(), n, end)
+        text = f"see: {hidden}\nBest wishes"
+        assert any(k == "access" and a >= 5 and b <= len(text) for k, a, b in spans_of(text)[1]), (before, text)
+
+
+@pytest.mark.parametrize("front", ["dir/", "a/bc/d/", "x-", "x_y-z_", "name", "a", "ab", "abc", "-----BEGIN X-----\n"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_base64_behind_a_word(pack, front):
+    hidden = base64.urlsafe_b64encode(pack(f"{SECRET} {KEY}".encode())).decode().rstrip("=")
+    assert {"assign", "access"} <= {k for k, a, b in spans_of(f"at {front}{hidden}/e")[1]}
+
+
 def test_clean_text_has_no_layers():
     r = random.Random(5)
     text = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 40))) for _ in range(3000))
