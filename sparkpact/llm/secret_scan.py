@@ -9,7 +9,8 @@ unwrapped, in any nesting:
 - base64, standard and URL-safe alphabet, of 16 characters and more (12 bytes, the shortest secret a rule finds),
   in one line and over consecutive lines, read at all four alignments because ``/``, ``-``, ``_`` and letters in
   front join a run;
-- compressed: gzip, zlib, bzip2, xz and zstandard anywhere in the bytes behind base64.
+- compressed: gzip, zlib, bzip2, xz and zstandard anywhere in the bytes behind base64 or behind the escapes of a URL or a
+  literal, all streams that follow each other.
 
 Every decoded layer is scanned, text or not: bytes that are no UTF-8 are replaced, the others stay, and what may be
 UTF-16 is read as that too. The rules decide; a binary file without secrets matches none.
@@ -51,8 +52,12 @@ _ASSIGN = re.compile(r"""(?ai)(?:password|passwd|secret|token|api_?key)["']?\x20
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a run of fewer fails
 
+_URL = re.compile(r"%[0-9A-Fa-f]{2}")
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|x[0-9A-Fa-f]{1,6});")
+#: Escapes among which literals of bytes are written, and what the short ones stand for.
+_SHORT = dict(zip("abfnrtv0\\'\"", "\a\b\f\n\r\t\v\0\\'\""))
+_BYTE_ESCAPE = re.compile(_ESCAPE.pattern + r"""|\\[abfnrtv0\\'"]""")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Runs on consecutive lines, indented or not; each is tried once, from its begin, and not given back.
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)+={0,2}")
@@ -155,6 +160,17 @@ def _escape_parts(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _byte(escape: str) -> str:
+    """The byte an escape stands for, as the character of that number."""
+    if escape[0] == "%":
+        return chr(int(escape[1:], 16))
+    if escape[0] == "&":
+        code = int(escape[3:-1], 16) if escape[2] == "x" else int(escape[2:-1])
+    else:
+        code = int(escape[2:], 16) if len(escape) > 2 else ord(_SHORT[escape[1]])
+    return chr(code) if code < 256 else "?"
+
+
 class Oversize(Exception):
     pass
 
@@ -173,8 +189,8 @@ def _decompressor(magic: bytes):
     return zstandard.ZstdDecompressor().decompressobj()
 
 
-def _stream(data: bytes, at: int) -> tuple[bytes, int]:
-    """What the compressed stream that may begin at a place holds, as far as it can be read, and where to go on."""
+def _stream(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """What the compressed stream that may begin at a place holds, as far as it can be read; its end, and whether it has one."""
     machine = _decompressor(data[at : at + 6])
     out, size, place = [], 0, at
     while place < len(data) and not machine.eof:
@@ -190,19 +206,36 @@ def _stream(data: bytes, at: int) -> tuple[bytes, int]:
         size += len(out[-1])
         if size > DECODED_BYTES:
             raise Oversize
-    return b"".join(out), place - len(machine.unused_data) if machine.eof else at + 1
+    return b"".join(out), place - len(machine.unused_data) if machine.eof else place, machine.eof
 
 
 def streams(data: bytes) -> Iterator[tuple[bytes | None, int, int]]:
-    """What is compressed in the bytes, wherever it begins, and its place; ``None`` for what is too large."""
+    """What is compressed in the bytes, wherever it begins, and its place; ``None`` for what is too large.
+
+    Streams that follow each other without a gap are one. Together they may be too large as well: that is told,
+    and what they hold is handed on in parts.
+    """
     at = 0
     while m := _MAGIC.search(data, at):
-        try:
-            out, at = _stream(data, m.start())
-        except Oversize:
-            out, at = None, m.start() + 1
-        if out != b"":
-            yield out, m.start(), at
+        out, size, begin, end, more = [], 0, m.start(), m.start(), True
+        while more:
+            begins = end
+            try:
+                own, end, whole = _stream(data, begins)
+            except Oversize:
+                yield None, begins, len(data)
+                at = begins + 1
+                break
+            if size + len(own) > DECODED_BYTES:
+                yield None, begin, end
+                yield b"".join(out), begin, begins
+                out, size, begin = [], 0, begins
+            out.append(own)
+            size += len(own)
+            at = end if whole else begins + 1
+            more = whole and _MAGIC.match(data, end)
+        if size:
+            yield b"".join(out), begin, end
 
 
 def _as_texts(data: bytes) -> Iterator[str]:
@@ -214,10 +247,10 @@ def _as_texts(data: bytes) -> Iterator[str]:
             yield data[parity:].decode(codec, "replace")
 
 
-def contents(data: bytes) -> Iterator[bytes | None]:
+def contents(data: bytes | None) -> Iterator[bytes | None]:
     """The bytes, and what is in any number of compressions inside them; ``None`` for what is too large."""
     seen: set[bytes] = set()
-    open_ = [iter([(data, 0, len(data))])]
+    open_ = [iter([(data, 0, 0)])]
     while open_:
         found = next(open_[-1], None)
         if found is None:
@@ -255,20 +288,28 @@ def _base64_bytes(body: str) -> Iterator[bytes]:
 def layers_of(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
     """What one step of decoding makes of a layer; a pair of places for what is too large."""
     text = layer.text
-    for parts_of, marks in ((_url_parts, ("%",)), (_escape_parts, ("\\", "&#"))):
+    for parts_of, escape, marks in ((_url_parts, _URL, ("%",)), (_escape_parts, _BYTE_ESCAPE, ("\\", "&#"))):
         if any(mark in text for mark in marks) and (parts := parts_of(text)):
             yield layer.replaced(parts)
+            view = layer.replaced([(*m.span(), _byte(m.group())) for m in escape.finditer(text)])
+            for out, a, b in streams(view.text.encode("latin-1", "replace")):
+                yield from _inner(out, view, a, b)
     for a, b, body in _base64_runs(text):
         # What neither holds nor touches a decoded character was found in the layer before.
         if layer.decoded is not None and not layer.decoded[max(0, a - 1) : b + 1].any():
             continue
         for data in _base64_bytes(body):
-            for own in contents(data):
-                if own is None:
-                    yield layer.span(a, b)
-                    continue
-                for inner in _as_texts(own):
-                    yield layer.inside(inner, a, b)
+            yield from _inner(data, layer, a, b)
+
+
+def _inner(data: bytes | None, layer: Layer, a: int, b: int) -> Iterator[Layer | tuple[int, int]]:
+    """The layers of bytes that were behind characters ``a`` to ``b``."""
+    for own in contents(data):
+        if own is None:
+            yield layer.span(a, b)
+            continue
+        for text in _as_texts(own):
+            yield layer.inside(text, a, b)
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str, int, int]]]:

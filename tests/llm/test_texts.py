@@ -298,6 +298,32 @@ def test_base64_behind_a_word(pack, front):
     assert {"assign", "access"} <= {k for k, a, b in spans_of(f"at {front}{hidden}/e")[1]}
 
 
+PACKS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress]
+
+
+@pytest.mark.parametrize("pack", PACKS)
+def test_all_streams_are_read(pack, monkeypatch):
+    """Secrets in the first, a later and the last stream, cut by an end of one, and in what is compressed again."""
+    parts = [f"{KEY} and pass", 'word = "hunter2hunter2" ', "x" * 900, " " + "0123456789ab" * 2]
+    whole = b"".join(pack(x.encode()) for x in parts)
+    for data in (whole, b"\x00\xff" + whole + b"trailing", pack(whole), whole + b"\0" * 8 + whole):
+        hidden = base64.b64encode(data).decode()
+        assert spans_of(f"x {hidden}")[1] == [(kind, 2, 2 + len(hidden)) for kind in ("assign", "access", "hex")]
+    # Too large together: told, and read nevertheless.
+    monkeypatch.setattr(secret_scan, "DECODED_BYTES", 910)
+    hidden = base64.b64encode(whole).decode()
+    assert [k for k, _, _ in spans_of(f"x {hidden}")[1]] == ["assign", "access", "hex", "oversize"]
+
+
+@pytest.mark.parametrize("write", [urllib.parse.quote_from_bytes, lambda b: repr(b)[2:-1], lambda b: "".join(f"\\x{c:02X}" for c in b), lambda b: "".join(f"&#{c};" for c in b)])
+@pytest.mark.parametrize("pack", PACKS)
+def test_compressed_behind_escapes(pack, write):
+    hidden = write(pack(f"{SECRET} {KEY}".encode()))
+    text = f"é 100%25 \\n {hidden} end"
+    at = text.index(hidden)
+    assert {("assign", at, at + len(hidden)), ("access", at, at + len(hidden))} <= set(spans_of(text)[1])
+
+
 def test_clean_text_has_no_layers():
     r = random.Random(5)
     text = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 40))) for _ in range(3000))
