@@ -46,7 +46,9 @@ HELD = 20_000
 STEP = 1 << 20
 #: Base of the second polynomial.
 OTHER = 0xD1342543DE82EF95
-#: Low bits of an anchor's rank that hold its place: texts of up to 256 MiB.
+#: Bytes of a longer text whose runs are made at a time; far more than a window.
+PART = 1 << 20
+#: Low bits of an anchor's rank that hold its place in a part.
 _PLACE = 28
 
 _RUN = {"kind": pa.int32(), "fp": pa.int64(), "seg": pa.int64(), "twin": pa.int64(), "doc_id": pa.int64(), "th": pa.int64(), "lo": pa.int32(), "at": pa.int32(), "m": pa.int32(), "done": pa.bool_()}
@@ -69,6 +71,25 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 def window_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """Runs of windows with one anchor: text, first window, anchor (places in the text), windows; and their hashes."""
+    if np.diff(offsets).max(initial=0) <= PART:
+        return _window_runs(data, offsets, length, gram)
+    # A part's last run may go on: it is left to the next part, which begins with its first window.
+    found = []
+    for text, (begin, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        at = begin
+        while at is not None:
+            stop = min(at + PART, end)
+            own = list(_window_runs(data[at:stop], np.array([0, stop - at]), length, gram))
+            after = None
+            if stop < end:
+                after = at + int(own[1][-1])
+                own = [x[:-1] for x in own]
+            found.append([own[0] + text, own[1] + (at - begin), own[2] + (at - begin), *own[3:]])
+            at = after
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _window_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     n = len(data) - length + 1
     none = np.zeros(0, np.int64)
     if n <= 0:

@@ -218,3 +218,18 @@ def test_colliding_hashes_are_compared(monkeypatch):
 @pytest.mark.parametrize("operator", [exact_dedup.exact_groups, exact_dedup.exact_dedup, near_dups.near_duplicates, near_dups.one_of_each, repeats.without_repeats])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).count() == 0
+
+
+def test_runs_of_long_texts(monkeypatch):
+    """Runs are the same whether a text is cut into parts or not, also beyond the bits of a place."""
+    r = np.random.default_rng(3)
+    passage = r.integers(97, 123, 3000).astype(np.uint8)
+    own = [r.integers(97, 123, n).astype(np.uint8) for n in (5000, 0, 700, 20_000)]
+    texts = [np.concatenate((own[0], passage, own[2], passage)), own[1], own[2], np.concatenate((passage, own[3], np.full(9000, 97, np.uint8), passage))]
+    data, offsets = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+    whole = repeats.window_runs(data, offsets)
+    monkeypatch.setattr(repeats, "_PLACE", 12)
+    for part in (1000, 1777, 4096):
+        monkeypatch.setattr(repeats, "PART", part, raising=False)
+        for a, b in zip(whole, repeats.window_runs(data, offsets), strict=True):
+            assert a.tolist() == b.tolist()
