@@ -5,7 +5,8 @@ learns to tell the languages whose codeword has the bit set from those that have
 document of every task, as its counts are summed over the whole table. A text's classifiers each give a
 margin, the mean log-odds of the text's trigrams. Decoding is weighted by loss: the codeword with the least
 total logistic loss against the margins is the nearest, so a sure bit outweighs unsure ones. If the two
-nearest codewords are about as near, or the margins are against the nearest one, the text is flagged ambiguous.
+nearest codewords are about as near, or the margins are against the nearest one (their mean, signed by its bits, is
+not positive), the text is flagged ambiguous.
 
 Up to seven languages take all ways to split them in two (an exhaustive code); more take ``10 log2(n)`` columns
 drawn by a hash, every language's word different.
@@ -92,7 +93,8 @@ class Model:
         best = order[:, 0]
         top = score[rows, best]
         second = score[rows, order[:, 1]] if score.shape[1] > 1 else np.zeros(len(score))
-        return best, top, top - second < CLEAR
+        against = signed[rows, best].sum(axis=1) <= 0 if signed.shape[2] else np.zeros(len(score), bool)
+        return best, top, (top - second < CLEAR) | against
 
 
 def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text") -> Model:

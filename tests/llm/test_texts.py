@@ -94,6 +94,16 @@ def test_rejected_rows_go_whole(spark):
     assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in labelled(10)}
 
 
+def test_margins_against_the_nearest_are_ambiguous():
+    """One codeword is clearly the nearest, and the margins are against it all the same."""
+    model = language.Model(["a", "b", "c"], language.codewords(3), np.zeros((3, language.BUCKETS), np.float32))
+    best, score, ambiguous = model.decode(np.array([[-1.5, -1.0, 0.9], [-1.5, 1.0, -0.9]]))
+    assert best.tolist() == [1, 1] and (score > 0.4).all()
+    assert ambiguous.tolist() == [True, False]
+    one = language.Model(["a"], language.codewords(1), np.zeros((0, language.BUCKETS), np.float32))
+    assert not one.decode(np.zeros((2, 0)))[2].any()
+
+
 # -- contamination -----------------------------------------------------------------
 
 
