@@ -154,3 +154,49 @@ def base_spans(text):
     out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 20]
     out += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 24]
     return sorted(out, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def fill_in_middle(rows):
+    """``doc_id, n, form, prefix_chars, middle_chars, output`` of each row."""
+    out = []
+    for doc_id, text, *_ in rows:
+        text = text or ""
+        units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+        name = "" if doc_id is None else str(doc_id)
+        h = [int(hashlib.sha256(f"1:{name}".encode()).hexdigest()[i : i + 8], 16) for i in range(0, 32, 8)]
+        a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+        pre, mid, suf = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+        if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+            out.append((doc_id, len(units), "plain", None, None, text))
+        elif h[3] % 100 < 20:
+            out.append((doc_id, len(units), "spm", len(pre), len(mid), f"<S>{suf}<P>{pre}<M>{mid}"))
+        else:
+            out.append((doc_id, len(units), "psm", len(pre), len(mid), f"<P>{pre}<S>{suf}<M>{mid}"))
+    return sorted(out, key=repr)
+
+
+def vector_codes(rows, parts=16, entries=64, rounds=2):
+    """``vec_id, code, error`` of each kept ``(vec_id, vector, label)`` row, and the codebooks."""
+    import math
+
+    kept = [(i, [math.floor(256 * x) for x in v], label) for i, v, label in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0], r[1]))
+    d = len(kept[0][1]) // parts
+    cut = [[v[p * d : (p + 1) * d] for p in range(parts)] for _, v, _ in kept]
+    books = [[c[p] for c in cut[:entries]] for p in range(parts)]
+
+    def nearest(p, part):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), k) for k, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        given = [[nearest(p, c[p])[1] for c in cut] for p in range(parts)]
+        for p in range(parts):
+            for k in range(len(books[p])):
+                own = [c[p] for c, g in zip(cut, given[p]) if g == k]
+                if own:
+                    books[p][k] = [sum(x) // len(own) for x in zip(*own)]
+    out = []
+    for (i, _, _), c in zip(kept, cut):
+        best = [nearest(p, c[p]) for p in range(parts)]
+        out.append((i, "".join(f"{k:02x}" for _, k in best), sum(x for x, _ in best)))
+    return sorted(out, key=repr), books
