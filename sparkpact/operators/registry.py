@@ -1,10 +1,16 @@
 """The registry: which definitions are accepted, and what to do with a new one.
 
 A registry is a table with one row per accepted version of a contract, stored as
-parquet below a folder, one sub-folder per load and in it one per hash of the
-contract. Load ids are in order: a load is planned against those before it, and
+parquet below a folder: one sub-folder per load, in it one per hash of the contract,
+in that one file, ordered by contract (more where a file would grow beyond what a
+task should write). Load ids are in order: a load is planned against those before it, and
 loading again under the same id replaces that load alone. So a retried or replayed
 job leaves the registry it left before. ``compact_registry`` puts loads together.
+
+Documents may land late, before versions that are registered. A load then takes back
+what earlier loads hold of the contract from a place on, and brings it again as it is
+decided now. Which contracts, and from where, stands beside its rows, in a folder of
+its own (``WITHDRAWN``) that is written in the same commit.
 """
 
 from __future__ import annotations
@@ -13,12 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from sparkpact.functions.ordered import HOT_ROWS, Ordered
-from sparkpact.functions.types import FIELD_CODES, map_types, readable
+from sparkpact.functions.ordered import HOT_ROWS
+from sparkpact.operators import folding
 from sparkpact.operators.avro import to_avro
 from sparkpact.operators.documents import COLUMN_TYPE, built_contracts
+from sparkpact.operators.folding import CHUNK
 from sparkpact.operators.tags import tag_map, typed_tags
 from sparkpact.operators.versions import (
+    KEY,
     MODES,
     OFFENDING_TYPE,
     definition_hash,
@@ -27,7 +35,7 @@ from sparkpact.operators.versions import (
     pair_offences,
     side_by_side,
 )
-from sparkpact.session import materialize, scratch_dir
+from sparkpact.session import materialize
 
 # What an entry says of its format.
 DATA_FORMAT = "AVRO"
@@ -43,40 +51,62 @@ REGISTRY_SCHEMA = (
 
 # Folders of a load. Contracts spread over them by hash, the same in every load.
 BUCKETS = 16
+# The folder of what a load takes back, beside those of its rows.
+WITHDRAWN = -1
 
 
-def _bucket(contract_id: Column) -> Column:
+def bucket_of(contract_id: Column) -> Column:
     return F.pmod(F.xxhash64(contract_id), F.lit(BUCKETS)).cast("int")
 
 
 def read_registry(spark: SparkSession, path: str, before_load: str | None = None) -> DataFrame:
-    """All accepted versions; no rows if nothing was ever loaded.
+    """All accepted versions, with their ``load_id`` and ``bucket``; no rows if nothing was ever loaded.
 
     With ``before_load`` only loads whose id sorts before it: what the registry was then.
+    Filters on ``bucket`` reach the scan and skip whole folders (``get_schema`` and ``of_contracts`` set them).
     """
     try:
-        rows = spark.read.schema(f"{REGISTRY_SCHEMA}, load_id string, bucket int").parquet(path).drop("bucket")
+        stored = spark.read.schema(f"{REGISTRY_SCHEMA}, load_id string, bucket int").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"{REGISTRY_SCHEMA}, load_id string")
-    return rows if before_load is None else rows.where(F.col("load_id") < before_load)
+        return spark.createDataFrame([], f"{REGISTRY_SCHEMA}, load_id string, bucket int")
+    if before_load is not None:
+        stored = stored.where(F.col("load_id") < before_load)
+    rows, withdrawn = stored.where(F.col("bucket") >= 0), stored.where(F.col("bucket") == WITHDRAWN)
+    # No job if there is no such folder. Only contracts with late documents have lines there, one per load that had some.
+    if withdrawn.isEmpty():
+        return rows
+    marks = withdrawn.groupBy("contract_id").agg(F.collect_list(F.struct("load_id", "seq", "file_path")).alias("_marks"))
+    place = F.struct("seq", "file_path")
+    gone = F.exists("_marks", lambda m: (m["load_id"] > F.col("load_id")) & (F.struct(m["seq"], m["file_path"]) <= place))
+    return rows.join(marks, "contract_id", "left").where(~F.coalesce(gone, F.lit(False))).drop("_marks").select(*rows.columns)
 
 
 def compact_registry(spark: SparkSession, path: str, to: str, before_load: str) -> None:
     """All loads before ``before_load`` written to the new registry ``to`` as one load under the last of their ids.
 
-    The old registry stays as it is; readers go over when they are given the new folder.
+    What was taken back is left out. The old registry stays as it is; readers go over when they are given the new folder.
     """
     rows = read_registry(spark, path, before_load)
     last = rows.agg(F.max("load_id")).first()[0]
     if last is not None:
-        _write_load(rows.drop("load_id"), to, last)
+        _write_load(rows.drop("load_id", "bucket"), to, last)
+
+
+def write_buckets(rows: DataFrame, path: str, order: list[str]) -> None:
+    """``rows`` below ``path``, replacing what is there, in folders by bucket and ordered in each.
+
+    One file per bucket, or several of the advisory size where a bucket is large: adaptive execution splits it.
+    """
+    if "bucket" not in rows.columns:
+        rows = rows.withColumn("bucket", bucket_of(F.col("contract_id")))
+    dealt = rows.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *order)
+    dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def _write_load(rows: DataFrame, path: str, load_id: str) -> None:
-    held = rows.withColumn("bucket", _bucket(F.col("contract_id")))
-    held.write.mode("overwrite").partitionBy("bucket").parquet(f"{path.rstrip('/')}/load_id={load_id}")
+    write_buckets(rows, f"{path.rstrip('/')}/load_id={load_id}", ["contract_id", "registry_version"])
 
 
 def latest_versions(registry: DataFrame) -> DataFrame:
@@ -103,13 +133,26 @@ def list_schemas(registry: DataFrame) -> DataFrame:
 
 
 def get_schema(registry: DataFrame, contract_id: str) -> DataFrame:
-    """One contract's current entry; no row for an unknown id."""
+    """One contract's current entry; no row for an unknown id. Reads the one folder of a load that can hold it."""
+    if "bucket" in registry.columns:
+        registry = registry.where(F.col("bucket") == bucket_of(F.lit(contract_id)))
     return latest_versions(registry.where(F.col("contract_id") == contract_id))
 
 
 def of_contracts(registry: DataFrame, rows: DataFrame) -> DataFrame:
-    """What the registry has of the contracts in ``rows``: a batch never aggregates all the rest."""
-    return registry.join(rows.select("contract_id").distinct(), "contract_id", "left_semi")
+    """What the registry has of the contracts in ``rows``: a batch never aggregates all the rest.
+
+    Folders that hold none of them are not read: the driver learns which buckets occur, at most ``BUCKETS`` numbers.
+    """
+    names = rows.select("contract_id").distinct()
+    return _in_buckets_of(registry, names).join(names, "contract_id", "left_semi")
+
+
+def _in_buckets_of(table: DataFrame, names: DataFrame) -> DataFrame:
+    if "bucket" not in table.columns:
+        return table
+    held = [r[0] for r in names.select(bucket_of(F.col("contract_id"))).distinct().collect()]
+    return table if len(held) == BUCKETS else table.where(F.col("bucket").isin(held))
 
 
 def candidates(docs: DataFrame, order: str = "seq", mode: str = DEFAULT_MODE) -> DataFrame:
@@ -179,130 +222,6 @@ def plan_registration(registry: DataFrame, one_each: DataFrame, mode: str = DEFA
 
 
 # -- whole histories -----------------------------------------------------------
-#
-# Whether a version is accepted depends on which ones before it were. So versions
-# of one contract are folded in order, CHUNK of them per group and round; what a
-# round leaves to the next is the state of each contract. Contracts are folded
-# side by side, and one round does unless a contract brings more than CHUNK.
-
-CHUNK = 500
-_STATE = "struct<hash:string,registry_version:bigint,codes:array<string>,names:array<string>,required:array<string>>"
-_DECISIONS = "array<struct<seq:bigint,file_path:string,action:string,registry_version:bigint>>"
-_MARK = "\u0001"
-
-
-def _code_text(code: tuple[str, bool]) -> str:
-    return code[0] + ("?" if code[1] else "")
-
-
-def _code(c: Column) -> Column:
-    return F.concat(map_types(c["data_type"], "avro"), F.when(c["nullable"], "?").otherwise(""))
-
-
-def _token(name: Column, code: Column) -> Column:
-    return F.concat(name, F.lit(_MARK), code)
-
-
-def _barred(columns: Column, as_reader: bool) -> Column:
-    """Tokens of the codes that a list of columns cannot read (or be read by)."""
-    table = []
-    for own in FIELD_CODES:
-        others = [o for o in FIELD_CODES if not (readable(o, own) if as_reader else readable(own, o))]
-        table += [F.lit(_code_text(own)), F.array(*[F.lit(_code_text(o)) for o in others])]
-    lookup = F.create_map(*table)
-    return F.flatten(
-        F.transform(columns, lambda c: F.transform(F.try_element_at(lookup, _code(c)), lambda o: _token(c["name"], o)))
-    )
-
-
-def _with_tokens(rows: DataFrame, mode: str) -> DataFrame:
-    columns = F.col("columns")
-    none = F.array().cast("array<string>")
-    return rows.withColumns(
-        {
-            "codes": F.transform(columns, lambda c: _token(c["name"], _code(c))),
-            "names": columns["name"],
-            "required": F.filter(columns, lambda c: ~c["nullable"])["name"],
-            "bars_forward": _barred(columns, as_reader=False) if mode != "BACKWARD" else none,
-            "bars_backward": _barred(columns, as_reader=True) if mode in ("BACKWARD", "BOTH") else none,
-        }
-        if mode != "DISABLED"
-        # Nothing is compared, so nothing is carried along.
-        else dict.fromkeys(("codes", "names", "required", "bars_forward", "bars_backward"), none)
-    )
-
-
-def _acceptable(state: Column, v: Column, mode: str) -> Column:
-    forward = (F.size(F.array_except(state["required"], v["names"])) == 0) & ~F.arrays_overlap(state["codes"], v["bars_forward"])
-    backward = (F.size(F.array_except(v["required"], state["names"])) == 0) & ~F.arrays_overlap(state["codes"], v["bars_backward"])
-    rules = {"FORWARD": forward, "FORWARD_ALL": forward, "BACKWARD": backward, "BOTH": forward & backward, "DISABLED": F.lit(True)}
-    return rules[mode]
-
-
-def _fold(versions: Column, start: Column, mode: str) -> Column:
-    """Run the versions, in order, from a state: ``STRUCT<state, decisions>``."""
-
-    def step(acc: Column, v: Column) -> Column:
-        state = acc["state"]
-        action = (
-            F.when(state["hash"].isNull(), "create")
-            .when(state["hash"] == v["definition_hash"], "unchanged")
-            .when(_acceptable(state, v, mode), "new_version")
-            .otherwise("rejected")
-        )
-
-        def after(action: Column) -> Column:
-            taken = action.isin("create", "new_version")
-            number = F.coalesce(state["registry_version"], F.lit(0)) + F.when(taken, 1).otherwise(0)
-
-            def carry(key: str) -> Column:
-                new = F.array_union(state[key], v[key]) if mode == "FORWARD_ALL" else v[key]
-                return F.when(taken, new).otherwise(state[key]).alias(key)
-
-            return F.struct(
-                F.struct(
-                    F.when(taken, v["definition_hash"]).otherwise(state["hash"]).alias("hash"),
-                    number.alias("registry_version"),
-                    carry("codes"),
-                    carry("names"),
-                    carry("required"),
-                ).cast(_STATE).alias("state"),
-                F.concat(
-                    acc["decisions"],
-                    F.array(F.struct(v["seq"], v["file_path"], action, number)).cast(_DECISIONS),
-                ).alias("decisions"),
-            )
-
-        # A one-element array names the action, so that it is worked out once.
-        return F.transform(F.array(action), after)[0]
-
-    empty = F.array().cast("array<string>")
-    fresh = F.struct(F.lit(None), F.lit(None), empty, empty, empty).cast(_STATE)
-    begin = F.struct(F.coalesce(start, fresh).cast(_STATE).alias("state"), F.array().cast(_DECISIONS).alias("decisions"))
-    return F.aggregate(versions, begin, step)
-
-
-def _registered_state(registry: DataFrame, mode: str) -> DataFrame:
-    """Where each contract stands: its current entry, and under FORWARD_ALL all it ever declared."""
-    current = _with_tokens(registry, mode).groupBy("contract_id").agg(
-        F.max_by(F.struct("definition_hash", "registry_version", "codes", "names", "required"), "registry_version").alias("now")
-    )
-    if mode != "FORWARD_ALL":
-        return current.select("contract_id", F.struct("now.definition_hash", "now.registry_version", "now.codes", "now.names", "now.required").cast(_STATE).alias("state"))
-    declared = (
-        registry.select("contract_id", F.explode("columns").alias("c"))
-        .select("contract_id", F.col("c.name").alias("name"), _code(F.col("c")).alias("code"))
-        .distinct()
-        .groupBy("contract_id")
-        .agg(
-            F.collect_list(_token(F.col("name"), F.col("code"))).alias("codes"),
-            F.collect_set(F.when(~F.col("code").endswith("?"), F.col("name"))).alias("required"),
-        )
-    )
-    none = F.array().cast("array<string>")
-    return current.join(declared, "contract_id").select(
-        "contract_id", F.struct("now.definition_hash", "now.registry_version", "codes", none, "required").cast(_STATE).alias("state")
-    )
 
 
 def plan_history(
@@ -316,46 +235,11 @@ def plan_history(
 
     Rejected versions are folded out: each is held against what was accepted
     before it. Adds ``action`` and ``registry_version`` to the rows of ``candidates``.
+    Decisions are made on keys, hashes and columns; texts and tags are joined to them at the end. ``rows`` are read
+    several times, so give a written table rather than documents still to be parsed.
     """
-    if mode not in MODES:
-        raise ValueError(f"unknown compatibility mode {mode!r}")
-    spark = rows.sparkSession
-    numbered = (
-        Ordered(rows, ["contract_id"], "seq", tie="file_path", hot_rows=hot_rows)
-        .running_sum(F.lit(1), "_place")
-        .rows()
-        .withColumn("_chunk", F.expr(f"(_place - 1) div {chunk}"))
-        .drop("_place")
-    )
-    # Written by chunk, so that a round reads its own rows only.
-    numbered = materialize(numbered, "candidates", "_chunk")
-    rounds = (numbered.agg(F.max("_chunk")).first()[0] or 0) + 1
-    tokens = ("codes", "names", "required", "bars_forward", "bars_backward")
-    if registry is not None:
-        state = _registered_state(of_contracts(registry, numbered), mode)
-    else:
-        state = spark.createDataFrame([], f"contract_id string, state {_STATE}")
-    decisions, schema = scratch_dir(spark, "decisions"), "contract_id string, seq bigint, file_path string, action string, registry_version bigint"
-    decided: DataFrame | None = None
-    for number in range(rounds):
-        turn = _with_tokens(numbered.where(F.col("_chunk") == number).select("contract_id", "seq", "file_path", "definition_hash", "columns"), mode)
-        folded = (
-            turn.groupBy("contract_id")
-            .agg(F.array_sort(F.collect_list(F.struct("seq", "file_path", "definition_hash", *tokens))).alias("versions"))
-            .join(state, "contract_id", "left")
-            .select("contract_id", _fold(F.col("versions"), F.col("state"), mode).alias("f"))
-            .select("contract_id", "f.state", "f.decisions")
-        )
-        if rounds == 1:
-            decided = folded.select("contract_id", F.inline("decisions"))
-            break
-        # One file tree for the decisions of all rounds, read once at the end.
-        folded = materialize(folded, f"fold-{number}")
-        folded.select("contract_id", F.inline("decisions")).write.parquet(f"{decisions}/round={number}")
-        state = folded.select("contract_id", "state")
-    if decided is None:
-        decided = spark.read.schema(schema).parquet(decisions).select("contract_id", "seq", "file_path", "action", "registry_version")
-    return numbered.drop("_chunk").join(decided, ["contract_id", "seq", "file_path"])
+    state = None if registry is None else folding.registered_state(of_contracts(registry, rows), mode)
+    return rows.join(folding.decide(rows, mode, state, chunk, hot_rows), list(KEY))
 
 
 def apply_registration(plan: DataFrame, path: str, load_id: str) -> None:
@@ -364,6 +248,40 @@ def apply_registration(plan: DataFrame, path: str, load_id: str) -> None:
     Plan with ``read_registry(..., before_load=load_id)``, and a retry, even of a
     job that died half way, ends in the same registry.
     """
+    _write_load(accepted(plan), path, load_id)
+
+
+def accepted(plan: DataFrame) -> DataFrame:
+    """The rows a plan adds to the registry."""
     names = [part.split()[0] for part in REGISTRY_SCHEMA.split(", ")]
-    accepted = plan.where(F.col("action").isin("create", "new_version")).select(*names)
-    _write_load(accepted, path, load_id)
+    return plan.where(F.col("action").isin("create", "new_version")).select(*names)
+
+
+# -- documents in any order ------------------------------------------------------
+
+
+def register_landed(spark: SparkSession, landed: DataFrame, new: DataFrame, path: str, load_id: str, mode: str = DEFAULT_MODE) -> None:
+    """Register the candidates of ``new`` as one load, wherever in their contracts' histories they belong.
+
+    ``landed`` has all candidates that ever landed, those of ``new`` among them, with their ``bucket`` and the
+    ``batch_id`` they came in; a document that landed again under its key counts as it came last. Each contract of
+    ``new`` is decided anew from its earliest new version on, from what was accepted before that. So the registry is
+    what one load of all landed documents would have left, in whatever order they came. Contracts that ``new`` does
+    not have are not read.
+    """
+    place = F.struct("seq", "file_path")
+    since = materialize(new.groupBy("contract_id").agg(F.min(place).alias("_since")), "touched")
+    known = _in_buckets_of(read_registry(spark, path, before_load=load_id), since).join(since, "contract_id")
+    before = known.where(place < F.col("_since")).drop("_since")
+
+    again = _in_buckets_of(landed, since).join(since, "contract_id").where(place >= F.col("_since")).drop("_since", "bucket")
+    payload = [c for c in again.columns if c not in (*KEY, "batch_id")]
+    again = again.groupBy(*KEY).agg(F.max_by(F.struct(*payload), "batch_id").alias("_last")).select(*KEY, "_last.*")
+    # Read by the decisions and for the texts of what they accept.
+    again = materialize(again, "again")
+    rows = accepted(plan_history(again, mode, before))
+
+    # Only where something is taken back is there a line.
+    gone = known.where(place >= F.col("_since")).groupBy("contract_id").agg(F.first("_since").alias("_since"))
+    marks = gone.select("contract_id", F.col("_since.seq").alias("seq"), F.col("_since.file_path").alias("file_path"), F.lit(WITHDRAWN).alias("bucket"))
+    _write_load(rows.withColumn("bucket", bucket_of(F.col("contract_id"))).unionByName(marks, allowMissingColumns=True), path, load_id)

@@ -658,6 +658,8 @@ ORACLE: dict[str, str] = {
                CASE WHEN skipped THEN 'Not a JSON file' ELSE reason END AS reason
         FROM odd""",
 }
+# The order in which documents land does not show.
+ORACLE["stream_contracts_any_order"] = ORACLE["stream_contracts"]
 ORACLE["failed_files"] = f"SELECT file_path AS file, reason FROM ({ORACLE['contract_status']}) WHERE build_status IS DISTINCT FROM 'built'"
 
 

@@ -262,14 +262,19 @@ def registry_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _newest_keys(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("contract_id").agg(F.max(F.struct("seq", "file_path")).alias("e")).select("contract_id", "e.*")
+
+
 def _registration(mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """All versions but the newest are registered, the newest of each contract is the candidate."""
-        loaded = materialize(_loaded(spark, sf_dir), "loaded")
-        newest = registry.newest_candidates(loaded, mode=mode)
-        older = registry.candidates(loaded).join(newest.select(*versions.KEY), list(versions.KEY), "left_anti")
-        registered = _accepted(registry.plan_history(older, "DISABLED"))
-        plan = registry.plan_registration(materialize(registered, "registered"), newest, mode)
+        rows = _candidates(spark, sf_dir)
+        newest = _newest_keys(rows)
+        older = rows.join(newest, list(versions.KEY), "left_anti")
+        registered = _accepted(registry.plan_history(older, "DISABLED")).select("contract_id", "registry_version", "definition_hash", "columns")
+        one_each = rows.join(newest, list(versions.KEY), "left_semi")
+        plan = registry.plan_registration(materialize(registered, "registered"), one_each, mode)
         return plan.select(
             "contract_id",
             "seq",
@@ -308,10 +313,8 @@ def registry_after_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _candidates(spark, sf_dir)
     path = scratch_dir(spark, "registry")
     middle = rows.agg((F.max("seq") / 2).alias("middle")).scalar()
-    place = F.struct("seq", "file_path")
-    newest = rows.groupBy("contract_id").agg(F.max(place).alias("e")).select("contract_id", "e.*")
     first, second = rows.where(F.col("seq") <= middle), rows.where(F.col("seq") > middle)
-    third = rows.join(newest, list(versions.KEY), "left_semi")
+    third = rows.join(_newest_keys(rows), list(versions.KEY), "left_semi")
     loads = [("1-first", first), ("2-second", second), ("3-third", third), ("2-second", second), ("1-first", first)]
     for load_id, part in loads:
         before = registry.read_registry(spark, path, before_load=load_id)
@@ -604,6 +607,37 @@ def stream_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.read_registry(spark, f"{root}/registry").select("contract_id", "seq", "file_path", "registry_version", "version")
 
 
+def _dealt_stream(spark: SparkSession, df: DataFrame, path: str, *by: str) -> tuple[DataFrame, Callable[[int], None]]:
+    """Rows written into files by a hash of their key, and a stream of them that grows by one file at a time.
+
+    The second result lets the next file of a folder land; files that landed earlier are taken no second time.
+    """
+    parts = F.pmod(F.xxhash64(*by), F.lit(BATCHES)).alias("part")
+    df.select("*", parts).write.partitionBy("part").parquet(f"{path}/dealt")
+
+    def land(part: int) -> None:
+        spark.read.schema(df.schema).parquet(f"{path}/dealt/part={part}").coalesce(1).write.mode("append").parquet(f"{path}/landed")
+
+    land(0)
+    return spark.readStream.schema(df.schema).parquet(f"{path}/landed"), land
+
+
+# Runs of a stream, each over what landed since the one before.
+BATCHES = 4
+
+
+@query
+def stream_contracts_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents in several runs, dealt to them by a hash: most versions land before or between registered ones."""
+    root = scratch_dir(spark, "stream-any")
+    stream, land = _dealt_stream(spark, _docs(spark, sf_dir), root, "file_path")
+    for part in range(BATCHES):
+        if part:
+            land(part)
+        contract_stream.register_stream(stream, f"{root}/registry", f"{root}/checkpoint").awaitTermination()
+    return registry.read_registry(spark, f"{root}/registry").select("contract_id", "seq", "file_path", "registry_version", "version")
+
+
 @query
 def stream_contract_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract files registered as they land; what is in the registry afterwards."""

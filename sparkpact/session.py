@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows that reach a Python task at a time are bounded by bytes; a longer row comes alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

@@ -262,3 +262,126 @@ def test_replaying_an_earlier_load_changes_nothing(spark, tmp_path):
     assert states[1] == states[2]
     registry.compact_registry(spark, path, path + "-one", "c")
     assert sorted((r.contract_id, r.registry_version, r.seq) for r in registry.read_registry(spark, path + "-one").collect()) == [s[:3] for s in states[1]]
+
+
+COLUMN = "struct<name:string,data_type:string,nullable:boolean,description:string>"
+
+
+def long_history(spark, n):
+    """One contract of ``n`` versions (and a short one), whose definitions come from a few sets of columns and one that grows."""
+    column = "named_struct('name', {0}, 'data_type', {1}, 'nullable', {2}, 'description', '')".format
+    columns = f"""array({column("'id'", "if(id % 7 = 3, 'integer', 'string')", "false")}, {column("'amount'", "if(id % 5 < 2, 'integer', 'number')", "id % 3 = 0")},
+                        {column("concat('c', id div 20000)", "'string'", "true")}, {column("if(id % 11 = 0, 'extra', 'other')", "'string'", "id % 1009 > 0")})"""
+    return spark.range(n).select(
+        F.when(F.col("id") % 4000 == 17, "short").otherwise("hot").alias("contract_id"), F.col("id").alias("seq"), F.lit("f").alias("file_path"),
+        F.expr(columns).cast(f"array<{COLUMN}>").alias("columns"),
+    ).withColumn("definition_hash", F.sha2(F.to_json("columns"), 256)).withColumn("avro_schema", F.lit("text"))
+
+
+def folded(rows, mode):
+    """The fold, one version after the other."""
+    def reads(writer, reader):
+        w, r = AVRO[writer.data_type], AVRO[reader.data_type]
+        return (w == r or (w, r) == ("int", "double")) and (reader.nullable or not writer.nullable)
+
+    def fits(writer, reader):
+        by_name = {c.name: c for c in writer}
+        return all(reads(by_name[c.name], c) if c.name in by_name else c.nullable for c in reader)
+
+    out, state = {}, {}
+    for r in rows:
+        accepted, last, number, known = state.get(r.contract_id, ([], None, 0, {}))
+        if last is None:
+            action = "create"
+        elif last.definition_hash == r.definition_hash:
+            action = "unchanged"
+        else:
+            key = r.definition_hash
+            against = accepted if mode == "FORWARD_ALL" else [last]
+            ok = all(
+                (mode == "BACKWARD" or fits(r.columns, a.columns)) and (mode not in ("BACKWARD", "BOTH") or fits(a.columns, r.columns)) for a in against
+            ) if mode != "FORWARD_ALL" or (key, len(accepted)) not in known else known[key, len(accepted)]
+            if mode == "FORWARD_ALL":
+                known[key, len(accepted)] = ok
+            action = "new_version" if ok else "rejected"
+        if action in ("create", "new_version"):
+            last, number = r, number + 1
+            if r.definition_hash not in {a.definition_hash for a in accepted}:
+                accepted.append(r)
+        state[r.contract_id] = (accepted, last, number, known)
+        out[r.contract_id, r.seq] = (action, number)
+    return out
+
+
+@pytest.mark.parametrize("mode", ["FORWARD_ALL", "BACKWARD", "DISABLED"])
+def test_long_history_takes_no_more_jobs(spark, mode):
+    """100,000 versions of one contract: as many jobs as 3,000, and the decisions of a plain fold."""
+    jobs = {}
+    for n in (3_000, 100_000):
+        rows = materialize(long_history(spark, n), "long")
+        spark.sparkContext.setJobGroup(f"fold-{mode}-{n}", "fold")
+        found = {(r.contract_id, r.seq): (r.action, r.registry_version) for r in registry.plan_history(rows, mode).select("contract_id", "seq", "action", "registry_version").collect()}
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fold-{mode}-{n}"))
+        spark.sparkContext.setJobGroup("", "")
+        if mode != "DISABLED":
+            assert found == folded(rows.orderBy("seq").collect(), mode)
+    accepted = sum(a in ("create", "new_version") for a, _ in found.values())
+    assert 2 < accepted and len(found) == 100_000
+    # Adaptive execution may run a stage of a larger input as a job of its own.
+    assert jobs[100_000] <= jobs[3_000] + 3
+
+
+def partition_filters(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("PartitionFilters: ")[1].split("]")[0] for line in plan.split("\n") if "PartitionFilters: [" in line]
+
+
+def test_registry_is_read_by_bucket(spark, tmp_path):
+    """One contract or a batch of a few skips the folders of all others; a load has one file for each of its buckets."""
+    docs = [document(f"contract-{i}", USERS) for i in range(60)]
+    path = str(tmp_path / "registry")
+    for load_id in ("a", "b"):
+        before = registry.read_registry(spark, path, before_load=load_id)
+        registry.apply_registration(registry.plan_history(candidates(spark, docs if load_id == "a" else docs[:1]), "DISABLED", before), path, load_id)
+    known = registry.read_registry(spark, path)
+    for df in (registry.get_schema(known, "contract-7"), registry.of_contracts(known, candidates(spark, docs[:2]))):
+        filters = partition_filters(df)
+        assert any("bucket" in f and ("=" in f or "IN" in f) for f in filters), filters
+    assert registry.get_schema(known, "contract-7").count() == 1
+    assert {r.contract_id for r in registry.of_contracts(known, candidates(spark, docs[:2])).collect()} == {"contract-0", "contract-1"}
+    for load in (tmp_path / "registry").glob("load_id=*"):
+        assert all(len(list(bucket.glob("*.parquet"))) == 1 for bucket in load.glob("bucket=*"))
+
+
+@pytest.mark.parametrize("mode", ["FORWARD_ALL", "BACKWARD"])
+def test_landing_in_any_order(spark, mode, tmp_path):
+    """After each batch the registry is what one load of all landed documents leaves; untouched contracts are not written."""
+    from sparkpact.streaming import contracts as contract_stream
+
+    docs = random_docs(60, 11)
+    rows = table_of(spark, docs).withColumn("seq", F.col("seq") - F.col("seq") % 3).collect()
+    # A document that lands again under its path counts as it came last.
+    other = next(i for i in range(21, 60) if docs[i]["contract_id"] == docs[20]["contract_id"] and docs[i]["columns"] != docs[20]["columns"])
+    again = rows[20].asDict() | {"raw": rows[other]["raw"]}
+    order = [r.asDict() for r in rows]
+    random.Random(3).shuffle(order)
+    order = [r for r in order if r["file_path"] != rows[20]["file_path"]]
+    batches = [[rows[20].asDict(), *order[:9]], order[9:30], [again], order[30:]]
+    schema = "file_path string, seq bigint, raw string"
+    stream = lambda: spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    path, landed = str(tmp_path / "registry"), {}
+    columns = ("contract_id", "registry_version", "seq", "file_path", "definition_hash")
+    for n, batch in enumerate(batches):
+        spark.createDataFrame([tuple(r[c] for c in ("file_path", "seq", "raw")) for r in batch], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        contract_stream.register_stream(stream(), path, str(tmp_path / "checkpoint"), mode).awaitTermination()
+        landed |= {r["file_path"]: r for r in batch}
+        everything = spark.createDataFrame([tuple(r[c] for c in ("file_path", "seq", "raw")) for r in landed.values()], schema)
+        plan = registry.plan_history(materialize(registry.candidates(documents.load_contracts(everything), mode=mode), "all"), mode)
+        wanted = sorted(tuple(r[c] for c in columns) for r in registry.accepted(plan).collect())
+        known = registry.read_registry(spark, path)
+        assert sorted(tuple(r[c] for c in columns) for r in known.collect()) == wanted
+        touched = {r.contract_id for r in registry.candidates(documents.load_contracts(spark.createDataFrame([tuple(r[c] for c in ("file_path", "seq", "raw")) for r in batch], schema))).collect()}
+        stored = spark.read.parquet(path).where(f"load_id = 'batch-{n:010d}'")
+        assert {r.contract_id for r in stored.collect()} <= touched
+    registry.compact_registry(spark, path, path + "-one", "z")
+    assert sorted(tuple(r[c] for c in columns) for r in registry.read_registry(spark, path + "-one").collect()) == wanted
