@@ -260,11 +260,10 @@ def accepted(plan: DataFrame) -> DataFrame:
 # -- documents in any order ------------------------------------------------------
 
 
-def register_landed(spark: SparkSession, landed: DataFrame, new: DataFrame, path: str, load_id: str, mode: str = DEFAULT_MODE) -> None:
+def register_landed(spark: SparkSession, earlier: DataFrame, new: DataFrame, path: str, load_id: str, mode: str = DEFAULT_MODE) -> None:
     """Register the candidates of ``new`` as one load, wherever in their contracts' histories they belong.
 
-    ``landed`` has all candidates that ever landed, those of ``new`` among them, with their ``bucket`` and the
-    ``batch_id`` they came in; a document that landed again under its key counts as it came last. Each contract of
+    ``earlier`` has all candidates that landed before, both tables their ``bucket`` and the ``batch_id`` they came in; a document that landed again under its key counts as it came last. Each contract of
     ``new`` is decided anew from its earliest new version on, from what was accepted before that. So the registry is
     what one load of all landed documents would have left, in whatever order they came. Contracts that ``new`` does
     not have are not read.
@@ -274,11 +273,12 @@ def register_landed(spark: SparkSession, landed: DataFrame, new: DataFrame, path
     known = _in_buckets_of(read_registry(spark, path, before_load=load_id), since).join(since, "contract_id")
     before = known.where(place < F.col("_since")).drop("_since")
 
-    again = _in_buckets_of(landed, since).join(since, "contract_id").where(place >= F.col("_since")).drop("_since", "bucket")
-    payload = [c for c in again.columns if c not in (*KEY, "batch_id")]
-    again = again.groupBy(*KEY).agg(F.max_by(F.struct(*payload), "batch_id").alias("_last")).select(*KEY, "_last.*")
-    # Read by the decisions and for the texts of what they accept.
-    again = materialize(again, "again")
+    earlier, again = _in_buckets_of(earlier, since), new
+    if not earlier.isEmpty():
+        later = earlier.join(since, "contract_id").where(place >= F.col("_since")).drop("_since").unionByName(new)
+        payload = [c for c in later.columns if c not in (*KEY, "batch_id")]
+        # Read by the decisions and for the texts of what they accept: written once.
+        again = materialize(later.groupBy(*KEY).agg(F.max_by(F.struct(*payload), "batch_id").alias("_last")).select(*KEY, "_last.*"), "again")
     rows = accepted(plan_history(again, mode, before))
 
     # Only where something is taken back is there a line.

@@ -658,6 +658,24 @@ ORACLE: dict[str, str] = {
                CASE WHEN skipped THEN 'Not a JSON file' ELSE reason END AS reason
         FROM odd""",
 }
+# Events land in three runs; a window is closed once the latest event of an earlier run is a day past its end.
+ORACLE["stream_violation_counts_late"] = """
+    WITH runs AS (SELECT event_id % 3 AS run, max(ts) AS latest FROM events GROUP BY 1),
+    marks AS (SELECT r.run, (SELECT max(latest) FROM runs e WHERE e.run < r.run) - INTERVAL 1 DAY AS mark FROM runs r),
+    closed AS (
+        SELECT e.*, date_trunc('day', ts) AS w, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= m.mark, false) AS behind
+        FROM events e JOIN marks m ON m.run = event_id % 3),
+    last AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM events)""" + " UNION ALL ".join(
+    f"""
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, '{column}' AS column_name, '{code}' AS code, count(*) AS rows, count(*) FILTER ({bad}) AS bad,
+           count(*) FILTER (behind) AS behind_rows, count(*) FILTER (behind AND ({bad})) AS behind_bad, w + INTERVAL 1 DAY <= (SELECT mark FROM last) AS closed
+    FROM closed GROUP BY w"""
+    for column, code, bad in EVENTS_RULES
+)
+ORACLE["stream_sla_percentiles"] = """
+    SELECT strftime(time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS rows,
+           true AS p50_near, true AS p99_near
+    FROM events GROUP BY ALL"""
 # The order in which documents land does not show.
 ORACLE["stream_contracts_any_order"] = ORACLE["stream_contracts"]
 ORACLE["failed_files"] = f"SELECT file_path AS file, reason FROM ({ORACLE['contract_status']}) WHERE build_status IS DISTINCT FROM 'built'"

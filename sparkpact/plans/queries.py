@@ -607,34 +607,25 @@ def stream_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.read_registry(spark, f"{root}/registry").select("contract_id", "seq", "file_path", "registry_version", "version")
 
 
-def _dealt_stream(spark: SparkSession, df: DataFrame, path: str, *by: str) -> tuple[DataFrame, Callable[[int], None]]:
-    """Rows written into files by a hash of their key, and a stream of them that grows by one file at a time.
-
-    The second result lets the next file of a folder land; files that landed earlier are taken no second time.
-    """
-    parts = F.pmod(F.xxhash64(*by), F.lit(BATCHES)).alias("part")
-    df.select("*", parts).write.partitionBy("part").parquet(f"{path}/dealt")
-
-    def land(part: int) -> None:
-        spark.read.schema(df.schema).parquet(f"{path}/dealt/part={part}").coalesce(1).write.mode("append").parquet(f"{path}/landed")
-
-    land(0)
-    return spark.readStream.schema(df.schema).parquet(f"{path}/landed"), land
+def _runs(spark: SparkSession, df: DataFrame, path: str, part: F.Column, start: Callable) -> None:
+    """A stream started ``BATCHES`` times, each time after one more file of ``df``, dealt by ``part``, has landed."""
+    df.withColumn("part", part).write.partitionBy("part").parquet(f"{path}/dealt")
+    for number in range(BATCHES):
+        own = spark.read.schema(df.schema).parquet(f"{path}/dealt/part={number}")
+        own.coalesce(1).write.mode("append").parquet(f"{path}/landed")
+        start(spark.readStream.schema(df.schema).parquet(f"{path}/landed")).awaitTermination()
 
 
 # Runs of a stream, each over what landed since the one before.
-BATCHES = 4
+BATCHES = 3
 
 
 @query
 def stream_contracts_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents in several runs, dealt to them by a hash: most versions land before or between registered ones."""
     root = scratch_dir(spark, "stream-any")
-    stream, land = _dealt_stream(spark, _docs(spark, sf_dir), root, "file_path")
-    for part in range(BATCHES):
-        if part:
-            land(part)
-        contract_stream.register_stream(stream, f"{root}/registry", f"{root}/checkpoint").awaitTermination()
+    part = F.pmod(F.xxhash64("file_path"), F.lit(BATCHES))
+    _runs(spark, _docs(spark, sf_dir), root, part, lambda stream: contract_stream.register_stream(stream, f"{root}/registry", f"{root}/checkpoint"))
     return registry.read_registry(spark, f"{root}/registry").select("contract_id", "seq", "file_path", "registry_version", "version")
 
 
@@ -677,3 +668,41 @@ def stream_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, by = scratch_dir(spark, "stream"), ["event_type"]
     row_stream.stream_sla(stream, "ts", "arrival_ts", corpus.EVENTS_CONTRACT, "6 hours", f"{root}/shares", f"{root}/checkpoint", by).awaitTermination()
     return _start_text(row_stream.read_sla(spark, f"{root}/shares", by))
+
+
+@query
+def stream_violation_counts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in several runs, most of them after their window was closed: counted, and counted apart."""
+    root = scratch_dir(spark, "stream-late")
+
+    def start(stream: DataFrame):
+        dirty = corpus.events_dirty(stream)
+        return row_stream.stream_violation_counts(dirty, "ts", corpus.EVENTS_CONTRACT, "1 day", f"{root}/windows", f"{root}/checkpoint")
+
+    _runs(spark, corpus.table(spark, sf_dir, "events"), root, F.col("event_id") % BATCHES, start)
+    return _start_text(row_stream.read_violation_counts(spark, f"{root}/windows", detail=True)).withColumnRenamed("column", "column_name")
+
+
+@query
+def stream_sla_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles per window from sketches merged over several runs, each held against the ranks of all rows."""
+    root, by = scratch_dir(spark, "stream-percentiles"), ["event_type"]
+
+    def start(stream: DataFrame):
+        arrived = corpus.events_arrived(stream)
+        return row_stream.stream_sla(arrived, "ts", "arrival_ts", corpus.EVENTS_CONTRACT, "5 days", f"{root}/windows", f"{root}/checkpoint", by)
+
+    events = corpus.table(spark, sf_dir, "events")
+    _runs(spark, events, root, F.col("event_id") % BATCHES, start)
+    found = row_stream.read_sla(spark, f"{root}/windows", by, {"p50": 0.5, "p99": 0.99})
+    rows = corpus.events_arrived(events).select("event_type", F.window("ts", "5 days")["start"].alias("window_start"), sla.latency_ms("ts", "arrival_ts").alias("ms"))
+    joined = rows.join(found.drop("rows", "late", "max_ms", "met"), ["window_start", "event_type"])
+    n = F.count(F.lit(1))
+
+    def near(name: str, share: float) -> F.Column:
+        """Whether the rank asked for lies among those of the value, give or take the error stated."""
+        below, upto = F.count_if(F.col("ms") < F.col(name)) / n, F.count_if(F.col("ms") <= F.col(name)) / n
+        slack = row_stream.RANK_ERROR + 1 / n
+        return ((below - slack <= share) & (upto + slack >= share)).alias(f"{name}_near")
+
+    return _start_text(joined.groupBy("window_start", "event_type").agg(n.alias("rows"), near("p50", 0.5), near("p99", 0.99)))

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import json
+import random
 import time
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import PAYMENTS, PAYMENTS_2, USERS, USERS_2, USERS_3, document, table_of
@@ -15,6 +16,7 @@ from sparkpact.session import materialize
 from sparkpact.sources import corpus
 from sparkpact.streaming import contracts as contract_stream
 from sparkpact.streaming import rows as row_stream
+from sparkpact.streaming import windows
 
 SALES = Contract(
     "sales-v1",
@@ -267,3 +269,51 @@ def test_missing_files_are_skipped(spark):
 def test_contracts_of_too_many_columns_get_no_table(spark):
     docs = documents.load_contracts(table_of(spark, [document("wide", ", ".join(f"c{i} string" for i in range(tables.MAX_COLUMNS + 1)))]))
     assert tables.plan_tables(docs, spark.createDataFrame([], tables.EXISTING_SCHEMA)).first().action == "rejected"
+
+
+def test_windows_over_many_batches(spark, tmp_path, monkeypatch):
+    """Late rows over many restarts and a replay: every row is counted once, behind the mark or not; folders stay few."""
+    random.seed(4)
+    monkeypatch.setattr(windows, "MERGED", 3)
+    schema, start = "id int, ts timestamp, n int", datetime(2024, 1, 1)
+    contract = Contract("t", "T", (Column("n", "integer", nullable=False),))
+    path, sums, seen, wanted = str(tmp_path / "out"), row_stream._VIOLATIONS, None, {}
+    for batch in range(10):
+        rows = [(i, start + timedelta(minutes=batch * 60 + random.randrange(-600, 60)), None if i % 3 == 0 else 1) for i in range(30)]
+        rows += [(99, None, 1), (100, start - timedelta(days=50), None)] if batch % 4 == 1 else []
+        df = spark.createDataFrame(rows, schema).coalesce(1)
+        lines = row_stream._violation_lines(df, "ts", contract, "1 hour", None)
+        for _ in range(2 if batch in (4, 8) else 1):  # a replay
+            windows.take_batch(lines, batch, path, sums, "2 hours")
+        mark = seen - timedelta(hours=2) if seen else None
+        for _, ts, n in rows:
+            at = ts.replace(minute=0, second=0) if ts else None
+            behind = ts is not None and mark is not None and at + timedelta(hours=1) <= mark
+            total = wanted.setdefault(at, [0, 0, 0])
+            total[0], total[1], total[2] = total[0] + 1, total[1] + (n is None), total[2] + behind
+        seen = max([t for _, t, _ in rows if t] + ([seen] if seen else []))
+        if batch in (4, 8, 9):
+            found = row_stream.read_violation_counts(spark, path, detail=True).where("code = 'null_in_required'").collect()
+            assert {r.window_start: [r.rows, r.bad, r.behind_rows] for r in found} == wanted
+            assert all(r.closed == (r.window_start is None or r.window_start + timedelta(hours=1) <= seen - timedelta(hours=2)) for r in found)
+    assert len(list((tmp_path / "out" / "state").iterdir())) == 2
+    assert len(list((tmp_path / "out" / "log").glob("level=*/batch_id=*"))) == 2
+    for _ in range(2):
+        windows.close_windows(spark, path)
+        found = row_stream.read_violation_counts(spark, path, detail=True).where("code = 'null_in_required'").collect()
+        assert {r.window_start: [r.rows, r.bad, r.behind_rows] for r in found} == wanted and all(r.closed for r in found)
+    windows.take_batch(row_stream._violation_lines(spark.createDataFrame([(1, seen, 1)], schema), "ts", contract, "1 hour", None), 10, path, sums, "2 hours")
+    total = row_stream.read_violation_counts(spark, path, detail=True).where("code = 'null_in_required'").agg(F.sum("rows"), F.sum("behind_rows")).first()
+    assert tuple(total) == (sum(w[0] for w in wanted.values()) + 1, sum(w[2] for w in wanted.values()) + 1)
+
+
+def test_sla_windows_without_latency(spark, tmp_path):
+    rows = [(datetime(2024, 1, 1, 1), None, "a"), (datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 1, 0, 9), "b"), (None, None, "a")]
+    stream_in = spark.createDataFrame(rows, "e timestamp, a timestamp, k string").coalesce(1)
+    stream_in.write.parquet(str(tmp_path / "in"))
+    contract = Contract("t", "T", (Column("k", "string"),))
+    stream = spark.readStream.schema(stream_in.schema).parquet(str(tmp_path / "in"))
+    row_stream.stream_sla(stream, "e", "a", contract, "1 hour", str(tmp_path / "out"), str(tmp_path / "cp"), ["k"]).awaitTermination()
+    found = {(r.window_start, r.k): (r.rows, r.late, r.max_ms, r.p50) for r in row_stream.read_sla(spark, str(tmp_path / "out"), ["k"], {"p50": 0.5}).collect()}
+    at = datetime(2024, 1, 1, 1)
+    assert found == {(at, "a"): (1, 0, None, None), (at, "b"): (1, 1, 9000, 9000), (None, "a"): (1, 0, None, None)}
