@@ -101,9 +101,12 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"))
     n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["b"] - s["a"])
+    # Beyond the contract: whether anything goes, and which bytes, as begin:end.
+    removed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["a"], s["b"])), ",")
     return found.select(
-        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
-    )
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("spans") > 0).alias("has_repeats"), removed.alias("removed"),
+    )
 
 
 @query

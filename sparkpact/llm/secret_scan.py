@@ -19,8 +19,9 @@ A layer is followed once for each place it came from: a worklist entry whose con
 dropped, so layers that contain themselves end. Each character of a layer remembers the span of the text it came
 from (exactly for URL and Unicode, the whole encoded part for base64 and compression), so spans of all layers are
 spans of the text, in code points, end exclusive. Spans found in the text itself always stay; layers add to
-them. Output of a decompressor is read up to ``DECODED_BYTES``; a larger one is reported as a span of kind
-``oversize``, never silently dropped.
+them. Output of a decompressor beyond ``DECODED_BYTES`` is scanned in blocks of that size, which overlap by ``OVERLAP``,
+as it is read; a span of kind ``oversize`` tells of it beside what is found. A secret that lies over a border is whole in
+one block, as is what is encoded in up to ``OVERLAP`` bytes inside.
 
 Defined results: null text is empty text, without spans; an empty table gives an empty result; repeated rows are
 repeated rows.
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from sparkpact.llm.base import lean, mapped, record, texts
 
 KINDS = ("assign", "access", "hex", "oversize")
-DECODED_BYTES = 64 << 20
+DECODED_BYTES, OVERLAP = 64 << 20, 1 << 20
 
 # Matches are taken leftmost and without overlap, and then those that fail the length are dropped.
 _ASSIGN = re.compile(r"""(?ai)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -171,10 +172,6 @@ def _byte(escape: str) -> str:
     return chr(code) if code < 256 else "?"
 
 
-class Oversize(Exception):
-    pass
-
-
 def _decompressor(magic: bytes):
     if magic[:2] == b"\x1f\x8b":
         return zlib.decompressobj(31)
@@ -189,53 +186,69 @@ def _decompressor(magic: bytes):
     return zstandard.ZstdDecompressor().decompressobj()
 
 
-def _stream(data: bytes, at: int) -> tuple[bytes, int, bool]:
-    """What the compressed stream that may begin at a place holds, as far as it can be read; its end, and whether it has one."""
-    machine = _decompressor(data[at : at + 6])
-    out, size, place = [], 0, at
-    while place < len(data) and not machine.eof:
-        try:
-            out.append(machine.decompress(data[place : place + FED]))
-        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-            break
-        except Exception as error:
-            if type(error).__name__ == "ZstdError":
-                break
-            raise
-        place = min(place + FED, len(data))
-        size += len(out[-1])
-        if size > DECODED_BYTES:
-            raise Oversize
-    return b"".join(out), place - len(machine.unused_data) if machine.eof else place, machine.eof
+class _Run:
+    """What compressed streams hold that follow each other without a gap, piece after piece.
+
+    ``end`` is where reading ended, ``resume`` where the next search begins: behind a stream that is whole, else one byte
+    further than its begin.
+    """
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.end, self.resume = data, at, at
+
+    def __iter__(self) -> Iterator[bytes]:
+        whole = True
+        while whole and _MAGIC.match(self.data, self.end):
+            begins, whole = self.end, False
+            machine, place = _decompressor(self.data[begins : begins + 6]), begins
+            while place < len(self.data) and not machine.eof:
+                try:
+                    out = machine.decompress(self.data[place : place + FED])
+                except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                    break
+                except Exception as error:
+                    if type(error).__name__ == "ZstdError":
+                        break
+                    raise
+                place = min(place + FED, len(self.data))
+                whole = machine.eof
+                self.end = place - len(machine.unused_data) if whole else place
+                yield out
+            self.resume = self.end if whole else begins + 1
+
+
+def _blocks(run: _Run) -> Iterator[bytes]:
+    """A long run in blocks of ``DECODED_BYTES`` that overlap, so that what lies over a border is whole in one of them."""
+    overlap, held = min(OVERLAP, DECODED_BYTES // 4), bytearray()
+    for out in run:
+        held += out
+        while len(held) > DECODED_BYTES:
+            yield bytes(held[:DECODED_BYTES])
+            del held[: DECODED_BYTES - overlap]
+    yield bytes(held)
 
 
 def streams(data: bytes) -> Iterator[tuple[bytes | None, int, int]]:
-    """What is compressed in the bytes, wherever it begins, and its place; ``None`` for what is too large.
+    """What is compressed in the bytes, wherever it begins, and its place.
 
-    Streams that follow each other without a gap are one. Together they may be too large as well: that is told,
-    and what they hold is handed on in parts.
+    Streams that follow each other are one. More than ``DECODED_BYTES`` is told by ``None`` and comes in overlapping blocks;
+    it is read a first time to learn where it ends, so no more than a block of it is ever held.
     """
     at = 0
     while m := _MAGIC.search(data, at):
-        out, size, begin, end, more = [], 0, m.start(), m.start(), True
-        while more:
-            begins = end
-            try:
-                own, end, whole = _stream(data, begins)
-            except Oversize:
-                yield None, begins, len(data)
-                at = begins + 1
-                break
-            if size + len(own) > DECODED_BYTES:
-                yield None, begin, end
-                yield b"".join(out), begin, begins
-                out, size, begin = [], 0, begins
-            out.append(own)
-            size += len(own)
-            at = end if whole else begins + 1
-            more = whole and _MAGIC.match(data, end)
-        if size:
-            yield b"".join(out), begin, end
+        run, held, size = _Run(data, m.start()), [], 0
+        for out in run:
+            size += len(out)
+            held.append(out)
+            if size > DECODED_BYTES:
+                held.clear()
+        at = run.resume
+        if size > DECODED_BYTES:
+            yield None, m.start(), run.end
+            for block in _blocks(_Run(data, m.start())):
+                yield block, m.start(), run.end
+        elif size:
+            yield b"".join(held), m.start(), run.end
 
 
 def _as_texts(data: bytes) -> Iterator[str]:

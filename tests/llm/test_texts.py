@@ -341,11 +341,30 @@ def test_clean_text_has_no_layers():
 
 
 def test_cycles_and_bombs_end(monkeypatch):
-    """A layer that decodes to what was seen at its place is not followed; too large a layer is told."""
+    """A layer that decodes to what was seen at its place is not followed; a large layer is told, and scanned all the same."""
     assert spans_of("%2525252525")[1] == []
     monkeypatch.setattr(secret_scan, "DECODED_BYTES", 1000)
     bomb = base64.b64encode(zlib.compress(b"a" * 100_000)).decode()
-    assert spans_of(f"x {bomb}")[1] == [("oversize", 2, 2 + len(bomb))]
+    assert spans_of(f"x {bomb}")[1] == [("hex", 2, 2 + len(bomb)), ("oversize", 2, 2 + len(bomb))]
+
+
+@pytest.mark.parametrize("name", ["zlib", "gzip", "bz2", "zstd"])
+def test_large_layers_are_scanned_in_blocks(name, monkeypatch):
+    """Secrets anywhere in a layer above the bound: at its begin and end, over every border, encoded once more inside."""
+    monkeypatch.setattr(secret_scan, "DECODED_BYTES", 4000)
+    r = random.Random(2)
+    filler = lambda n: "".join(r.choice("ghij klm") for _ in range(n))
+    pack = {"zlib": zlib.compress, "gzip": gzip.compress, "bz2": bz2.compress, "zstd": zstandard.ZstdCompressor().compress}[name]
+    inner = base64.b64encode(KEY.encode()).decode()
+    for at in (0, 2990, 3990, 4000, 7000, 19_000):
+        text = filler(at) + " " + SECRET + " " + filler(20_000 - at)
+        body = base64.b64encode(pack(text.encode())).decode()
+        assert [k for k, _, _ in spans_of(f"x {body} y")[1]] == ["assign", "oversize"], at
+    body = base64.b64encode(pack((filler(9000) + f" {inner} " + filler(9000)).encode())).decode()
+    assert spans_of(f"x {body} y")[1] == [("access", 2, 2 + len(body)), ("oversize", 2, 2 + len(body))]
+    # Streams that follow each other, together beyond the bound.
+    body = base64.b64encode(b"".join(pack((filler(2500) + SECRET[:9] * (k == 3)).encode()) for k in range(4)) + pack((SECRET[9:] + " z").encode())).decode()
+    assert [k for k, _, _ in spans_of(body)[1]] == ["assign", "oversize"]
 
 
 def test_secret_spans(spark):
