@@ -49,7 +49,7 @@ acols AS (
     SELECT *, CASE data_type WHEN 'number' THEN 'double' WHEN 'integer' THEN 'int' WHEN 'boolean' THEN 'boolean' ELSE 'string' END AS avro
     FROM cols
 ),
-hist AS (
+hist AS MATERIALIZED (
     SELECT *, lag(seq) OVER w AS prev_seq, lag(label) OVER w AS prev_label, lag(version) OVER w AS prev_version, lag(def) OVER w AS prev_def,
            row_number() OVER w AS n
     FROM built WINDOW w AS (PARTITION BY contract_id ORDER BY seq)
@@ -138,7 +138,7 @@ CLASSIFIED = """
 
 # Versions taken in order, each held against the ones accepted before it.
 FOLD = """
-barred AS (SELECT contract_id, seq, list(DISTINCT old_seq) AS olds FROM {side} GROUP BY ALL),
+barred AS MATERIALIZED (SELECT contract_id, seq, list(DISTINCT old_seq) AS olds FROM {side} GROUP BY ALL),
 fold(contract_id, n, seq, accepted, def, action, registry_version) AS (
     SELECT contract_id, n, seq, [seq], def, 'create', 1::BIGINT FROM hist WHERE n = 1
     UNION ALL
