@@ -8,7 +8,9 @@ columns it lacks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,13 +122,16 @@ def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:
     all_rules = rules(df, contract)
     counters = df.agg(F.count(F.lit(1)).alias("rows"), *rule_counters(all_rules))
     lines = rule_lines(all_rules)
-    ratio = F.when(F.col("rows") > 0, F.round(F.col("bad") / F.col("rows"), 6)).otherwise(0.0)
     return (
         counters.select("rows", F.inline(lines))
-        .select(F.lit(contract.contract_id).alias("contract_id"), "column", "code", "rows", "bad", ratio.alias("ratio"))
+        .select(F.lit(contract.contract_id).alias("contract_id"), "column", "code", "rows", "bad", _ratio().alias("ratio"))
     )
 
 
+def _ratio() -> Column:
+    return F.when(F.col("rows") > 0, F.round(F.col("bad") / F.col("rows"), 6)).otherwise(0.0)
+
+
 def rule_counters(all_rules: list[tuple[ContractColumn, str, Column]]) -> list[Column]:
     return [F.count_if(broken).alias(f"n{i}") for i, (_, _, broken) in enumerate(all_rules)]
 
@@ -142,22 +147,57 @@ def rule_lines(all_rules: list[tuple[ContractColumn, str, Column]]) -> Column:
 
 def with_reasons(df: DataFrame, contract: Contract) -> DataFrame:
     """``df`` with ``_reasons``: every rule the row breaks, empty if none."""
-    entries = [
-        F.when(broken, F.struct(F.lit(c.name).alias("column"), F.lit(code).alias("code"))) for c, code, broken in rules(df, contract)
-    ]
+    return df.withColumn("_reasons", _reasons(rules(df, contract)))
+
+
+def _reasons(all_rules: list[tuple[ContractColumn, str, Column]]) -> Column:
+    entries = [F.when(broken, F.struct(F.lit(c.name).alias("column"), F.lit(code).alias("code"))) for c, code, broken in all_rules]
     found = F.array_compact(F.array(*entries)) if entries else F.array()
-    return df.withColumn("_reasons", found.cast(REASON_TYPE))
+    return found.cast(REASON_TYPE)
+
+
+def _broken(df: DataFrame, contract: Contract) -> Column:
+    return reduce(Column.__or__, (condition for _, _, condition in rules(df, contract)), F.lit(False))
+
+
+# The folders of a written split, and what rows lie under in each.
+SIDES = {"valid": "accepted", "quarantine": "rejected"}
+
+
+def write_split(df: DataFrame, contract: Contract, path: str) -> DataFrame:
+    """Both sides of ``split_rows`` written below ``path`` in one pass over the rows, which also counts violations.
+
+    Returns the lines of ``violation_counts``, which the write observed on its way; read the sides with ``read_split``.
+    Replaces what is below ``path``.
+    """
+    all_rules, broken, seen = rules(df, contract), _broken(df, contract), Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *rule_counters(all_rules))
+    rejected = F.struct(*[F.col(f"`{c}`") for c in df.columns], _reasons(all_rules).alias("_reasons"))
+    sides = observed.select(
+        F.when(~broken, F.struct(*_conformed(df, contract))).alias(SIDES["valid"]),
+        F.when(broken, rejected).alias(SIDES["quarantine"]),
+        F.when(broken, "quarantine").otherwise("valid").alias("side"),
+    )
+    sides.write.mode("overwrite").partitionBy("side").parquet(path)
+    counts, spark = seen.get, df.sparkSession
+    lines = [(contract.contract_id, c.name, code, counts["rows"], counts[f"n{i}"]) for i, (c, code, _) in enumerate(all_rules)]
+    found = spark.createDataFrame(lines, "contract_id string, column string, code string, rows bigint, bad bigint")
+    return found.withColumn("ratio", _ratio())
+
+
+def read_split(spark: SparkSession, path: str, side: str, like: DataFrame, contract: Contract) -> DataFrame:
+    """One side (``valid`` or ``quarantine``) of a written split of rows ``like`` these: only its files are read."""
+    valid, quarantine = split_rows(like, contract)
+    ddl = T.StructType([T.StructField(SIDES["valid"], valid.schema), T.StructField(SIDES["quarantine"], quarantine.schema), T.StructField("side", T.StringType())])
+    return spark.read.schema(ddl).parquet(path).where(F.col("side") == side).select(f"{SIDES[side]}.*")
 
 
 def split_rows(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine): accepted rows typed, rejected rows as they were with ``_reasons``.
 
-    Every row is in exactly one of the two.
+    Every row is in exactly one of the two. Each is a query of its own over the rows; ``write_split`` takes both from one.
     """
-    broken = None
-    for _, _, condition in rules(df, contract):
-        broken = condition if broken is None else broken | condition
-    broken = F.lit(False) if broken is None else broken
+    broken = _broken(df, contract)
     return df.where(~broken).select(*_conformed(df, contract)), with_reasons(df.where(broken), contract)
 
 

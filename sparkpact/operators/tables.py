@@ -1,13 +1,14 @@
-"""Tables under contract: plan them all in one join, write and evolve them one by one."""
+"""Tables under contract: plan them all in one join, write and evolve each."""
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkpact.functions.types import map_types
+from sparkpact.functions.types import TYPE_MAPS, map_types
 from sparkpact.model import Contract
 from sparkpact.operators.documents import built_contracts, explode_columns
 from sparkpact.operators.enforce import conform, evolve_rows
@@ -16,6 +17,8 @@ from sparkpact.operators.versions import table_name
 # Limits and names of a contract's table.
 MAX_COLUMNS = 1000
 DATABASE = "iceberg_tables"
+# Names of columns that files still hold and the table no longer has, as JSON.
+DROPPED_PROPERTY = "dropped_columns"
 VERSION_PROPERTY = "iceberg_table_version"
 UNKNOWN = "Unknown"
 DESCRIPTION = "Iceberg table for "
@@ -132,13 +135,9 @@ def existing_columns(spark: SparkSession, database: str = DATABASE) -> DataFrame
     return spark.createDataFrame(lines, EXISTING_SCHEMA)
 
 
-def _create(df: DataFrame, contract: Contract, table: str, location: str, held: dict[str, str], description: str) -> None:
-    """Write the rows, then declare an external table over them."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(location)
-    columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()} COMMENT {_quoted(c.description)}" for f, c in zip(df.schema.fields, contract.columns)
-    )
+def _declare(spark: SparkSession, contract: Contract, table: str, location: str, held: dict[str, str], description: str) -> None:
+    """An external table of the contract's columns over a folder; its files are read by column name."""
+    columns = ", ".join(f"`{c.name}` {TYPE_MAPS['table'][c.data_type]} COMMENT {_quoted(c.description)}" for c in contract.columns)
     pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in held.items())
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet LOCATION {_quoted(location)} "
@@ -158,7 +157,8 @@ def write_contract_table(df: DataFrame, contract: Contract, root: str, database:
     if not spark.catalog.tableExists(f"{database}.{_name(contract)}"):
         location = f"{root.rstrip('/')}/{database}/{_name(contract)}/{_stamp(contract)}"
         description = contract.description or f"{DESCRIPTION}{contract.contract_id}"
-        _create(conform(df, contract), contract, table, location, properties(contract), description)
+        conform(df, contract).write.mode("overwrite").parquet(location)
+        _declare(spark, contract, table, location, properties(contract), description)
     return table
 
 
@@ -171,12 +171,24 @@ class TableNotFound(LookupError):
     """A table that should be evolved is not in the catalog."""
 
 
+def _same_files(stored: dict[str, str], dropped: set[str], contract: Contract) -> bool:
+    """Whether a table's files hold the contract's rows as they are.
+
+    Columns are found by name: one that is new reads as NULL, one that is gone is not read. Not so if a type changes, or
+    if a name comes back that was dropped since the files were written: its old values would be read.
+    """
+    wanted = {c.name.lower(): TYPE_MAPS["table"][c.data_type].lower() for c in contract.columns}
+    kept = all(stored[name] == kind for name, kind in wanted.items() if name in stored)
+    return kept and not any(name in dropped for name in wanted if name not in stored)
+
+
 def evolve_table(spark: SparkSession, contract: Contract, root: str, database: str = DATABASE) -> str:
-    """Carry the contract's table to this version: columns replaced, rows rewritten, version bumped.
+    """Carry the contract's table to this version: columns replaced, version bumped, rows rewritten only if a type changes.
 
-    The other properties stay. The new rows are written beside the old ones and
-    put in place by renaming, so at any time one of the two tables is whole; the
-    old files stay where they were. Run again after a failure, it finishes the job.
+    Added and dropped columns change the catalog alone: the new table is declared over the same files. The names dropped
+    since the files were written are kept as a property, and one that comes back has the rows rewritten without it.
+    The other properties stay. A new table is made beside the old one and put in place by renaming, so at any time one of
+    the two is whole; old files stay where they were. Run again after a failure, it finishes the job.
     """
     name = _name(contract)
     table, staged, retired = (f"`{database}`.`{name}{suffix}`" for suffix in ("", "__next", "__previous"))
@@ -190,10 +202,19 @@ def evolve_table(spark: SparkSession, contract: Contract, root: str, database: s
     spark.sql(f"DROP TABLE IF EXISTS {retired}")
     held = {k: v for k, v in table_properties(spark, table).items() if not k.startswith(("transient", "option."))}
     held[VERSION_PROPERTY] = contract.version
+    dropped = set(json.loads(held.pop(DROPPED_PROPERTY, "[]")))
     described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    location = f"{root.rstrip('/')}/{database}/{name}/{_stamp(contract)}"
-    rows = evolve_rows(spark.table(f"{database}.{name}"), contract)
-    _create(rows, contract, staged, location, held, described.get("Comment", ""))
+    rows = spark.table(f"{database}.{name}")
+    stored = {f.name.lower(): f.dataType.simpleString() for f in rows.schema.fields}
+    if _same_files(stored, dropped, contract):
+        location = described["Location"]
+        dropped |= set(stored) - {c.name.lower() for c in contract.columns}
+        if dropped:
+            held[DROPPED_PROPERTY] = json.dumps(sorted(dropped))
+    else:
+        location = f"{root.rstrip('/')}/{database}/{name}/{_stamp(contract)}"
+        evolve_rows(rows, contract).write.mode("overwrite").parquet(location)
+    _declare(spark, contract, staged, location, held, described.get("Comment", ""))
     spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
     spark.sql(f"DROP TABLE {retired}")

@@ -448,6 +448,10 @@ ORACLE: dict[str, str] = {
         WITH {ORDERS_DIRTY}
         SELECT o_orderkey, day AS o_orderdate, price AS o_totalprice, NULL::VARCHAR AS o_clerk, '2.0.0' AS table_version
         FROM dirty WHERE NOT (no_customer OR no_price OR no_date)""",
+    "evolved_columns": f"""
+        WITH {ORDERS_DIRTY}
+        SELECT NULL::VARCHAR AS o_note, price AS o_totalprice, o_orderkey, NULL::BIGINT AS o_rank, '3.0.0' AS table_version, 0 AS files_written
+        FROM dirty WHERE NOT (no_customer OR no_price OR no_date)""",
     "infer_contract": " UNION ALL ".join(
         [
             _inferred(
@@ -658,6 +662,11 @@ ORACLE: dict[str, str] = {
                CASE WHEN skipped THEN 'Not a JSON file' ELSE reason END AS reason
         FROM odd""",
 }
+ORACLE["written_split_orders"] = f"""
+    SELECT v.*, s.* FROM ({ORACLE['violation_counts_orders']}) v, (
+        WITH {ORDERS_DIRTY}
+        SELECT count(*) FILTER (NOT (no_customer OR no_price OR no_date)) AS valid_rows,
+               count(*) FILTER (no_customer OR no_price OR no_date) AS quarantine_rows FROM dirty) s"""
 # Events land in three runs; a window is closed once the latest event of an earlier run is a day past its end.
 ORACLE["stream_violation_counts_late"] = """
     WITH runs AS (SELECT event_id % 3 AS run, max(ts) AS latest FROM events GROUP BY 1),

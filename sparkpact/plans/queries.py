@@ -413,6 +413,38 @@ def evolved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+# Columns dropped and added, none retyped.
+ORDERS_V3 = Contract(
+    contract_id="orders-v1",
+    name="Orders",
+    description="Orders as they are kept",
+    version="3.0.0",
+    columns=(
+        Column("o_note", "string"),
+        Column("o_totalprice", "number"),
+        Column("o_orderkey", "integer", nullable=False),
+        Column("o_rank", "integer"),
+    ),
+)
+
+
+@query
+def evolved_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid orders as the contract's table, which goes to a version that adds and drops columns: no file is written."""
+    valid, _ = enforce.split_rows(_orders_dirty(spark, sf_dir), corpus.ORDERS_CONTRACT)
+    root = scratch_dir(spark, "tables")
+    database = "sparkpact_" + root.rsplit("-", 1)[-1][:12]
+    name = tables.write_contract_table(valid, corpus.ORDERS_CONTRACT, root, database).replace("`", "")
+    before = set(spark.table(name).inputFiles())
+    tables.evolve_table(spark, ORDERS_V3, root, database)
+    written = len(set(spark.table(name).inputFiles()) - before)
+    version = tables.table_properties(spark, name)[tables.VERSION_PROPERTY]
+    rows = spark.table(name).withColumns({"table_version": F.lit(version), "files_written": F.lit(written)})
+    rows = materialize(rows, "evolved-columns")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return rows
+
+
 # -- rows ------------------------------------------------------------------------
 
 
@@ -475,6 +507,16 @@ def valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
+@query
+def written_split_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides written in one pass, the violations it counted, and the rows of each side as read back."""
+    dirty, path = _orders_dirty(spark, sf_dir), scratch_dir(spark, "split")
+    counts = enforce.write_split(dirty, corpus.ORDERS_CONTRACT, path)
+    sizes = [enforce.read_split(spark, path, side, dirty, corpus.ORDERS_CONTRACT).agg(F.count("*").alias(f"{side}_rows")) for side in enforce.SIDES]
+    # One row each.
+    return reduce(DataFrame.crossJoin, sizes, counts).withColumnRenamed("column", "column_name")
+
+
 @query
 def parse_event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = enforce.parse_records(corpus.event_props(corpus.table(spark, sf_dir, "events")), "props", corpus.PROPS_CONTRACT)
@@ -644,9 +686,9 @@ def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders split as a stream; where each of them went."""
     stream = corpus.orders_dirty(corpus.table_stream(spark, sf_dir, "orders"))
     root = scratch_dir(spark, "stream")
-    row_stream.stream_split(stream, corpus.ORDERS_CONTRACT, f"{root}/valid", f"{root}/quarantine", f"{root}/checkpoint").awaitTermination()
-    valid = spark.read.parquet(f"{root}/valid").select("o_orderkey", F.lit("valid").alias("went"), F.lit("").alias("reasons"))
-    quarantine = _with_reason_text(spark.read.parquet(f"{root}/quarantine"))
+    row_stream.stream_split(stream, corpus.ORDERS_CONTRACT, f"{root}/split", f"{root}/checkpoint").awaitTermination()
+    valid, quarantine = (enforce.read_split(spark, f"{root}/split/rows", side, stream, corpus.ORDERS_CONTRACT) for side in enforce.SIDES)
+    valid, quarantine = valid.select("o_orderkey", F.lit("valid").alias("went"), F.lit("").alias("reasons")), _with_reason_text(quarantine)
     return valid.unionByName(quarantine.select("o_orderkey", F.lit("quarantine").alias("went"), "reasons"))
 
 

@@ -12,24 +12,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkpact.model import Contract
-from sparkpact.operators.enforce import rule_counters, rule_lines, rules, split_rows
+from sparkpact.operators.enforce import rule_counters, rule_lines, rules, write_split
 from sparkpact.operators.sla import latency_ms
 from sparkpact.streaming.windows import Sums, read_windows, stream_windows
 
 
-def stream_split(rows: DataFrame, contract: Contract, valid_path: str, quarantine_path: str, checkpoint: str) -> StreamingQuery:
-    """Valid rows to one folder, rejected rows to another, batch by batch.
+def stream_split(rows: DataFrame, contract: Contract, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Valid and rejected rows below ``path/rows``, and how often each rule was broken below ``path/counts``, batch by batch.
 
-    Each batch has a folder of its own in both, which a replay after a failure
-    replaces: no row is there twice. Processes what there is and ends.
+    Each batch is read once, and has a folder of its own in both, which a replay after a failure replaces: no row is
+    there twice. Read the sides with ``enforce.read_split``. Without a trigger it processes what there is and ends.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid, quarantine = split_rows(batch, contract)
-        valid.write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
-        quarantine.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        counts = write_split(batch, contract, f"{path}/rows/batch_id={batch_id}")
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 # How long rows may be late before the window they belong to is closed.

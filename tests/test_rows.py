@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import random
 import time
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -317,3 +318,64 @@ def test_sla_windows_without_latency(spark, tmp_path):
     found = {(r.window_start, r.k): (r.rows, r.late, r.max_ms, r.p50) for r in row_stream.read_sla(spark, str(tmp_path / "out"), ["k"], {"p50": 0.5}).collect()}
     at = datetime(2024, 1, 1, 1)
     assert found == {(at, "a"): (1, 0, None, None), (at, "b"): (1, 1, 9000, 9000), (None, "a"): (1, 0, None, None)}
+
+
+def test_columns_change_without_files(spark, tmp_path):
+    """Added and dropped columns leave the files alone; a retype, or a name that comes back, has them written anew."""
+    versions_ = {
+        1: "a integer, b string, c number",
+        2: "c number, d date, A integer",  # b dropped, d added
+        3: "a integer, c number, d date, e boolean",  # e added
+        4: "a integer, b string",  # b comes back, its old values do not
+        5: "a number, b string",  # retyped
+    }
+    contract = lambda n: Contract("meta", "M", tuple(Column(*part.split()) for part in versions_[n].split(", ")), version=f"{n}.0.0")
+    rows = spark.createDataFrame([(1, "x", 0.5), (2, "y", 1.5)], "a long, b string, c double")
+    tables.write_contract_table(rows, contract(1), str(tmp_path), "meta_db")
+    files = lambda: set(spark.table("meta_db.meta").inputFiles())
+    held = [files()]
+    for n in (2, 3, 4, 5):
+        tables.evolve_table(spark, contract(n), str(tmp_path), "meta_db")
+        held.append(files())
+        assert tables.table_properties(spark, "meta_db.meta")[tables.VERSION_PROPERTY] == f"{n}.0.0"
+        if n == 3:
+            assert sorted(map(tuple, spark.table("meta_db.meta").collect())) == [(1, 0.5, None, None), (2, 1.5, None, None)]
+    assert held[0] == held[1] == held[2] and not held[2] & held[3] and not held[3] & held[4]
+    assert sorted(map(tuple, spark.table("meta_db.meta").collect())) == [(1.0, None), (2.0, None)]
+    assert tables.DROPPED_PROPERTY not in tables.table_properties(spark, "meta_db.meta")
+    spark.sql("DROP DATABASE meta_db CASCADE")
+
+
+def test_split_reads_rows_once(spark, sales, tmp_path):
+    """One pass writes both sides and counts; the sides are those of split_rows."""
+    read = spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = sales.unionByName(sales.withColumn("must", F.lit("there")), allowMissingColumns=True)
+    counted = source.mapInArrow(through, source.schema)
+    counts = enforce.write_split(counted, SALES, str(tmp_path / "split")).collect()
+    assert read.value == source.count() == 6
+    assert sorted(map(tuple, counts)) == sorted(map(tuple, enforce.violation_counts(source, SALES).collect()))
+    for side, expected in zip(enforce.SIDES, enforce.split_rows(source, SALES)):
+        found = enforce.read_split(spark, str(tmp_path / "split"), side, source, SALES)
+        assert found.dtypes == expected.dtypes
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    nothing = enforce.write_split(source.where("false"), SALES, str(tmp_path / "none"))
+    assert {(r.rows, r.bad, r.ratio) for r in nothing.collect()} == {(0, 0, 0.0)}
+
+
+def test_a_table_that_fails_says_so(spark, tmp_path):
+    """The others are made, and only what was done is told as done."""
+    docs = table_of(spark, [document("ok", "x string"), document("gone", "y string")])
+    none = spark.createDataFrame([], tables.EXISTING_SCHEMA)
+    planned = provision(docs, str(tmp_path / "registry"), none, "x")
+    # As if the plan had found a table that is no longer there.
+    status = F.when(F.col("contract_id") == "gone", "planned_updated").otherwise(F.col("table_status"))
+    done = apply_tables(replace(planned, tables=planned.tables.withColumn("table_status", status)), str(tmp_path / "tables"), "fail_db")
+    assert {r.contract_id: r.table_status for r in done.tables.collect()} == {"ok": "created", "gone": "failed"}
+    assert not done.summary().first().ready
+    spark.sql("DROP DATABASE fail_db CASCADE")
