@@ -19,8 +19,10 @@ A document's set holds its distinct shingles of five words (A-Z lower-cased, wor
    into an R-tree whose nodes keep the largest coordinates, and the sum of the coordinatewise minima bounds
    the intersection: a subtree is skipped when the bound is too small for a link. Surviving pairs are verified
    on the whole sets. Pairs already connected are not verified again, so a family of a thousand copies takes
-   about a thousand verifications. A block of more than ``TILE`` shingles is cut into tiles by a hash, and each pair
-   of tiles is a task of its own, so no task holds more than two tiles.
+   about a thousand verifications. Texts of one template that share most shingles and link with nobody would all be
+   compared in such a tree, so a block of more than ``SMALL`` sets is parted first by its own rarest shingles, where a
+   partner that is not smaller is held against fewer of them. A block of more than ``TILE`` shingles or ``TILE_SETS`` sets
+   is cut into tiles by a hash, and each pair of tiles is a task of its own, so no task holds more than two tiles.
 6. The links found (a forest for each task) are connected again.
 
 Shingles and classes are told apart by 64-bit hashes. Nothing is capped. Defined results: null text and text
@@ -44,7 +46,9 @@ from sparkpact.llm.shingles import WORDS, shingle_sets
 GROUPS_BITS = 8
 GROUPS = 1 << GROUPS_BITS
 PAGE = 16
-TILE = 4 << 20
+TILE, TILE_SETS = 4 << 20, 1 << 16
+#: Up to so many sets a block goes to one tree; a shingle that so few smaller sets are known by has its pairs verified.
+SMALL, FEW = 64, 16
 #: Bits of a hash that the first cut compares; fewer only let more classes stay.
 CUT_BITS = 44
 #: From so many holders on, shingles count as equally common.
@@ -283,42 +287,118 @@ class CountTree:
         return nodes[nodes >= page].tolist()
 
 
+class Roots:
+    """Which sets are connected: a label for each, kept by giving the smaller side the label of the larger."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.label = sets, np.arange(len(sets))
+        self.members: dict[int, list[int]] = {}
+        self.found: list[tuple[int, int]] = []
+
+    def verify(self, a: int, b: int) -> None:
+        """Connect two sets if they link and are not connected yet."""
+        if self.label[a] == self.label[b]:
+            return
+        x, y = self.sets[a], self.sets[b]
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * both >= 75 * (len(x) + len(y) - both):
+            self.found.append((a, b))
+            self.connect(a, b)
+
+    def connect(self, a: int, b: int) -> None:
+        i, j = int(self.label[a]), int(self.label[b])
+        if i == j:
+            return
+        one, two = self.members.pop(i, [i]), self.members.pop(j, [j])
+        if len(one) < len(two):
+            one, two, i = two, one, j
+        self.label[two] = i
+        one.extend(two)
+        self.members[i] = one
+
+
+def _first_shingles(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingle, set and rank of what each set is known by: its first ``n - ceil(3 n / 4) + 1``, those rare among these sets first."""
+    size = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, shingle, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((shingle, holders[shingle], owner))
+    shingle, owner = shingle[order], owner[order]
+    rank = np.arange(len(shingle)) - (np.cumsum(size) - size)[owner]
+    first = rank < (size - (3 * size + 3) // 4 + 1)[owner]
+    return shingle[first], owner[first], rank[first]
+
+
+def _parted(roots: Roots, side: np.ndarray | None) -> list[np.ndarray]:
+    """The sets in parts that no unverified link leaves.
+
+    Of two sets that link, the one that is not larger has at least six sevenths of its shingles in the other. So the two
+    share a shingle that is among the first ``n - ceil(6 n / 7) + 1`` of that one, and among the first
+    ``n - ceil(3 n / 4) + 1`` of the other. A shingle that no set has among its fewer ones connects nobody; one that few
+    have so has their pairs verified at once; all others chain their sets into one part.
+    """
+    sets = roots.sets
+    size = np.array([len(x) for x in sets], np.int64)
+    shingle, owner, rank = _first_shingles(sets)
+    by = np.lexsort((owner, shingle))
+    shingle, owner, rank = shingle[by], owner[by], rank[by]
+    known = rank < (size - (6 * size + 6) // 7 + 1)[owner]
+    parts = Roots(sets)
+    begins = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+    ends = np.append(begins[1:], len(shingle))
+    meet = (ends - begins > 1) & np.logical_or.reduceat(known, begins)
+    for begin, end in zip(begins[meet].tolist(), ends[meet].tolist()):
+        own = owner[begin:end]
+        few = own[known[begin:end]]
+        if len(few) > FEW:
+            for other in own[1:].tolist():
+                parts.connect(int(own[0]), other)
+            continue
+        for a in few.tolist():
+            for b in own[size[own] >= size[a]].tolist():
+                if a != b and 4 * size[a] >= 3 * size[b] and (side is None or side[a] != side[b]):
+                    roots.verify(a, b)
+    order = np.argsort(parts.label, kind="stable")
+    return [x for x in np.split(order, np.flatnonzero(np.diff(parts.label[order])) + 1) if len(x) > 1]
+
+
 def links(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Enough linked pairs to connect all that links connect; with ``side``, of pairs across the sides only."""
-    if len(sets) < 2:
-        return []
-    tree = CountTree(sets)
-    root = np.arange(len(sets))
-    found: list[tuple[int, int]] = []
+    roots = Roots(sets)
+    if len(sets) > 1:
+        for part in _parted(roots, side) if len(sets) > SMALL else [np.arange(len(sets))]:
+            _by_tree(roots, part, side)
+    return roots.found
+
+
+def _by_tree(roots: Roots, part: np.ndarray, side: np.ndarray | None) -> None:
+    """Verify the pairs of a part that its tree leaves."""
+    tree = CountTree([roots.sets[i] for i in part])
+    places, sizes = part[tree.order], tree.sizes[tree.order]
     for page in range(len(tree.levels[0][0])):
-        own = tree.order[page * PAGE : (page + 1) * PAGE]
-        points = tree.points[page * PAGE : (page + 1) * PAGE]
+        here = slice(page * PAGE, (page + 1) * PAGE)
+        own = places[here]
         for other in tree.pages(page):
-            theirs = tree.order[other * PAGE : (other + 1) * PAGE]
-            open_ = root[own][:, None] != root[theirs][None, :]
+            there = slice(other * PAGE, (other + 1) * PAGE)
+            theirs = places[there]
+            open_ = roots.label[own][:, None] != roots.label[theirs][None, :]
             if other == page:
                 open_ &= np.triu(np.ones(open_.shape, bool), 1)
             if side is not None:
                 open_ &= side[own][:, None] != side[theirs][None, :]
             if not open_.any():
                 continue
-            bound = np.minimum(points[:, None, :], tree.points[None, other * PAGE : (other + 1) * PAGE, :]).sum(axis=2)
-            open_ &= 7 * bound >= 3 * (tree.sizes[own][:, None] + tree.sizes[theirs][None, :])
+            bound = np.minimum(tree.points[here][:, None, :], tree.points[None, there, :]).sum(axis=2)
+            open_ &= 7 * bound >= 3 * (sizes[here][:, None] + sizes[there][None, :])
             for i, j in zip(*np.nonzero(open_)):
-                a, b = int(own[i]), int(theirs[j])
-                if root[a] == root[b]:
-                    continue
-                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
-                    found.append((a, b))
-                    root[root == root[b]] = root[a]
-    return found
+                roots.verify(int(own[i]), int(theirs[j]))
 
 
 def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     """Links between classes: ``a, b``."""
     members = sets.join(blocks, "key")
-    tiles = members.groupBy("block").agg(F.ceil(F.sum("n") / F.lit(TILE)).cast("int").alias("tiles"))
+    full = F.greatest(F.sum("n") / F.lit(TILE), F.count(F.lit(1)) / F.lit(TILE_SETS))
+    tiles = members.groupBy("block").agg(F.ceil(full).cast("int").alias("tiles"))
     found = members.join(tiles, "block").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
     found = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     found = found.select("block", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "key", "shingles")

@@ -233,3 +233,60 @@ def test_runs_of_long_texts(monkeypatch):
         monkeypatch.setattr(repeats, "PART", part, raising=False)
         for a, b in zip(whole, repeats.window_runs(data, offsets), strict=True):
             assert a.tolist() == b.tolist()
+
+
+def _connected(n, pairs):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    return [find(x) for x in range(n)]
+
+
+def _same_parts(x, y):
+    return len(set(zip(x, y))) == len(set(x)) == len(set(y))
+
+
+@pytest.mark.parametrize("few", [0, 2, 16])
+@pytest.mark.parametrize("sided", [False, True])
+def test_parted_blocks_lose_no_link(few, sided, monkeypatch):
+    """Sets of many sizes around shared templates: what links connect is what all pairs connect."""
+    monkeypatch.setattr(near_dups, "FEW", few)
+    r = np.random.default_rng(12)
+    for _ in range(6):
+        templates = [r.integers(0, 1 << 62, 60).astype(np.uint64) for _ in range(3)]
+        sets = []
+        for k in range(160):
+            own = templates[k % 3][: r.integers(1, 40)]
+            more = r.integers(0, 1 << 62, r.integers(0, 6)).astype(np.uint64)
+            sets.append(np.unique(np.concatenate((own, more, templates[(k + 1) % 3][50 : 50 + r.integers(0, 4)]))))
+        side = r.integers(0, 2, len(sets)) if sided else None
+        pairs = []
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both) and (side is None or side[i] != side[j]):
+                    pairs.append((i, j))
+        found = near_dups.links(sets, side)
+        assert set(map(frozenset, found)) <= set(map(frozenset, pairs)) and pairs
+        assert _same_parts(_connected(len(sets), found), _connected(len(sets), pairs))
+
+
+def test_templates_do_not_meet(monkeypatch):
+    """16,000 texts of one template that link with nobody, and a few that do, take no time that grows with their pairs."""
+    import time
+
+    r = np.random.default_rng(13)
+    template = r.integers(0, 1 << 62, 3).astype(np.uint64)
+    sets = [np.unique(np.append(template, r.integers(0, 1 << 62, 1).astype(np.uint64))) for _ in range(16_000)]
+    sets += [np.unique(template), np.unique(r.integers(0, 1 << 62, 9).astype(np.uint64))]
+    begin = time.time()
+    alone = near_dups.links(sets[:16_000])
+    assert alone == [] and time.time() - begin < 10
+    # The template itself links with all of them.
+    assert len(near_dups.links(sets)) == 16_000
