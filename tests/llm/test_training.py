@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from brute import corner_rows, fill_in_middle as fim_rows, frame, rows_of, vector_codes as code_rows
 
-from sparkpact.llm import chat, fill_in_middle, queries, vector_codes
+from sparkpact.llm import chat, fill_in_middle, vector_codes
 
 
 def sha(text):
@@ -236,10 +236,3 @@ def test_vectors_of_other_lengths(spark):
     assert coded(spark, [(1, None, 1)])[0].count() == 0
     with pytest.raises(Exception, match="64 bits"):
         coded(spark, [(1, [1e9] * 16, 1)])
-
-
-@pytest.mark.parametrize("name", ["op11_fill_in_middle", "op12_chat_format", "op13_vector_codes"])
-def test_query_matches_sql(spark, sf_dir, name):
-    from compare import differences, oracle_connection
-
-    assert differences(queries.QUERIES[name](spark, sf_dir), oracle_connection(sf_dir), queries.ORACLE[name]) is None
