@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from sparkpact.functions.types import TYPE_MAPS, map_types
 from sparkpact.model import Contract
@@ -110,7 +111,7 @@ def properties(contract: Contract, created_at: datetime | None = None) -> dict[s
     }
 
 
-def _name(contract: Contract) -> str:
+def contract_table(contract: Contract) -> str:
     return contract.contract_id.replace("-", "_").lower()
 
 
@@ -135,6 +136,49 @@ def existing_columns(spark: SparkSession, database: str = DATABASE) -> DataFrame
     return spark.createDataFrame(lines, EXISTING_SCHEMA)
 
 
+# One line per table and load: what the table was made or changed to.
+CATALOG_SCHEMA = "table_name string, contract_id string, version string, columns array<struct<name:string,type:string>>"
+
+
+def catalog_lines(docs: DataFrame) -> DataFrame:
+    """The catalog's lines for tables that were just brought to the contracts of ``docs``."""
+    contract = F.col("contract")
+    columns = F.transform(contract["columns"], lambda c: F.struct(c["name"].alias("name"), map_types(c["data_type"], "table").alias("type")))
+    return docs.select(
+        table_name(contract["contract_id"]).alias("table_name"), contract["contract_id"].alias("contract_id"),
+        contract["version"].alias("version"), columns.alias("columns"),
+    )
+
+
+def write_catalog(lines: DataFrame, path: str, load_id: str) -> None:
+    """Lines of one load, replacing those of the same load."""
+    lines.write.mode("overwrite").parquet(f"{path.rstrip('/')}/load_id={load_id}")
+
+
+def read_catalog(spark: SparkSession, path: str, before_load: str | None = None) -> DataFrame:
+    """The columns of all tables as ``plan_tables`` wants them, read as a table: no call to the catalog, none per table.
+
+    A table is what its latest load made it; with ``before_load``, the latest of those that sort before it.
+    """
+    try:
+        lines = spark.read.schema(f"{CATALOG_SCHEMA}, load_id string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], EXISTING_SCHEMA)
+    if before_load is not None:
+        lines = lines.where(F.col("load_id") < before_load)
+    newest = lines.groupBy("table_name").agg(F.max_by(F.struct("contract_id", "version", "columns"), "load_id").alias("t"))
+    each = newest.select("table_name", "t.contract_id", "t.version", F.inline("t.columns"))
+    return each.select("table_name", "name", "type", "contract_id", "version")
+
+
+def import_catalog(spark: SparkSession, database: str, path: str, load_id: str) -> None:
+    """Lines for tables that were made without them: the catalog is asked once, for each table."""
+    columns = F.collect_list(F.struct("name", "type")).alias("columns")
+    write_catalog(existing_columns(spark, database).groupBy("table_name", "contract_id", "version").agg(columns), path, load_id)
+
+
 def _declare(spark: SparkSession, contract: Contract, table: str, location: str, held: dict[str, str], description: str) -> None:
     """An external table of the contract's columns over a folder; its files are read by column name."""
     columns = ", ".join(f"`{c.name}` {TYPE_MAPS['table'][c.data_type]} COMMENT {_quoted(c.description)}" for c in contract.columns)
@@ -153,9 +197,9 @@ def write_contract_table(df: DataFrame, contract: Contract, root: str, database:
     spark = df.sparkSession
     place = f"{root.rstrip('/')}/{database}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_quoted(place)}")
-    table = f"`{database}`.`{_name(contract)}`"
-    if not spark.catalog.tableExists(f"{database}.{_name(contract)}"):
-        location = f"{root.rstrip('/')}/{database}/{_name(contract)}/{_stamp(contract)}"
+    table = f"`{database}`.`{contract_table(contract)}`"
+    if not spark.catalog.tableExists(f"{database}.{contract_table(contract)}"):
+        location = f"{root.rstrip('/')}/{database}/{contract_table(contract)}/{_stamp(contract)}"
         description = contract.description or f"{DESCRIPTION}{contract.contract_id}"
         conform(df, contract).write.mode("overwrite").parquet(location)
         _declare(spark, contract, table, location, properties(contract), description)
@@ -190,7 +234,7 @@ def evolve_table(spark: SparkSession, contract: Contract, root: str, database: s
     The other properties stay. A new table is made beside the old one and put in place by renaming, so at any time one of
     the two is whole; old files stay where they were. Run again after a failure, it finishes the job.
     """
-    name = _name(contract)
+    name = contract_table(contract)
     table, staged, retired = (f"`{database}`.`{name}{suffix}`" for suffix in ("", "__next", "__previous"))
     exists = lambda suffix="": spark.catalog.tableExists(f"{database}.{name}{suffix}")
     if not exists() and exists("__previous"):

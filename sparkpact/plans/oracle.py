@@ -732,3 +732,77 @@ FROM planned
 
 ORACLE["registration_plan"] = _registration("forward", "")
 ORACLE["registration_plan_backward"] = _registration("backward", "WHERE r.back = 1")
+
+
+def _inferred(counted: str) -> str:
+    """``counted``: per key, the type, the texts that hold it, those in which it is null, all objects and what is no object."""
+    return f"""
+        SELECT 'inferred-v1' AS contract_id, 'Inferred' AS name, column_name, data_type, nulls > 0 OR seen < objects AS nullable, seen, objects, unread
+        FROM ({counted}) WHERE seen > 0"""
+
+
+def _inferred_keys(keys: dict[str, tuple[str, str, str]], source: str, objects: str, unread: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{key}' AS column_name, {data_type} AS data_type, count(*) FILTER ({objects} AND {seen}) AS seen,
+                   count(*) FILTER ({objects} AND {null}) AS nulls, count(*) FILTER ({objects}) AS objects, count(*) FILTER ({unread}) AS unread
+            FROM {source}"""
+        for key, (data_type, seen, null) in keys.items()
+    )
+
+
+ORACLE["inferred_json_events"] = _inferred(
+    _inferred_keys(
+        {"k": ("CASE WHEN count(*) FILTER (event_id % 9 <> 0 AND event_id % 10 = 1) > 0 THEN 'string' ELSE 'integer' END", "true", "false")},
+        "(SELECT * FROM events WHERE props IS NOT NULL)",
+        "event_id % 9 <> 0",
+        "event_id % 9 = 0",
+    )
+)
+ORACLE["inferred_json_orders"] = _inferred(
+    _inferred_keys(
+        {
+            name: (f"'{data_type}'", f"{name} IS NOT NULL", "false")
+            for name, data_type in (
+                ("o_orderkey", "integer"),
+                ("o_custkey", "integer"),
+                ("o_orderstatus", "string"),
+                ("o_totalprice", "number"),
+                ("o_orderdate", "timestamp"),
+                ("o_orderpriority", "string"),
+            )
+        },
+        "orders",
+        "true",
+        "false",
+    )
+)
+ORACLE["inferred_json_corpus"] = f"WITH {CORPUS} " + _inferred(
+    _inferred_keys(
+        {
+            "contract_id": ("'string'", "true", "false"),
+            "name": ("'string'", "true", "false"),
+            "description": ("'string'", "true", "defect = 'null_description'"),
+            "version": ("'string'", "true", "false"),
+            "columns": ("'array'", "defect <> 'no_columns_key'", "false"),
+            "metadata": ("'object'", "k % 7 <> 0", "false"),
+        },
+        "corpus",
+        "defect <> 'cut_short'",
+        "defect = 'cut_short'",
+    )
+)
+ORACLE["changed_files"] = f"""
+    WITH {ODD}, status AS (
+        SELECT file_path, CASE WHEN kind IN (0, 1, 2, 3, 4, 7, 8) THEN 'invalid' ELSE 'valid' END AS validate_status,
+               regexp_extract(file_path, '(\\d+)\\.', 1)::BIGINT AS k
+        FROM odd)
+    SELECT 0 AS scan, validate_status, count(*) AS files FROM status GROUP BY 2
+    UNION ALL SELECT 2, validate_status, count(*) FROM status WHERE k % 7 = 0 GROUP BY 2"""
+ORACLE["applied_tables"] = """
+    WITH t AS (SELECT s_suppkey AS k, s_suppkey % 2 = 0 AS second FROM supplier),
+    c AS (
+        SELECT k, second, 'id' AS name, 'bigint' AS type FROM t
+        UNION ALL SELECT k, second, 'balance', CASE WHEN k % 4 = 0 THEN 'string' ELSE 'double' END FROM t
+        UNION ALL SELECT k, second, 'nation', 'string' FROM t WHERE second)
+    SELECT 'supp_' || k AS table_name, name, type, 'Supp-' || k AS contract_id, CASE WHEN second THEN '2.0.0' ELSE '1.0.0' END AS version, true AS noted
+    FROM c"""

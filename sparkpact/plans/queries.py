@@ -7,6 +7,7 @@ from ``orders``, ``lineitem`` and ``events``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce, wraps
 
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from sparkpact.functions.types import map_types
 from sparkpact.model import Column, Contract
-from sparkpact.operators import avro, documents, enforce, registry, results, sla, tables, tags, versions
-from sparkpact.plans.provisioning import Run, provision
+from sparkpact.operators import avro, documents, enforce, inference, registry, results, sla, tables, tags, versions
+from sparkpact.plans.provisioning import Run, apply_tables, provision, with_order
 from sparkpact.session import configure, materialize, scratch_dir
 from sparkpact.sources import contracts as contract_files_source
 from sparkpact.sources import corpus
@@ -94,6 +95,23 @@ def contract_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.groupBy("domain", "validate_status", "build_status").agg(F.count(F.lit(1)).alias("files"))
 
 
+@query
+def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three scans of a folder of documents, one file each: of all, of what did not change, and after some have landed anew."""
+    root = scratch_dir(spark, "changed")
+    docs = corpus.odd_corpus(corpus.spread(corpus.table(spark, sf_dir, "part")))
+    part, scans = F.col("seq"), []
+    for number, land in enumerate((F.lit(True), None, part % 7 == 0)):
+        if land is not None:
+            landed = docs.where(land).select((part % 16).alias("domain"), "raw")
+            landed.write.partitionBy("domain").option("maxRecordsPerFile", 1).text(f"{root}/files/all/{number}")
+        known = contract_files_source.read_manifest(spark, f"{root}/manifest")
+        changed = contract_files_source.changed_contracts(spark, f"{root}/files", known, "*.txt")
+        contract_files_source.write_manifest(changed.files, f"{root}/manifest", str(number))
+        scans.append(documents.load_contracts(with_order(changed.documents)).select(F.lit(number).alias("scan"), "validate_status"))
+    return reduce(DataFrame.unionByName, scans).groupBy("scan", "validate_status").agg(F.count(F.lit(1)).alias("files"))
+
+
 @query
 def contract_parse_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.parse_contracts(_docs(spark, sf_dir)).select("file_path", "parse_status")
@@ -399,6 +417,21 @@ ORDERS_V2 = Contract(
 )
 
 
+@query
+def applied_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table per supplier made in one run, half of them changed in a second; what the catalog holds then, and was noted."""
+    root, database = scratch_dir(spark, "applied"), f"applied_{uuid.uuid4().hex}"
+    suppliers = corpus.table(spark, sf_dir, "supplier")
+    for load_id, part in (("1", suppliers), ("2", suppliers.where("s_suppkey % 2 = 0"))):
+        docs = corpus.supplier_corpus(part, int(load_id))
+        planned = provision(docs, None, tables.read_catalog(spark, f"{root}/catalog"), load_id)
+        apply_tables(planned, root, database, f"{root}/catalog", load_id)
+    held = materialize(tables.existing_columns(spark, database), "held")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    noted = tables.read_catalog(spark, f"{root}/catalog").withColumn("noted", F.lit(True))
+    return held.join(noted, held.columns, "full").select(*held.columns, F.coalesce("noted", F.lit(False)).alias("noted"))
+
+
 @query
 def evolved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid orders written as the contract's table, which then goes to a second version."""
@@ -460,6 +493,29 @@ def infer_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found).withColumnRenamed("column", "column_name")
 
 
+def _inferred(texts: DataFrame) -> DataFrame:
+    return inference.infer_json_contract(texts, "raw", "inferred-v1", "Inferred").withColumnRenamed("column", "column_name")
+
+
+@query
+def inferred_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract of what events carry, some of it cut short or of another type."""
+    return _inferred(corpus.event_props(corpus.table(spark, sf_dir, "events")).select(F.col("props").alias("raw")))
+
+
+@query
+def inferred_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract of orders that were written as JSON."""
+    orders = corpus.table(spark, sf_dir, "orders")
+    return _inferred(orders.select(F.to_json(F.struct(*orders.columns)).alias("raw")))
+
+
+@query
+def inferred_json_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract of contract documents."""
+    return _inferred(_docs(spark, sf_dir).select("raw"))
+
+
 @query
 def conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = enforce.conformance(_orders_dirty(spark, sf_dir), corpus.ORDERS_CONTRACT)

@@ -130,6 +130,20 @@ def odd_corpus(part: DataFrame) -> DataFrame:
     )
 
 
+def supplier_corpus(supplier: DataFrame, version: int) -> DataFrame:
+    """One document per supplier: ``file_path, seq, raw``. The second version adds a column, and retypes one for every fourth."""
+    second = version > 1
+    column = "named_struct('name', '{}', 'data_type', {}, 'nullable', true)".format
+    kind = "if(s_suppkey % 4 = 0, 'string', 'number')" if second else "'number'"
+    columns = [column("id", "'integer'"), column("balance", kind), *([column("nation", "'string'")] if second else [])]
+    document = f"""
+        to_json(named_struct('contract_id', concat('Supp-', s_suppkey), 'name', s_name, 'description', 'A supplier',
+                             'version', '{version}.0.0', 'columns', array({', '.join(columns)})))
+    """
+    path = F.concat(F.lit("current/supplier/"), F.col("s_suppkey"), F.lit(".json"))
+    return supplier.select(path.alias("file_path"), F.lit(version).cast("bigint").alias("seq"), F.expr(document).alias("raw"))
+
+
 def orders_dirty(orders: DataFrame, *more: SparkColumn) -> DataFrame:
     """Orders with nulls, unreadable numbers and impossible dates put in, and ``more`` columns."""
     key = F.col("o_orderkey")
