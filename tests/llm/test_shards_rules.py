@@ -43,12 +43,37 @@ def test_corner_rows(spark):
     rows = corner_rows()
     docs = frame(spark, rows)
     found = shards.histogram_shards(docs, 5)
-    assert found.columns == ["shard", "slot", "size", *[c for c in docs.columns if c not in ("shard", "slot", "size", "key")]]
+    assert found.columns == ["shard", "slot", "size", *[c for c in docs.columns if c not in ("shard", "slot", "size")]]
     got = found.collect()
     assert sorted(((r["doc_id"], r["size"]) for r in got), key=repr) == sorted(((r[0], len((r[1] or "").encode()) + 16) for r in rows), key=repr)
     shard_sizes(got)
 
 
+@pytest.mark.parametrize("run_bytes", [100, 3000])
+def test_slots_over_many_runs(spark, monkeypatch, run_bytes):
+    """A shard is numbered in many tasks, also where a heavy key is shared; names used while dealing are the input's own."""
+    monkeypatch.setattr(shards, "RUN_BYTES", run_bytes)
+    rows = [(i, "y" * (i % 60), f"k{i}", -i) for i in range(1500)]
+    for own in (rows, rows + [(7, "the same row", "k", 1)] * 800):
+        docs = spark.createDataFrame(own, "doc_id bigint, text string, key string, draw int").repartition(3)
+        found = shards.histogram_shards(docs, 6)
+        assert found.columns == ["shard", "slot", "size", "doc_id", "text", "key", "draw"]
+        got = found.collect()
+        shard_sizes(got)
+        assert sorted((r["doc_id"], r["text"], r["key"], r["draw"]) for r in got) == sorted(own)
+
+
+def test_bytes_below_each_boundary(spark):
+    """Boundaries against sorted keys: what lies below each is within the tolerance of its share."""
+    rows = spark.range(20_000).select(shards.row_key(F.col("id")).alias("__key"), (F.col("id") % 50 + 16).alias("size"))
+    plain = sorted((r["__key"], r["size"]) for r in rows.collect())
+    cuts, total = shards.splitters(rows, 9)
+    assert total == sum(size for _, size in plain)
+    for i, (first, share) in enumerate(cuts, 1):
+        below = sum(size for key, size in plain if key < first)
+        assert share == 1.0 and abs(below - total * i / 9) <= max(66, shards.TOLERANCE * total / 9)
+
+
 def test_the_same_twice(spark):
     docs = frame(spark, [(i, "z" * (i % 31)) for i in range(500)])
     first, second = (rows_of(shards.histogram_shards(docs.repartition(n), 7), "doc_id", "shard", "slot") for n in (1, 5))
