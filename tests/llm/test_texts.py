@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import lzma
 import random
+import re
 import urllib.parse
 import zlib
 
@@ -148,6 +149,51 @@ def test_contamination(spark, block_bytes, monkeypatch):
     assert sum(f[-1] for f in found) >= 10
 
 
+@pytest.mark.parametrize("block_bytes", [16 << 20, 150])
+def test_longest_match_and_its_place(spark, block_bytes, monkeypatch):
+    """Matches that differ in length in one document and beyond it, against a comparison word by word."""
+    monkeypatch.setattr(cont, "BLOCK_BYTES", block_bytes)
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    own = [word.findall((text or "").lower()) for _, text in items()]
+    p = words(60, 3)
+    rows = polluted() + [(900, " ".join(p[:15] + ["gap"] + p[20:50] + ["gap"] + p[20:50])), (901, " ".join(["x"] + p[40:])), (902, " ".join(p[:12]))]
+
+    def plain(text):
+        w, best = word.findall((text or "").lower()), (0, None)
+        for a in range(len(w)):
+            reach, occurs = 0, False
+            for item in own:
+                need = min(13, len(item))
+                for b in range(len(item)):
+                    n = 0
+                    while a + n < len(w) and b + n < len(item) and w[a + n] == item[b + n]:
+                        n += 1
+                    reach, occurs = max(reach, n), occurs or (n >= need and b + need <= len(item))
+            if occurs and reach > best[0]:
+                best = (reach, a)
+        return best
+
+    found = cont.contamination(frame(spark, rows), benchmark(spark)).collect()
+    assert sorted(((r["doc_id"], (r["longest"], r["longest_from"])) for r in found), key=repr) == sorted(((r[0], plain(r[1])) for r in rows), key=repr)
+    assert {r["doc_id"]: (r["longest"], r["longest_from"]) for r in found if (r["doc_id"] or 0) >= 900} == {900: (30, 16), 901: (20, 1), 902: (0, None)}
+
+
+def test_words_with_one_hash_are_compared(monkeypatch):
+    """With every word under one hash, a block asks for another base, and unequal words are told apart."""
+    data, offsets = flat(["alpha beta alpha", "alpha gamma"])
+    found = cont.words_of(data, offsets)
+    assert cont.same_words(found, np.array([0, 0, 0, 1]), found, np.array([2, 3, 1, 4])).tolist() == [True, True, False, False]
+    true, tried = cont.span_hashes, []
+
+    def collide(prefix, begin, end, base):
+        tried.append(base)
+        return true(prefix, begin, end, base) if len(tried) > 1 else np.zeros(len(begin), np.uint64)
+
+    monkeypatch.setattr(cont, "span_hashes", collide)
+    own = cont.Benchmark.of(["0", "1"], data, offsets)
+    assert own.base == cont.BASE + 2 and tried == [cont.BASE, cont.BASE + 2] and len(own.vocabulary) == 3
+
+
 def test_decontaminate(spark):
     docs = frame(spark, polluted())
     kept = cont.decontaminate(docs, benchmark(spark))
