@@ -110,20 +110,36 @@ URLS = [
 ]
 
 
-def test_verdicts(spark):
+def given(spark, rules, way, monkeypatch):
+    """The rules as a list, as a list too long for the tasks, or as a table with other columns, repeats and gaps."""
+    if way == "list":
+        return rules
+    if way == "long list":
+        monkeypatch.setattr(url_rules, "LISTED", 1)
+        return rules
+    rows = [(r.verdict, "note", r.pattern) for r in rules] * 2 + [(None, "note", "com/"), ("block", "note", None)]
+    return spark.createDataFrame(rows, "verdict string, token string, pattern string")
+
+
+WAYS = pytest.mark.parametrize("way", ["list", "long list", "table"])
+
+
+@WAYS
+def test_verdicts(spark, way, monkeypatch):
     rows = [(i, u, "<html>", "clash") for i, u in enumerate(URLS + URLS[:3])]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string")
-    found = url_rules.judge_urls(pages, URL_RULES)
+    found = url_rules.judge_urls(pages, given(spark, URL_RULES, way, monkeypatch))
     assert found.columns == ["page_id", "url", "html", "host", "path", "rule", "verdict"]
     assert rows_of(found, "page_id", "host", "path", "rule", "verdict") == sorted(((i, *plain_verdict(u, URL_RULES)) for i, u, *_ in rows), key=repr)
 
 
-def test_verdicts_of_many_rules(spark, sf_dir):
+@WAYS
+def test_verdicts_of_many_rules(spark, sf_dir, way, monkeypatch):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     urls = [r["url"] for r in pages.collect()]
     hosts = sorted({url_rules.split_url(u)[0] for u in urls})
     rules = [url_rules.Rule("block" if i % 2 else "allow", f"{h.split('.', i % 2)[-1]}/{'en/' * (i % 3)}") for i, h in enumerate(hosts)] + list(URL_RULES)
-    found = url_rules.judge_urls(pages, rules)
+    found = url_rules.judge_urls(pages, given(spark, rules, way, monkeypatch))
     got = {r["page_id"]: (r["host"], r["path"], r["rule"] and len(r["rule"])) for r in found.collect()}
     for r in pages.collect():
         host, path, rule, _ = plain_verdict(r["url"], rules)
@@ -141,3 +157,19 @@ def test_no_pages_and_no_rules(spark):
     assert url_rules.judge_urls(empty, URL_RULES).count() == 0
     pages = spark.createDataFrame([(1, "http://x.net/es/")], "page_id bigint, url string")
     assert url_rules.judge_urls(pages, []).first()["verdict"] == "allow"
+    none = spark.createDataFrame([], "pattern string, verdict string")
+    assert url_rules.judge_urls(pages, none).first()["verdict"] == "allow"
+    some = spark.createDataFrame([("net/es/", "block")], "pattern string, verdict string")
+    assert url_rules.judge_urls(empty, some).count() == 0
+
+
+def test_ways_agree_on_ties_and_on_rules_without_tokens(spark, monkeypatch):
+    rules = [url_rules.Rule("block", p) for p in ("/a", "b.com/", "a.b.com/", "b.com/xy", "/xyz.htm")] + [url_rules.Rule("allow", p) for p in ("b.com/xy", "/a", "b.com/xyzz")]
+    urls = ["http://a.b.com/xyzz", "http://a.b.com/xyz.htm", "http://b.com/a", "x://a", "http:///a", "http://c.d/a", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    names = ("page_id", "host", "path", "rule", "verdict")
+    by_list = rows_of(url_rules.judge_urls(pages, rules), *names)
+    monkeypatch.setattr(url_rules, "LISTED", 2)
+    assert rows_of(url_rules.judge_urls(pages, rules), *names) == by_list
+    only_url = url_rules.judge_urls(pages.select(F.col("url").alias("path")), rules, "path")
+    assert only_url.columns == ["host", "path", "rule", "verdict"] and only_url.count() == len(urls)
