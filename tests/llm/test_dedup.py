@@ -58,36 +58,37 @@ def test_exact_dedup_keeps_rows_whole(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.collect()) == sorted((g[0] is None, g[0]) for g in exact_groups(rows) if g[3])
 
 
-def test_equal_fingerprints_are_compared(spark, monkeypatch):
-    """With a hash that always collides, the comparison parts the texts."""
-    monkeypatch.setattr(exact_dedup, "fingerprints", lambda docs, i, t, c: collide(docs))
+#: At this point a fingerprint is the sum of the bytes, so texts of the same letters collide.
+SUMS = (1, 1)
 
-    def collide(docs):
-        from pyspark.sql import functions as F
 
-        text = F.regexp_replace(F.coalesce("text", F.lit("")), exact_dedup.BLANKS, " ")
-        return docs.select("doc_id", F.octet_length(text).cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("fp1"), F.lit(0).cast("bigint").alias("fp2"), F.sha2(text, 256).alias("text_sha256"))
-
-    def compared(docs, shared, chunk_bytes):
-        from pyspark.sql import functions as F
-
-        rows = docs.select(F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("fp1"), F.lit(0).cast("bigint").alias("fp2"), "text")
-        extremes = rows.groupBy("n_bytes", "fp1", "fp2").agg(F.min("text").alias("a"), F.max("text").alias("b"))
-        return extremes.where("a <> b").select("n_bytes", "fp1", "fp2")
-
-    monkeypatch.setattr(exact_dedup, "_compared", compared)
-    rows = [(1, "aaa"), (2, "bbb"), (3, "aaa"), (4, "cc")]
-    found = exact_dedup.exact_groups(frame(spark, rows))
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 4])
+def test_equal_fingerprints_are_compared(spark, chunk_bytes):
+    """Real collisions go through the comparison, in the first chunk, in a later one, and beside true copies."""
+    texts = ["abcd efgh", "abcd ehgf", "bacd efgh", "abcd  efgh", "abcd\tehgf", "dcba hgfe ", "xyz", "xyz", "zyx", None, "", " " * 9, "abcd efgh"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, "abcd efgh"), (None, "abcd ehgf")]
+    found = exact_dedup.exact_groups(frame(spark, rows), chunk_bytes=chunk_bytes, points=SUMS)
     assert rows_of(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == exact_groups(rows)
 
 
 def test_comparison_finds_what_differs(spark):
-    from pyspark.sql import functions as F
-
-    docs = spark.createDataFrame([(1, "same  text"), (2, "same text"), (3, "other")], "doc_id bigint, text string")
+    texts = ["abcd efgh", "abcd  ehgf", "same text", "same  text", "ab", "ba", "abcd efgh"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    total = lambda t: sum(t.encode())
+    differ = exact_dedup._compared(docs, docs, 4, SUMS)
+    assert rows_of(differ, "n_bytes", "fp1", "fp2") == sorted((len(t), total(t), total(t)) for t in ("abcd efgh", "ab"))
+    # At the real points nothing collides.
     assert exact_dedup._compared(docs, docs, 4).count() == 0
-    twins = docs.where(F.col("doc_id") > 0)
-    assert exact_dedup._compared(twins, docs.where("doc_id > 9"), 4).count() == 0
+    assert exact_dedup._compared(docs, docs.where("doc_id > 9"), 4, SUMS).count() == 0
+
+
+def test_long_texts(spark):
+    """Texts of many chunks, copies that differ in blanks, repeated rows and a change in the last byte."""
+    base = " ".join(words(400_000, 3))
+    rows = [(1, base), (2, base.replace(" ", " \t\n", 5)), (3, base + "x"), (1, base), (4, "short"), (None, base), (5, " " * 3_000_000), (6, "\n")]
+    assert len(base) > 2 << 20
+    found = exact_dedup.exact_groups(frame(spark, rows))
+    assert rows_of(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == exact_groups(rows)
 
 
 # -- near ----------------------------------------------------------------------
