@@ -25,7 +25,9 @@ A document's set holds its distinct shingles of five words (A-Z lower-cased, wor
    is cut into tiles by a hash, and each pair of tiles is a task of its own, so no task holds more than two tiles.
 6. The links found (a forest for each task) are connected again.
 
-Shingles and classes are told apart by 64-bit hashes. Nothing is capped. Defined results: null text and text
+Classes are told apart by two 64-bit hashes: one is their name, the other replaces it where several classes have it.
+Shingles are told apart by 64 bits, so an intersection is off by one in one of 2**64 pairs of shingles that meet in two
+sets. Nothing is capped. Defined results: null text and text
 without words have an empty set and link with nothing; null ``doc_id`` counts above all others; repeated rows are
 copies; an empty table gives an empty result.
 """
@@ -33,6 +35,7 @@ copies; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,15 +56,38 @@ SMALL, FEW = 64, 16
 CUT_BITS = 44
 #: From so many holders on, shingles count as equally common.
 COMMON = 4096
-_SEED = np.uint64(0x5851F42D4C957F2D)
+_SEED, _SECOND = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+#: First hashes that several sets may have; more than chance gives for any number of sets that can be stored.
+TWICE = 100_000
 
 
-def set_key(shingles: np.ndarray) -> int:
-    """The name of a set: a signed 64-bit hash of it."""
-    mixed = scramble(shingles ^ _SEED).sum(dtype=np.uint64) + np.uint64(len(shingles))
+def _mixed(shingles: np.ndarray, seed: np.uint64) -> int:
+    mixed = scramble(shingles ^ seed).sum(dtype=np.uint64) + np.uint64(len(shingles))
     return int(scramble(np.array([mixed]))[0].view(np.int64))
 
 
+@dataclass(frozen=True)
+class Names:
+    """What a set is called: a signed 64-bit hash, and a second one where several sets have the first.
+
+    ``twice`` holds the first hashes of several sets. By chance one in 2**65 pairs of sets has one: some three for
+    10**10 sets, some three hundred for 10**11. ``bits`` is 64; with fewer, first hashes are made to collide.
+    """
+
+    twice: frozenset[int] = frozenset()
+    bits: int = 64
+
+    def first(self, shingles: np.ndarray) -> int:
+        return _mixed(shingles, _SEED) >> (64 - self.bits)
+
+    def second(self, shingles: np.ndarray) -> int:
+        return _mixed(shingles, _SECOND)
+
+    def of(self, shingles: np.ndarray) -> int:
+        first = self.first(shingles)
+        return self.second(shingles) if first in self.twice else first
+
+
 def needed(n: int) -> int:
     """Shingles that a partner of a set of ``n`` must share."""
     return -(-3 * n // 4)
@@ -76,17 +102,25 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
     return shingle_sets(*utf8(batch.column(1)), width)
 
 
-def _classes(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, key, n`` of every row."""
+def _classes(docs: DataFrame, width: int, bits: int) -> tuple[DataFrame, Names]:
+    """``doc_id, key, n`` of every row, and how their sets are called."""
+    names = Names(bits=bits)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = _sets_of(batch, width)
-        return record({"doc_id": pa.int64(), "key": pa.int64(), "n": pa.int64()}, batch.column(0), [set_key(s) for s in sets], [len(s) for s in sets])
+        schema = {"doc_id": pa.int64(), "first": pa.int64(), "second": pa.int64(), "n": pa.int64()}
+        return record(schema, batch.column(0), [names.first(s) for s in sets], [names.second(s) for s in sets], [len(s) for s in sets])
 
-    return mapped(docs, step, "doc_id bigint, key bigint, n bigint")
+    own = written(mapped(docs, step, "doc_id bigint, first bigint, second bigint, n bigint"), "classes")
+    seen = own.where("n > 0").groupBy("first").agg(F.min("second").alias("least"), F.max("second").alias("most"))
+    twice = [r["first"] for r in seen.where("least <> most").select("first").limit(TWICE + 1).collect()]
+    if len(twice) > TWICE:
+        raise ValueError(f"more than {TWICE} hashes of several sets each; {bits} bits are too few")
+    key = F.when(F.col("first").isin(twice), F.col("second")).otherwise(F.col("first")) if twice else F.col("first")
+    return own.select("doc_id", key.alias("key"), "n"), Names(frozenset(twice), bits)
 
 
-def _prefixes(docs: DataFrame, width: int) -> DataFrame:
+def _prefixes(docs: DataFrame, width: int, names: Names) -> DataFrame:
     """``h, key`` for the prefix of every set."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -94,7 +128,7 @@ def _prefixes(docs: DataFrame, width: int) -> DataFrame:
         cut = [s[: len(s) - needed(len(s)) + prefix_need(len(s))] for s in sets]
         if not cut:
             return None
-        keys = np.repeat(np.array([set_key(s) for s in sets], np.int64), [len(c) for c in cut])
+        keys = np.repeat(np.array([names.of(s) for s in sets], np.int64), [len(c) for c in cut])
         return record({"h": pa.int64(), "key": pa.int64()}, (np.concatenate(cut) >> np.uint64(64 - CUT_BITS)).view(np.int64), keys)
 
     return mapped(docs, step, "h bigint, key bigint")
@@ -129,9 +163,9 @@ def _shared(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "h bigint, key bigint")
 
 
-def _staying(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+def _staying(docs: DataFrame, classes: DataFrame, width: int, names: Names) -> DataFrame:
     """``key, n, id`` of the classes that pass the first cut; ``id`` is the class's least document."""
-    shared = _shared(_prefixes(docs, width))
+    shared = _shared(_prefixes(docs, width, names))
     # A partner has at least ceil(3 n / 4) shingles, and may show only the tenth of its own prefix.
     need = F.expr("greatest(1L, ((3 * n + 3) div 4) div 10)")
     counts = shared.groupBy("key").agg(F.count(F.lit(1)).alias("have"))
@@ -139,14 +173,14 @@ def _staying(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     return counts.join(members, "key").where(F.col("have") >= need).select("key", "n", "id")
 
 
-def _whole_sets(docs: DataFrame, staying: DataFrame, width: int) -> DataFrame:
+def _whole_sets(docs: DataFrame, staying: DataFrame, width: int, names: Names) -> DataFrame:
     """``key, n, shingles`` of those classes, from one document of each."""
     wanted = staying.select("id", "key")
     rows = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(wanted["id"])).select("doc_id", "text", "key")
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         # A repeated doc_id may have other texts; the class is the one asked for.
-        own = [(k, len(s), s.tobytes()) for s, k in zip(_sets_of(batch, width), batch.column(2).to_pylist()) if len(s) and set_key(s) == k]
+        own = [(k, len(s), s.tobytes()) for s, k in zip(_sets_of(batch, width), batch.column(2).to_pylist()) if len(s) and names.of(s) == k]
         return record({"key": pa.int64(), "n": pa.int64(), "shingles": pa.binary()}, *zip(*own)) if own else None
 
     return mapped(rows, step, "key bigint, n bigint, shingles binary")
@@ -415,36 +449,40 @@ def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     return found.groupBy("block", "i", "j").applyInArrow(joined, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, key_bits: int = 64) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, key``; the component is its least ``doc_id``."""
+    return _near_duplicates(docs, id_col, text_col, width, key_bits)[0]
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, width: int, key_bits: int) -> tuple[DataFrame, Names]:
     docs = lean(docs, id_col, text_col).select(F.col("doc_id").cast("bigint"), "text")
-    own = written(_classes(docs, width), "classes")
+    own, names = _classes(docs, width, key_bits)
     classes = own.where("n > 0")
-    staying = written(_staying(docs, classes, width), "staying")
-    sets = written(_whole_sets(docs, staying, width), "sets")
+    staying = written(_staying(docs, classes, width, names), "staying")
+    sets = written(_whole_sets(docs, staying, width, names), "sets")
     blocks = written(_blocks(sets), "block-members")
     linked = components(_links(sets, blocks), "links")
     # The least doc_id of a class, then of its component.
     least = classes.groupBy("key").agg(F.min("doc_id").alias("least")).join(linked.withColumnRenamed("node", "key"), "key", "left")
     least = least.select("key", "least", F.coalesce("component", "key").alias("component"))
-    names = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = least.join(names, "component").select("key", "component_id")
+    lowest = least.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = least.join(lowest, "component").select("key", "component_id")
     full = classes.join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "key")
-    return full.unionByName(own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key"))
+    return full.unionByName(own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key")), names
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, key_bits: int = 64) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each component the one with the least ``doc_id``.
 
     Documents without shingles all stay. Of repeated rows one stays.
     """
-    found = near_duplicates(docs, id_col, text_col, width)
+    found, names = _near_duplicates(docs, id_col, text_col, width, key_bits)
     keep = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"), F.col("key").alias("class")).distinct()
     rows = packed(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = _sets_of(batch, width)
-        keys = pa.array([set_key(s) for s in sets], pa.int64())
+        keys = pa.array([names.of(s) for s in sets], pa.int64())
         return pa.record_batch([batch.column(0), keys, batch.column(2)], ["doc_id", "key", ROW])
 
     wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")

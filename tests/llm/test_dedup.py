@@ -102,6 +102,17 @@ def test_near_groups(spark, families):
     assert len({e[2] for e in expected}) < len(rows) - 20
 
 
+@pytest.mark.parametrize("bits", [1, 5])
+def test_sets_of_one_name_stay_apart(spark, families, bits):
+    """With names of few bits many sets share one, and their second hash parts them."""
+    rows = families + corner_rows()
+    docs = frame(spark, rows)
+    found = near_dups.near_duplicates(docs, key_bits=bits)
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == near_groups(rows)
+    kept = rows_of(near_dups.one_of_each(docs, key_bits=bits), "doc_id", "text")
+    assert kept == rows_of(near_dups.one_of_each(docs), "doc_id", "text")
+
+
 def test_near_groups_in_tiles(spark, families, monkeypatch):
     """Blocks cut into many tiles give the same components."""
     monkeypatch.setattr(near_dups, "TILE", 200)
