@@ -5,12 +5,16 @@ visible character (and for a line end: follows one), and between a letter or dig
 cut there, each distinct piece is encoded once by the tokenizers library and kept, and the ids of a text are those
 of its pieces in order: the same ids as for the whole text. Texts are handled as UTF-8 bytes; where a byte leaves it open what it is, nothing is cut.
 
+That holds for tokenizers that split and normalise as in ``SPLITS``, and whose added tokens hold no such cut and take no
+blanks along. Any other tokenizer gets whole texts.
+
 Pieces are known by two independent 64-bit hashes. Should one hash fall together for pieces that the other tells
 apart, the texts at hand are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -26,6 +30,26 @@ KEPT_LENGTH = 64
 #: Pieces encoded in one go.
 TOGETHER = 100
 
+# The normalizers and pre-tokenizers, as their files state them, for which texts may be cut.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORD_LEVEL = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_LOWER_LINES = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+SPLITS = ((None, _BYTE_LEVEL), (_LOWER_LINES, _WORD_LEVEL))
+
 _OTHER = 0xD1342543DE82EF95
 #: A piece that may stand beside others: it begins where a text is cut and ends in something visible.
 _MEETS = re.compile(r"[ \n][!-~\w](?s:.*\S)?\Z")
@@ -72,12 +96,24 @@ def piece_begins(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def may_cut(settings: dict) -> bool:
+    """Whether a tokenizer with these settings gives the ids of a text piece by piece."""
+    if (settings["normalizer"], settings["pre_tokenizer"]) not in SPLITS or settings["model"].get("dropout") or settings["truncation"] or settings["padding"]:
+        return False
+    for token in settings["added_tokens"]:
+        content = np.frombuffer(token["content"].encode(), np.uint8)
+        if token["lstrip"] or token["rstrip"] or token["single_word"] or len(piece_begins(content, np.array([0, len(content)]))) > 1:
+            return False
+    return True
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuts = may_cut(json.loads(self.tokenizer.to_str()))
         # Ids of all known pieces one after another, and where each piece's begin.
         self.ids, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         # Hashes of the known pieces in order, the other hash, and their numbers.
@@ -112,6 +148,8 @@ class Encoder:
 
     def encode_bytes(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, each text's followed by ``end``; and where each text begins, with the end of the last."""
+        if not self.cuts:
+            return self._whole(data, offsets, end)
         begins = piece_begins(data, offsets)
         ends = np.append(begins[1:], len(data)) if len(begins) else begins
         values = BYTE_VALUES[data]

@@ -28,6 +28,49 @@ def test_encoder_equals_the_library(vocabulary, kept, monkeypatch):
             assert ids[a:b].tolist() == expected.tolist(), text
 
 
+def test_supplied_vocabularies_are_cut():
+    assert all(tokens.Encoder(v).cuts for v in (BYTES, WORDS))
+
+
+def other_tokenizers():
+    from tokenizers import AddedToken, Tokenizer, normalizers, pre_tokenizers
+
+    for change in range(5):
+        tokenizer = Tokenizer.from_file(BYTES)
+        if change == 0:
+            tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+        elif change == 1:
+            tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        elif change == 2:
+            tokenizer.normalizer = normalizers.Strip()
+        elif change == 3:
+            tokenizer.add_tokens([AddedToken("a b"), AddedToken("it.s")])
+        else:
+            tokenizer.add_tokens([AddedToken("b", lstrip=True, rstrip=True)])
+        yield tokenizer
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    for k, tokenizer in enumerate(other_tokenizers()):
+        path = str(tmp_path / f"{k}.json")
+        tokenizer.save(path)
+        own = tokens.Encoder(path)
+        assert not own.cuts
+        for _ in range(2):
+            ids, at = own.encode(ODD, 0)
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [x.tolist() for x in token_ids(ODD, path)]
+
+
+@pytest.mark.parametrize("vocabulary", [BYTES, WORDS])
+def test_encoder_on_a_long_text(vocabulary):
+    """A text over one step, with rare and common pieces."""
+    r = random.Random(8)
+    long = " ".join(r.choice(ODD) + str(r.randrange(5000)) for _ in range(150_000))
+    assert len(long.encode()) > 1 << 20
+    ids, at = tokens.Encoder(vocabulary).encode(["", long, "end."], 0)
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [x.tolist() for x in token_ids(["", long, "end."], vocabulary)]
+
+
 def test_store_round_trip(spark, tmp_path):
     rows = corner_rows() + [(100 + i, t) for i, t in enumerate(ODD)]
     path = str(tmp_path / "store")
