@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import os
 
@@ -158,3 +159,43 @@ def test_texts_conform_to_what_was_inferred(spark):
     read = enforce.parse_records(df, "raw", contract)
     assert read.where("_corrupt IS NOT NULL").count() == 0
     assert enforce.violation_counts(read.drop("_corrupt"), contract).where("bad > 0").count() == 0
+
+
+def test_tables_without_rows_need_no_job(spark, tmp_path):
+    """They are made and retyped by catalog alone, and the catalog is told without a job for each."""
+    first = Contract("bare", "B", (Column("a", "integer"), Column("b", "string")), version="1.0.0")
+    second = Contract("bare", "B", (Column("a", "string"), Column("c", "number")), version="2.0.0")
+    spark.sparkContext.setJobGroup("bare-tables", "no rows")
+    try:
+        tables.create_contract_table(spark, first, str(tmp_path), "bare_db")
+        tables.evolve_table(spark, second, str(tmp_path), "bare_db")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("bare-tables")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(tuple, tables.existing_columns(spark, "bare_db").collect())) == [
+        ("bare", "a", "string", "bare", "2.0.0"), ("bare", "c", "double", "bare", "2.0.0")
+    ]
+    assert spark.table("bare_db.bare").collect() == []
+    spark.createDataFrame([("x", 1.5)], "a string, c double").write.insertInto("bare_db.bare")
+    assert list(map(tuple, spark.table("bare_db.bare").collect())) == [("x", 1.5)]
+    spark.sql("DROP DATABASE bare_db CASCADE")
+
+
+def test_a_file_each_without_the_driver(spark, tmp_path):
+    """Every row is a file, rows that repeat as well, with nothing beside them; they are read by few tasks."""
+    texts = [f'{{"é": {n % 150}}}' for n in range(200)]
+    rows = spark.createDataFrame([(None if n == 7 else n % 3, text) for n, text in enumerate(texts)], "domain int, raw string")
+    contracts.write_contracts(rows, str(tmp_path / "in/all"))
+    names = [name for _, _, found in os.walk(tmp_path / "in") for name in found]
+    assert len(names) == 200 and all(name.endswith(".txt") and not name.startswith(".") for name in names)
+    read = contracts.read_contracts(spark, str(tmp_path / "in"), "*.txt")
+    assert sorted(r.raw for r in read.collect()) == sorted(f"{text}\n" for text in texts)
+    assert {r.domain for r in read.collect()} == {f"domain={n}" for n in (0, 1, 2, contracts.NO_VALUE)}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(df.rdd.getNumPartitions() for df in (read, contracts.list_files(spark, str(tmp_path / "in"), "*.txt"))) <= tasks
+
+
+def test_compressed_files_are_read_as_texts(spark, tmp_path):
+    with gzip.open(put(tmp_path / "in", "all/u/a.json.gz", ""), "wt") as file:
+        file.write("{}")
+    assert [r.raw for r in contracts.read_contracts(spark, str(tmp_path / "in"), "*.json.gz").collect()] == ["{}"]
