@@ -231,3 +231,34 @@ def test_typed_tags(spark):
     rows = [r.tag_metadata for r in tags.typed_tags(df).collect()]
     assert (rows[0].sla_uptime_percentage, rows[0].sla_max_latency_ms, rows[0].data_owner) == (None, 12, "T")
     assert rows[1].managed_by is None
+
+
+def _plan_of(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_avro_texts_are_put_together_without_a_variant(spark):
+    spec = [
+        {"name": 'a"b', "data_type": "array", "nullable": True, "description": "d\n"},
+        {"name": "n", "data_type": "zzz", "nullable": False, "description": ""},
+        {"name": None, "data_type": None, "nullable": None, "description": None},
+    ]
+    rows = [({"contract_id": "a", "name": "N x", "description": "é {} \\", "columns": spec},), ({"contract_id": "a", "name": None},), (None,)]
+    schemas = avro.to_avro(spark.createDataFrame(rows, f"contract {documents.PLAIN_TYPE}"))
+    plan = _plan_of(schemas)
+    assert "to_variant_object" not in plan.lower() and "variant_object" not in plan.lower()
+    first, second, third = (r.avro_schema for r in schemas.select("avro_schema").collect())
+    head, tail = '{"doc":"é {} \\\\\\n\\nMetadata:\\n', '"name":"Nx","namespace":"com.example.schema","type":"record"}'
+    assert first.startswith(head) and first.endswith(tail)
+    assert '"fields":[{"default":null,"doc":"d\\n","name":"a\\"b","type":["null",{"items":"string","type":"array"}]},' in first
+    assert '{"name":"n","type":"string"},{"name":null,"type":null}]' in first
+    assert second == '{"doc":null,"fields":null,"name":null,"namespace":"com.example.schema","type":"record"}'
+    assert third is None
+
+
+def test_plain_documents_are_read_without_casting_their_columns(spark):
+    docs = [document("a", "x string!, y number"), document("a", "x string!, x number"), document("a", "x strin"), document("a", "x string", name=" ")]
+    parsed = documents.parse_contracts(table_of(spark, docs))
+    # The type of what has nulls by rule is not forced on what has none.
+    assert not parsed.schema["quick"].dataType["columns"].dataType.elementType["nullable"].nullable
+    assert [r.quick is not None for r in parsed.orderBy("seq").collect()] == [True, False, False, False]
