@@ -71,3 +71,16 @@ def test_registration_takes_no_texts_along(spark, monkeypatch):
     monkeypatch.setattr(queries.registry, "plan_registration", plan)
     assert [r.seq for r in queries.QUERIES["registration_plan"](spark, "").collect()] == [2]
     assert "avro_schema" not in seen[0]
+
+
+def test_parts_of_runs_land_in_several_files(spark, tmp_path):
+    """No task writes a whole part; each run still takes its part as one batch."""
+    batches = []
+
+    def start(stream):
+        writer = stream.writeStream.foreachBatch(lambda batch, _: batches.append(sorted(r.id for r in batch.collect())))
+        return writer.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+
+    queries._runs(spark, spark.range(300).repartition(4), str(tmp_path), F.col("id") % queries.BATCHES, start)
+    assert batches == [list(range(number, 300, queries.BATCHES)) for number in range(queries.BATCHES)]
+    assert len(list((tmp_path / "landed").glob("*.parquet"))) > queries.BATCHES
