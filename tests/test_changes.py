@@ -199,3 +199,53 @@ def test_compressed_files_are_read_as_texts(spark, tmp_path):
     with gzip.open(put(tmp_path / "in", "all/u/a.json.gz", ""), "wt") as file:
         file.write("{}")
     assert [r.raw for r in contracts.read_contracts(spark, str(tmp_path / "in"), "*.json.gz").collect()] == ["{}"]
+
+
+def test_files_on_disk_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver holds no line per file: what is planned over names parts of the listing, not the files."""
+    for n in range(60):
+        put(tmp_path / "in", f"all/u/{n % 20:02d}/{n}.json", {"n": n})
+    none = contracts.read_manifest(spark, str(tmp_path / "none"))
+    read, listed = contracts.read_contracts(spark, str(tmp_path / "in")), contracts.list_files(spark, str(tmp_path / "in"))
+    monkeypatch.setattr(contracts, "NAMED_FILES", 0)
+    changed = contracts.changed_contracts(spark, str(tmp_path / "in"), none).documents
+    for df in (read, listed, changed):
+        assert df.count() == 60 and not any(name.endswith(".json") for name in df.inputFiles())
+
+
+@pytest.mark.parametrize("glob", ["*.json", "[!a]*.json", "{a,d,_}*", "d?1*", "?.json"])
+def test_files_on_disk_are_those_spark_finds(spark, tmp_path, glob):
+    """Names, spelling, lengths and times are those of Spark's readers, whatever the names."""
+    odd = ["a b", "b", "d[1]", "p%41", "ü é", "x#y?z", "q'\"<>^`{|}~", "n b c\u0085", "semi;com,ma=&+$@!*()", "back\\slash", "_m=1", "_m", "_metadata", "tab\tnew\nline", "emoji😀"]
+    places = [*odd, "_k=1/s p/f", "_metadata_x/f", "_common_metadata/f", "_hidden/f", ".hidden/f", "c._COPYING_/f", "deep/er/still/f"]
+    for place in places:
+        put(tmp_path / "in", f"{place}.json", place)
+    for place in ("empty.json", "x.json._COPYING_", ".b.json"):
+        put(tmp_path / "in", place, "" if place == "empty.json" else "x")
+    os.symlink(tmp_path / "in/b.json", tmp_path / "in/link.json")
+    os.symlink(tmp_path / "nowhere", tmp_path / "in/broken.json")
+    os.symlink(tmp_path / "in/deep", tmp_path / "in/dlink")
+    (tmp_path / "in/bytes.json").write_bytes(b"\xff\xfe no text")
+    files = spark.read.format("binaryFile").load(str(tmp_path / "in"), recursiveFileLookup=True, pathGlobFilter=glob)
+    expected = sorted(map(tuple, files.select("_metadata.file_path", "length", "modificationTime", "path").collect()))
+    assert len(expected) >= 1
+    assert sorted(map(tuple, contracts.list_files(spark, str(tmp_path / "in"), glob).collect())) == expected
+    texts = sorted(map(tuple, files.selectExpr("_metadata.file_path", "hex(content)").collect()))
+    assert sorted(map(tuple, contracts.read_contracts(spark, str(tmp_path / "in"), glob).selectExpr("file_path", "hex(raw)").collect())) == texts
+
+
+def test_paths_that_are_no_folder(spark, tmp_path):
+    """A file, a pattern and a folder without files are read as before."""
+    put(tmp_path / "in", "a/x.json", "1")
+    put(tmp_path / "in", "b/y.json", "2")
+    (tmp_path / "bare").mkdir()
+    for path, found in (("in/a/x.json", ["1"]), ("in/*", ["1", "2"]), ("in", ["1", "2"]), ("bare", []), ("no", [])):
+        assert sorted(r.raw for r in contracts.read_contracts(spark, str(tmp_path / path)).collect()) == found
+        assert contracts.list_files(spark, str(tmp_path / path)).count() == len(found)
+    assert contracts.read_contracts(spark, f"file://{tmp_path}/in").count() == 2
+
+
+def test_a_link_back_is_not_followed_without_end(spark, tmp_path):
+    put(tmp_path / "in", "a/x.json", "1")
+    os.symlink("self", tmp_path / "in/self")
+    assert contracts.read_contracts(spark, str(tmp_path / "in")).count() == 1
