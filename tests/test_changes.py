@@ -249,3 +249,53 @@ def test_a_link_back_is_not_followed_without_end(spark, tmp_path):
     put(tmp_path / "in", "a/x.json", "1")
     os.symlink("self", tmp_path / "in/self")
     assert contracts.read_contracts(spark, str(tmp_path / "in")).count() == 1
+
+
+def test_tables_by_calls_are_those_of_statements(spark, tmp_path, monkeypatch):
+    """Many tables need few statements, and their entries say what a statement for each would have said."""
+    first = [document(f"t-{n}", "x string, n integer, at timestamp, l array", description="It's \"a\" \\ text") for n in range(40)]
+    second = [document(f"t-{n}", "x string, n number, m integer, o object", version="2.0.0") for n in range(40)]
+
+    def entries(database):
+        statements, sql = [], type(spark).sql
+        none = spark.createDataFrame([], tables.EXISTING_SCHEMA)
+        first_run, told = provision(table_of(spark, first), None, none, "1"), []
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", lambda self, text, *a, **b: statements.append(text) or sql(self, text, *a, **b))
+            apply_tables(first_run, str(tmp_path), database)
+            assert spark.table(f"{database}.t_3").collect() == []
+            spark.createDataFrame([("a", 7)], "x string, n bigint").selectExpr("x", "n", "NULL AS at", "NULL AS l").write.insertInto(f"{database}.t_3")
+            assert spark.table(f"{database}.t_3").select("x", "n").first() == ("a", 7)
+            held = tables.existing_columns(spark, database)
+            told += sorted(map(tuple, held.collect()))
+        later = provision(table_of(spark, second), None, held, "2")
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", lambda self, text, *a, **b: statements.append(text) or sql(self, text, *a, **b))
+            assert {r.table_status for r in apply_tables(later, str(tmp_path), database).tables.collect()} == {"updated"}
+            told += sorted(map(tuple, tables.existing_columns(spark, database).collect()))
+        assert [tuple(r) for r in spark.table(f"{database}.t_3").select("x", "n", "m").collect()] == [("a", 7.0, None)]
+        assert spark.table(f"{database}.t_4").columns == ["x", "n", "m", "o"]
+        for n in range(40):
+            lines = {r.col_name: (r.data_type, r.comment) for r in sql(spark, f"DESCRIBE TABLE EXTENDED {database}.t_{n}").collect()}
+            for name in ("Database", "Created Time", "Table Properties", "Location"):
+                lines.pop(name)
+            kept = {k: v for k, v in tables.table_properties(spark, f"{database}.t_{n}").items() if k != "created_at" and not k.startswith("transient")}
+            told.append((lines, kept))
+        sql(spark, f"DROP DATABASE {database} CASCADE")
+        return told, len(statements)
+
+    by_calls, few = entries("calls_db")
+    monkeypatch.setattr(tables, "Calls", tables.Statements)
+    by_statements, many = entries("statements_db")
+    assert by_calls == by_statements
+    # Workers that begin at the same time may each make a statement.
+    assert few <= 12 * tables.WORKERS < many
+
+
+def test_names_a_statement_would_refuse(spark, tmp_path):
+    """Tables of odd names, and columns that differ in case alone, fail as they did; the others are made."""
+    docs = [document(*d) for d in (("a", "x string"), ("b", "x string"), ("c.d", "x string"), ("e f", "x string"), ("g", "x string, X string"), ("7h", "x string"), ("i", "odd-name string"))]
+    done = apply_tables(provision(table_of(spark, docs), None, spark.createDataFrame([], tables.EXISTING_SCHEMA), "1"), str(tmp_path), "odd_db")
+    found = {r.contract_id: r.table_status for r in done.tables.collect()}
+    assert found == {"a": "created", "b": "created", "c.d": "failed", "e f": "failed", "g": "failed", "7h": "created", "i": "created"}
+    spark.sql("DROP DATABASE odd_db CASCADE")
