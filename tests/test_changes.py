@@ -13,6 +13,7 @@ from sparkpact import Column, Contract
 from sparkpact.operators import enforce, inference, registry, tables
 from sparkpact.plans.provisioning import apply_tables, provision, run_changed
 from sparkpact.sources import contracts
+from sparkpact.streaming import contracts as contract_stream
 
 
 def put(folder, name, doc):
@@ -299,3 +300,18 @@ def test_names_a_statement_would_refuse(spark, tmp_path):
     found = {r.contract_id: r.table_status for r in done.tables.collect()}
     assert found == {"a": "created", "b": "created", "c.d": "failed", "e f": "failed", "g": "failed", "7h": "created", "i": "created"}
     spark.sql("DROP DATABASE odd_db CASCADE")
+
+
+def test_a_batch_of_many_files_takes_few_tasks(spark, tmp_path):
+    """Files that are named to a reader are not looked for by a task each, and are read by few tasks."""
+    for n in range(60):
+        put(tmp_path / "in", f"all/u/{n:02d}/u.json", document("u" if n % 2 else f"v-{n}", f"a string, b{n} integer", version=f"{n}.0.0"))
+    put(tmp_path / "in", "all/u/60/empty.json", "")
+    query = contract_stream.stream_contracts(spark, str(tmp_path / "in"), str(tmp_path / "registry"), str(tmp_path / "checkpoint"), "DISABLED")
+    query.awaitTermination()
+    known = registry.read_registry(spark, str(tmp_path / "registry"))
+    assert (known.count(), known.where("contract_id = 'u'").count(), known.agg({"seq": "max"}).first()[0]) == (60, 30, 59)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(job).stageIds}
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert tasks and max(tasks) <= 32
